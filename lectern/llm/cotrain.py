@@ -159,13 +159,20 @@ def calibrated(no: np.ndarray, yes: np.ndarray) -> tuple[float, float]:
     w = np.array([0.0, np.log((yes.sum() + 1) / (no.sum() + 1))])
     n = no + yes
     pull = np.array([1e-2, 1e-2])
+
+    def loss(w: np.ndarray) -> float:
+        z = w[0] * x + w[1]
+        return float((n * np.logaddexp(0, z) - yes * z).sum() + (pull * w * w).sum() / 2)
+
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(w[0] * x + w[1], -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(w[0] * x + w[1], -50, 50)))
         slope = np.array([(x * (yes - n * p)).sum(), (yes - n * p).sum()]) - pull * w
         h = n * p * (1 - p)
-        curve = np.array([[(h * x * x).sum(), (h * x).sum()], [(h * x).sum(), h.sum()]]) + np.diag(pull + 1e-9)
+        curve = np.array([[(h * x * x).sum(), (h * x).sum()], [(h * x).sum(), h.sum()]]) + np.diag(pull)
         step = np.linalg.solve(curve, slope)
-        w = w + np.clip(step, -1, 1)
+        while np.abs(step).max() > 1e-9 and loss(w + step) > loss(w):
+            step = step / 2
+        w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return float(max(w[0], 0.0)), float(w[1])
