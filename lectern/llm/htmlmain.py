@@ -150,7 +150,7 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
                     break
                 if stack[k].tag in _SCOPE:
                     break
-        if tag not in _INLINE:
+        if tag not in _INLINE and tag not in ("script", "style"):
             close()
         number += 1
         tags[number] = tag
