@@ -33,9 +33,9 @@ from lectern.llm import kit
 
 WIDTH = 20
 #: Bytes of text whose windows are reduced together before the shuffle.
-SHARD_BYTES = 12 << 20
-#: Bytes of text for each bucket, and the most buckets: a shard's entry should hold some dozens of hashes.
-BUCKET_BYTES, MOST_BUCKETS = 12 << 20, 1 << 16
+SHARD_BYTES = 6 << 20
+#: Bytes of text for each bucket, and the fewest and most buckets: a shard's entry should hold some dozens of hashes.
+BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 16 << 20, 256, 1 << 16
 _NULL_ID = np.int64(np.iinfo(np.int64).max)
 _REPEATS = "doc long, hashes binary"
 
@@ -144,7 +144,7 @@ def repeated_windows(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     """(doc, hashes): for each document the windows that also start in a smaller document, packed as 64-bit hashes."""
     pairs = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(MOST_BUCKETS, max(16, size // BUCKET_BYTES)))
+    buckets = int(min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES)))
     entries = pairs.mapInArrow(_shard_entries(width, buckets), "bucket long, decided boolean, hashes binary, docs binary")
     found = entries.groupBy("bucket").applyInArrow(_bucket_repeats, _REPEATS)
     return found.groupBy("doc").agg(F.collect_list("hashes").alias("hashes"))
