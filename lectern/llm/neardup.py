@@ -11,10 +11,10 @@ sketch is the k smallest hashes of a set.
    values (the prefix filter); values of passages that many documents share
    fall away. Rarity is a table of 2**20 counters, the same size for any corpus.
 2. *Overlaps.* A list of up to ``SHORT`` sets gives its pairs. A longer one
-   is compared with its smallest member only; a group of copies hangs on that
-   member. Members of a long list that are not yet in one component
-   afterwards are compared in blocks of sketches, which emit only pairs that
-   pass the estimate.
+   is compared with its smallest member, its hub, on which a group of copies
+   hangs. Long lists with one hub form a group; members of a group that are
+   not yet in one component afterwards are compared block by block, estimate
+   first and exact check second, and only links that join components come out.
 3. *Union-sketch estimate.* The k smallest of two sketches together are a
    uniform sample of the union; pairs whose sample lies clearly below the
    threshold are dropped.
@@ -44,7 +44,7 @@ from lectern.llm import kit
 SHINGLE, SKETCH = 5, 64
 #: Similar from 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
-SHORT, BLOCK = 12, 256
+SHORT, BLOCK = 12, 128
 SLOTS = 1 << 20
 
 
@@ -193,49 +193,91 @@ def _with(pairs: DataFrame, table: DataFrame, what: str) -> DataFrame:
 
 
 def _list_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of short lists and of long lists with their smallest member; the rows of the long lists."""
+    """Pairs of short lists; (hub, doc) for long ones, where lists with the same smallest member fall together."""
     sizes = lists.groupBy("value").agg(F.count("*").alias("size"), F.min("doc").alias("hub")).where("size > 1")
     rows = lists.join(sizes, "value")
-    stars = rows.where((F.col("size") > SHORT) & (F.col("doc") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
     short = rows.where(F.col("size") <= SHORT).groupBy("value").agg(F.sort_array(F.collect_set("doc")).alias("docs"))
     # A short list has at most SHORT members, so its pairs are bounded by a constant.
     pairs = short.select(F.explode(F.expr("flatten(transform(docs, (x, i) -> transform(slice(docs, i + 2, size(docs)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
-    return pairs.unionByName(stars).distinct(), rows.where(F.col("size") > SHORT).select("value", "doc", "size")
+    return pairs.distinct(), rows.where(F.col("size") > SHORT).select("hub", "doc").distinct()
 
 
-def _block_candidates(k: int):
+class _Index:
+    """Which of some sorted sets hold a value."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        lengths = np.array([len(s) for s in sets])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], np.repeat(np.arange(len(sets)), lengths)[order]
+        self.n = len(sets)
+
+    def shared(self, one: np.ndarray) -> np.ndarray:
+        """Number of values of one that each set holds."""
+        lo, hi = np.searchsorted(self.flat, one, "left"), np.searchsorted(self.flat, one, "right")
+        n = hi - lo
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+        return np.bincount(self.owner[at], minlength=self.n)
+
+    def up_to(self, most: np.uint64) -> np.ndarray:
+        """Number of each set's values that are not above most."""
+        return np.bincount(self.owner[: np.searchsorted(self.flat, most, "right")], minlength=self.n)
+
+
+def _block_links(k: int):
+    """Links between the members of two blocks of a group, as few as join their components."""
+
     def work(table: pa.Table) -> pa.Table:
-        docs, labels = table.column("doc").to_numpy(), table.column("label").to_numpy()
-        side, mine, other = table.column("block").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        raw = [np.frombuffer(x, np.uint64) for x in table.column("sketch").to_pylist()]
-        left, right = np.flatnonzero(side == mine), np.flatnonzero(side == other)
-        values, col = np.unique(np.concatenate([raw[r] for r in right]), return_inverse=True)
-        owner = np.repeat(right, [len(raw[r]) for r in right])
-        order = np.argsort(col, kind="stable")
-        owner, first = owner[order], np.searchsorted(col[order], np.arange(len(values) + 1))
-        out = []
-        for x in left.tolist():
-            at = np.searchsorted(values, raw[x])
-            at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == raw[x])]
-            shared = np.bincount(np.concatenate([owner[first[v] : first[v + 1]] for v in at]) if len(at) else np.empty(0, np.int64), minlength=len(docs))
-            for y in np.flatnonzero((shared >= least_shared(min(k, len(raw[x])))) & (labels != labels[x])).tolist():
-                if _estimate(raw[x].tobytes(), raw[y].tobytes(), k):
-                    out.append((min(docs[x], docs[y]), max(docs[x], docs[y])))
-        return pa.table({"a": pa.array([int(a) for a, _ in out], pa.int64()), "b": pa.array([int(b) for _, b in out], pa.int64())})
+        docs, labels, side = (table.column(c).to_numpy() for c in ("doc", "label", "block"))
+        out: list[tuple[int, int]] = []
+        if len(np.unique(labels)) > 1:
+            sketch, full = ([np.frombuffer(x, np.uint64) for x in table.column(c).to_pylist()] for c in ("sketch", "set"))
+            left, right = (np.flatnonzero(side == table.column(c)[0].as_py()) for c in ("i", "j"))
+            root = {x: x for x in labels.tolist()}
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            if len(left) and len(right):
+                sketches_of, sets_of = _Index([sketch[r] for r in right]), _Index([full[r] for r in right])
+                size, limit = np.array([len(full[r]) for r in right]), np.array([_limit(sketch[r], k) for r in right])
+                for x in left.tolist():
+                    top = _limit(sketch[x], k)
+                    shared = sketches_of.shared(sketch[x])
+                    # The union's sample: all values up to the smaller of both sketches' ends.
+                    mine = np.searchsorted(sketch[x], limit, "right")
+                    sample = np.where(limit <= top, mine + np.array([len(sketch[r]) for r in right]), len(sketch[x]) + sketches_of.up_to(top)) - shared
+                    likely = (shared >= 0.75 * sample - 5.2 * np.sqrt(sample * 0.1875)) & (labels[right] != labels[x])
+                    if not likely.any():
+                        continue
+                    both = sets_of.shared(full[x])
+                    for y in np.flatnonzero(likely & (100 * both >= THRESHOLD * (len(full[x]) + size - both))).tolist():
+                        r, s = find(int(labels[x])), find(int(labels[right[y]]))
+                        if r != s:
+                            root[max(r, s)] = min(r, s)
+                            out.append((int(docs[x]), int(docs[right[y]])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     return work
 
 
-def _rest_pairs(long_rows: DataFrame, labels: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """Candidate pairs inside long lists between different components, by blocks of sketches."""
-    placed = long_rows.join(labels, long_rows.doc == labels.node, "left").select("value", "doc", "size", F.coalesce("label", "doc").alias("label"))
-    open_lists = placed.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("value")
-    rows = placed.join(open_lists, "value", "left_semi").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+def _limit(sketch: np.ndarray, k: int) -> np.uint64:
+    """Up to where a sketch knows its set: its last value, or everything if it is the whole set."""
+    return sketch[-1] if len(sketch) >= k else np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _rest_links(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, k: int) -> DataFrame:
+    """Links inside the groups of long lists between members that are not yet in one component, by blocks."""
+    placed = members.join(labels, members.doc == labels.node, "left").select("hub", "doc", F.coalesce("label", "doc").alias("label"))
+    groups = placed.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+    rows = placed.join(groups.select("hub", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "hub")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    dealt = rows.select("value", "doc", "label", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("with"))
-    dealt = dealt.select("value", "doc", "label", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-    dealt = dealt.join(reps.select("doc", "sketch"), "doc")
-    return dealt.groupBy("value", "i", "j").applyInArrow(_block_candidates(k), "a long, b long").distinct()
+    dealt = rows.select("hub", "doc", "label", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("with"))
+    dealt = dealt.select("hub", "doc", "label", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    dealt = dealt.join(reps.select("doc", "sketch"), "doc").join(sets, "doc")
+    return dealt.groupBy("hub", "i", "j").applyInArrow(_block_links(k), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -264,23 +306,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     classes = kit.written(classes, "classes")
     reps = rows.join(classes.where("rep is not null").select(F.col("rep").alias("doc"), "same"), ["doc", "same"], "left_semi").dropDuplicates(["doc"])
     reps = kit.written(reps.select("doc", "n", "sketch"), "reps")
-    pairs, long_rows = _list_pairs(inverted_lists(reps))
-    long_rows = kit.written(long_rows, "long-lists")
+    pairs, members = _list_pairs(inverted_lists(reps))
+    members = kit.written(members, "members")
+    pairs = pairs.unionByName(members.where(F.col("doc") != F.col("hub")).select(F.col("hub").alias("a"), F.col("doc").alias("b")))
+    candidates = kit.written(_with(pairs, reps, "sketch").mapInArrow(_estimated(k), "a long, b long"), "candidates")
+    needed = candidates.select(F.col("a").alias("doc")).unionByName(candidates.select(F.col("b").alias("doc"))).unionByName(members.select("doc")).distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-
-    def verified(candidates: DataFrame) -> DataFrame:
-        candidates = kit.written(candidates, "candidates")
-        needed = candidates.select(F.col("a").alias("doc")).unionByName(candidates.select(F.col("b").alias("doc"))).distinct()
-        wanted = reps.select("doc").join(needed, "doc", "left_semi")
-        sets = texts.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_full_sets(width), "doc long, set binary")
-        return _with(candidates, kit.written(sets, "sets"), "set").mapInArrow(_confirmed, "a long, b long")
-
-    edges = kit.written(verified(_with(pairs, reps, "sketch").mapInArrow(_estimated(k), "a long, b long")), "links")
+    # A shuffle join at every size: the number of candidates grows with the corpus.
+    sets = texts.join(needed.hint("merge"), "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_full_sets(width), "doc long, set binary")
+    sets = kit.written(sets, "sets")
+    edges = kit.written(_with(candidates, sets, "set").mapInArrow(_confirmed, "a long, b long"), "links")
     labels = components(edges)
-    more = kit.written(_rest_pairs(long_rows, labels, reps, k), "rest")
+    more = kit.written(_rest_links(members, labels, reps, sets, k), "rest")
     if not more.isEmpty():
-        edges = edges.unionByName(verified(more))
-        labels = components(edges)
+        labels = components(edges.unionByName(more))
     found = classes.join(labels, classes.rep == labels.node, "left").select("same", F.coalesce("label", "rep").alias("component"))
     out = rows.select("doc", "n", "same").join(found, "same", "left")
     out = out.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("same").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component_id"))
