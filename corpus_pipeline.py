@@ -41,9 +41,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids, name = bytebpe.encoded(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
-    out, back = bytebpe.decoded(ids, path, public_tokenizers.PATTERN, ids=name)
-    return out.select("doc_id", "lang", "source", F.col(name).alias("ids"), F.size(name).cast("long").alias("n_tokens"), F.sha2(F.col(back), 256).alias("decoded_sha256"))
+    out, (ids, digest) = bytebpe.encoded_and_verified(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
+    return out.select("doc_id", "lang", "source", F.col(ids).alias("ids"), F.size(ids).cast("long").alias("n_tokens"), F.col(digest).alias("decoded_sha256"))
 
 
 STAGES = [

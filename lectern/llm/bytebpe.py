@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from lectern.llm import kit
 
-CACHE = 400_000
+CACHE = 120_000
 
 
 def byte_characters() -> list[str]:
@@ -192,3 +192,13 @@ def round_trip_report(docs: DataFrame, path: str, pattern: str, *, doc_id: str =
     work = _rows(path, pattern, text, lambda bpe, ids: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()), schema, [doc_id])
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     return docs.select(doc_id, text).mapInArrow(work, T.StructType([docs.schema[doc_id], *fields]))
+
+
+def encoded_and_verified(docs: DataFrame, path: str, pattern: str, *, text: str = "text") -> tuple[DataFrame, tuple[str, str]]:
+    """docs with token ids and the hash of the bytes they decode to, in one Python step; returns those columns' names too."""
+    import numpy as np
+
+    names = (kit.free_name(docs, "ids"), kit.free_name(docs, "decoded_sha256"))
+    schema = pa.schema([(names[0], pa.list_(pa.int32())), (names[1], pa.string())])
+    work = _rows(path, pattern, text, lambda bpe, ids: (np.frombuffer(ids, np.int32), hashlib.sha256(bpe.decode(ids)).hexdigest()), schema, docs.columns)
+    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField(names[0], T.ArrayType(T.IntegerType())), T.StructField(names[1], T.StringType())])), names

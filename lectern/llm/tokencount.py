@@ -30,7 +30,7 @@ from lectern.llm import kit
 from lectern.llm.bytebpe import independent_parts
 
 CHUNK, OVERLAP = 64_000, 256
-CACHE = 400_000
+CACHE = 200_000
 LIMIT = 512
 _STABLE = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
 
