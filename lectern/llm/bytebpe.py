@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from lectern.llm import kit
 
-CACHE = 120_000
+CACHE = 300_000
 
 
 def byte_characters() -> list[str]:
