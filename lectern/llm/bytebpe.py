@@ -20,7 +20,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from lectern.llm import kit
 
-CACHE = 300_000
+CACHE = 400_000
 
 
 def byte_characters() -> list[str]:
@@ -82,15 +83,15 @@ def serialised_model(tokens: list[bytes]) -> bytes:
     return bytes(out)
 
 
-#: A space that is next to other white space or to an end of the text.
-_ODD_SPACE = regex.compile(r"(?:^|[\s\x1c-\x1f]) | (?=[\s\x1c-\x1f]|$)")
+#: Every white space but the space itself.
+_OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 
 def independent_parts(text: str) -> list[str] | None:
     """text cut before each single space between other characters; None if other spaces occur."""
-    if not text or _ODD_SPACE.search(text):
-        return None
     first, *rest = text.split(" ")
+    if not first or "" in rest or any(c in text and (f" {c}" in text or f"{c} " in text) for c in _OTHER_SPACES):
+        return None
     return [first, *[" " + x for x in rest]]
 
 
@@ -106,7 +107,7 @@ class ByteBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised_model(self.tokens))
         self.pattern = regex.compile(pattern)
         self.rank = {t: i for i, t in enumerate(self.tokens)}
-        self.table = {b: c for b, c in enumerate(byte_characters())}
+        self.table = dict(enumerate(byte_characters()))
         back = {c: b for b, c in self.table.items()}
         self.bytes_of = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(len(self.tokens))]
         self.cache: dict[str, bytes] = {}
@@ -117,33 +118,45 @@ class ByteBpe:
             cls._shared[path, pattern] = cls(path, pattern)
         return cls._shared[path, pattern]
 
-    def _fill(self, parts: Iterable[str]) -> None:
-        """Encodes parts that the cache lacks, all pre-tokens in one call."""
-        new = [p for p in set(parts) if p not in self.cache]
+    def _fill(self, parts: set[str]) -> None:
+        """Encodes parts that the cache lacks, all pre-tokens in one call, as calls are dear."""
+        new = [p for p in parts if p not in self.cache]
+        if not new:
+            return
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
-            new = list(set(parts))
-        cuts = [[m.encode() for m in self.pattern.findall(p)] for p in new]
-        rest = list({m for c in cuts for m in c if m not in self.rank})
-        ids = dict(zip(rest, self.model.encode(["".join(map(self.table.__getitem__, m)) for m in rest], num_threads=1), strict=True)) if rest else {}
-        for p, c in zip(new, cuts, strict=True):
-            flat = [i for m in c for i in ((self.rank[m],) if m in self.rank else ids[m])]
-            self.cache[p] = struct.pack(f"<{len(flat)}I", *flat)
+            new = list(parts)
+        cuts = [self.pattern.findall(p) for p in new]
+        packed, rest = {}, []
+        for m in set(chain.from_iterable(cuts)):
+            rank = self.rank.get(m.encode())
+            if rank is None:
+                rest.append(m)
+            else:
+                packed[m] = struct.pack("<I", rank)
+        ids = self.model.encode([m.encode().decode("latin-1").translate(self.table) for m in rest], num_threads=1) if rest else []
+        packed |= {m: struct.pack(f"<{len(i)}I", *i) for m, i in zip(rest, ids, strict=True)}
+        self.cache.update((p, b"".join(map(packed.__getitem__, c))) for p, c in zip(new, cuts, strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        cuts = [independent_parts(t) or self.pattern.findall(t) for t in texts]
+        wanted = set(chain.from_iterable(cuts))
+        if len(wanted) <= CACHE // 2:
+            self._fill(wanted)
+            return [b"".join(map(self.cache.__getitem__, c)) for c in cuts]
+        return [b"".join(self._slices(c)) for c in cuts]
+
+    def _slices(self, parts: list[str], step: int = CACHE // 4) -> Iterator[bytes]:
+        """Ids of a text with more distinct parts than the cache should hold, slice by slice."""
+        for at in range(0, len(parts), step):
+            some = parts[at : at + step]
+            self._fill(set(some))
+            yield b"".join(map(self.cache.__getitem__, some))
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        parts = independent_parts(text)
-        if parts is None:
-            parts = self.pattern.findall(text)
-        out = []
-        for at in range(0, len(parts), CACHE // 4):
-            some = parts[at : at + CACHE // 4]
-            try:
-                out.append(b"".join(map(self.cache.__getitem__, some)))
-            except KeyError:
-                self._fill(some)
-                out.append(b"".join(map(self.cache.__getitem__, some)))
-        return b"".join(out)
+        """Ids of one text."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that encoded ids stand for."""
@@ -155,9 +168,12 @@ def _rows(path: str, pattern: str, text: str, emit, out_schema: pa.Schema, keep:
         bpe = ByteBpe.shared(path, pattern)
         for batch in batches:
             for part, texts in kit.cut(batch, text):
-                own = list(zip(*(emit(bpe, bpe.encode((t or b"").decode())) for t in texts), strict=True))
+                own = list(zip(*(emit(bpe, ids) for ids in bpe.encode_all([(t or b"").decode() for t in texts])), strict=True))
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*cols, *(pa.array(x, f.type) for x, f in zip(own, out_schema, strict=True))], [*keep, *out_schema.names])
+        # the worker lives on and may serve another operator next
+        bpe.cache.clear()
+        kit.release()
 
     return work
 

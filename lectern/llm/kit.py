@@ -140,6 +140,11 @@ def cut(batch: pa.RecordBatch, name: str, limit: int = GROUP_BYTES) -> Iterator[
         done += len(group)
 
 
+def release() -> None:
+    """Gives Arrow memory that a worker no longer needs back to the system."""
+    pa.default_memory_pool().release_unused()
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """A column name that df doesn't have yet."""
     taken = {c.lower() for c in df.columns}

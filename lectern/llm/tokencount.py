@@ -144,6 +144,8 @@ def token_counts(docs: DataFrame, path: str, *, text: str = "text", chunk: int =
             for part, texts in kit.cut(batch, text):
                 n = [counts.count((t or b"").decode(), chunk, overlap) for t in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64())], [*part.schema.names, name])
+        counts.cache.clear()
+        kit.release()
 
     return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])), name
 
