@@ -60,7 +60,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_decontaminate, op2_language_id, op3_byte_bpe, op4_near_duplicates, op5_main_text, op6_repeated_passages, op7_quality_classifier, op8_reshard, op9_token_counts, op10_line_quality)}
 
 
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL for the same rows, where SQL can express the method's results.
+ORACLES: dict[str, str] = {
+    "op6_repeated_passages": r"""
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS p FROM d WHERE len(w) >= 20),
+k AS (SELECT doc_id, p, sha256(array_to_string(list_slice(w, p, p + 19), ' ')) AS h FROM s),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS n FROM k) WHERE n > 1),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + 19)) AS i FROM r),
+n AS (SELECT doc_id, count(*) AS n_removed FROM g GROUP BY doc_id),
+u AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM d),
+t AS (SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.i) AS kept FROM u ANTI JOIN g ON u.doc_id = g.doc_id AND u.i = g.i GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t.kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
