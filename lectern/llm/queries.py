@@ -73,6 +73,27 @@ u AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i
 t AS (SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.i) AS kept FROM u ANTI JOIN g ON u.doc_id = g.doc_id AND u.i = g.i GROUP BY u.doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t.kept, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+    "op10_line_quality": r"""
+WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS txt, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+v AS (SELECT doc_id, p, word, lead(word) OVER o AS second, lead(word, 2) OVER o AS third FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, word, second, third) AS n FROM v WHERE third IS NOT NULL) WHERE n > 1),
+again AS (SELECT doc_id, count(DISTINCT p + i) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS x(i) GROUP BY doc_id),
+chars AS (SELECT doc_id, sum(length(word)) AS word_chars FROM u GROUP BY doc_id),
+lines AS (SELECT doc_id, host, txt, unnest(string_split(txt, chr(10))) AS line FROM d),
+full_lines AS (SELECT doc_id, host, txt, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM lines),
+real AS (SELECT doc_id, host, txt, line, array_to_string(x, ' ') AS normal, len(x) AS n FROM full_lines WHERE len(x) > 0),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM real GROUP BY doc_id),
+sizes AS (SELECT host, count(DISTINCT txt) AS host_docs FROM d GROUP BY host),
+counted AS (SELECT host, normal, count(DISTINCT txt) AS n_docs FROM real GROUP BY host, normal HAVING count(DISTINCT txt) >= 20),
+frequent AS (SELECT c.host, c.normal FROM counted c JOIN sizes s ON c.host IS NOT DISTINCT FROM s.host WHERE c.n_docs > CAST(0.1 AS DOUBLE) * s.host_docs),
+lost AS (SELECT r.doc_id, sum(r.n) AS n_line_words FROM real r JOIN frequent f ON r.host IS NOT DISTINCT FROM f.host AND r.normal = f.normal GROUP BY r.doc_id),
+s AS (SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(chars.word_chars, 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(d.txt, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dups.n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(again.n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n_line_words, 0) AS BIGINT) AS n_line_words
+  FROM d LEFT JOIN chars USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN again USING (doc_id) LEFT JOIN lost USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT *, NOT base_failed AND n_words - n_line_words >= 50 AND 2 * (n_words - n_line_words) >= n_words AS kept FROM b
 """,
 }
 
