@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """df cut from its lineage, in the shared checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -16,16 +16,19 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def roots(df: DataFrame, key: str, parent: str, most_rounds: int = 40) -> DataFrame:
-    """(key, root, depth) by pointer doubling; a parent that doesn't exist ends the chase. Nodes on cycles have a null root."""
+def roots(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """(key, root, depth) by pointer doubling; a parent that doesn't exist ends the chase. Nodes that lead into a cycle have a null root.
+
+    n nodes are done after log2(n) + 1 rounds; what has a pointer then never meets a root.
+    """
     nodes = df.select(F.col(key).alias("k"), F.col(parent).alias("p"))
     known = nodes.select(F.col("k").alias("p")).distinct().withColumn("there", F.lit(True))
     at = nodes.join(known, "p", "left").select("k", F.when(F.col("there"), F.col("p")).alias("up"))
     # up: the ancestor 2**round steps above, null once the root is passed; root: the highest seen.
-    at = _cut(at.select("k", "up", F.coalesce("up", "k").alias("root"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth")))
-    for _ in range(most_rounds):
+    at = cut(at.select("k", "up", F.coalesce("up", "k").alias("root"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth")))
+    for _ in range(at.count().bit_length() + 1):
         above = at.select(F.col("k").alias("up"), F.col("up").alias("up2"), F.col("root").alias("root2"), F.col("depth").alias("depth2"))
-        at = _cut(at.join(above, "up", "left").select("k", F.col("up2").alias("up"), F.coalesce("root2", "root").alias("root"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")))
+        at = cut(at.join(above, "up", "left").select("k", F.col("up2").alias("up"), F.coalesce("root2", "root").alias("root"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")))
         if at.where("up is not null").isEmpty():
             break
     looping = F.col("up").isNotNull()
@@ -35,3 +38,45 @@ def roots(df: DataFrame, key: str, parent: str, most_rounds: int = 40) -> DataFr
 def families(rooted: DataFrame, key: str) -> DataFrame:
     """(root, members, n) of families with two members or more."""
     return rooted.where("root is not null").groupBy("root").agg(F.sort_array(F.collect_list(key)).alias("members"), F.count("*").alias("n")).where("n > 1")
+
+
+def cyclic(rooted: DataFrame, key: str) -> DataFrame:
+    """Keys that lead into a cycle."""
+    return rooted.where("root is null").select(key)
+
+
+def canonical_members(rooted: DataFrame, key: str, chosen: DataFrame, member: str) -> DataFrame:
+    """(root, canonical, valid) of each family of two or more: the chosen member (chosen: root, member), else the root itself.
+
+    valid is false where the chosen one is no member; the root stands in then.
+    """
+    members = rooted.where("root is not null").select("root", F.col(key).alias("_m"))
+    sizes = members.groupBy("root").count().where("count > 1").select("root")
+    wish = chosen.select("root", F.col(member).alias("_m"))
+    ok = wish.join(members, ["root", "_m"], "left_semi").select("root", F.col("_m").alias("_ok"))
+    out = sizes.join(wish, "root", "left").join(ok, "root", "left")
+    return out.select("root", F.coalesce("_ok", "root").alias("canonical"), (F.col("_m").isNull() | F.col("_ok").isNotNull()).alias("valid"))
+
+
+def rewrite(df: DataFrame, rooted: DataFrame, canonical: DataFrame, key: str, work: str, new_name: Column) -> DataFrame:
+    """(key, work, label, changed) of the members of all families.
+
+    A family keeps the work that its first member with one has, else it gets
+    new_name (an expression over root and canonical). Members that have a work
+    stay as they are. label: 'original' for the canonical member, 'former root'
+    for a root that another member replaced, else 'member'.
+    """
+    of = rooted.where("root is not null").select(key, "root").join(canonical.select("root", "canonical"), "root")
+    rows = df.select(key, F.col(work).alias("_own")).join(of, key)
+    known = rows.groupBy("root").agg(F.min_by("_own", F.when(F.col("_own").isNotNull(), F.col(key))).alias("_known"))
+    out = rows.join(known, "root").withColumn("_new", F.coalesce("_known", new_name))
+    label = F.when(F.col(key) == F.col("canonical"), "original").when(F.col(key) == F.col("root"), "former root").otherwise("member")
+    return out.select(key, F.coalesce("_own", "_new").alias(work), label.alias("label"), F.col("_own").isNull().alias("changed"))
+
+
+def redundant_copies(df: DataFrame, rooted: DataFrame, canonical: DataFrame, key: str, content: Column) -> DataFrame:
+    """Members other than the canonical one whose content equals it byte for byte: once it is the family's, theirs can go."""
+    of = rooted.where("root is not null").select(key, "root").join(canonical.select("root", "canonical"), "root")
+    rows = df.select(key, F.sha2(content, 256).alias("_h")).where("_h is not null").join(of, key)
+    promoted = rows.where(F.col(key) == F.col("canonical")).select("root", "_h")
+    return rows.where(F.col(key) != F.col("canonical")).join(promoted, ["root", "_h"], "left_semi").select(key)

@@ -72,3 +72,11 @@ def as_of(points: DataFrame, slices: DataFrame, keys: list[str], at: str, value:
     order = Window.partitionBy(*keys).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
     both = p.unionByName(s, allowMissingColumns=True).withColumn(name, F.last("_v", ignorenulls=True).over(order))
     return both.where(F.col("_side") == 1 - side).drop("_side", "_v")
+
+
+def wildcard_join(left: DataFrame, right: DataFrame, keys: list[str], wanted: str, held: str) -> DataFrame:
+    """Pairs with equal keys where right's held equals left's wanted or is null; two equality joins instead of an OR."""
+    right = right.drop(*[c for c in right.columns if c in left.columns and c not in keys])
+    exact = left.join(right.withColumn(wanted, F.col(held)).where(F.col(held).isNotNull()), [*keys, wanted])
+    free = left.join(right.where(F.col(held).isNull()), keys)
+    return exact.unionByName(free)

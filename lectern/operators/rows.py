@@ -70,3 +70,52 @@ def presence(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys that only one side has, and which: left or right."""
     out = left.select(key).distinct().withColumn("_l", F.lit(1)).join(right.select(key).distinct().withColumn("_r", F.lit(1)), key, "full_outer")
     return out.where("_l is null or _r is null").select(key, F.when(F.col("_r").isNull(), "left").otherwise("right").alias("side"))
+
+
+def stale_texts(stored: DataFrame, rendered: DataFrame, key: str, text: str) -> DataFrame:
+    """Keys whose stored text is 'missing' or 'stale' against a fresh rendering."""
+    both = rendered.select(key, F.col(text).alias("_new")).join(stored.select(key, F.col(text).alias("_old"), F.lit(True).alias("_there")), key, "left")
+    problem = F.when(F.col("_there").isNull(), "missing").when(~F.col("_old").eqNullSafe(F.col("_new")), "stale")
+    return both.select(key, problem.alias("problem")).where("problem is not null")
+
+
+def until_short_page(df: DataFrame, page: str, size: int) -> DataFrame:
+    """Rows of the pages up to and including the first that has fewer than size rows."""
+    short = df.groupBy(page).count().where(F.col("count") < size).agg(F.min(page)).first()[0]
+    return df if short is None else df.where(F.col(page) <= short)
+
+
+def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(key, outcome): 'both', 'left' or 'right' for every key of either side."""
+    both = left.select(key).distinct().withColumn("_l", F.lit(1)).join(right.select(key).distinct().withColumn("_r", F.lit(1)), key, "full_outer")
+    return both.select(key, F.when(F.col("_r").isNull(), "left").when(F.col("_l").isNull(), "right").otherwise("both").alias("outcome"))
+
+
+def by_frequency(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values of each key with count n and rank: most frequent first, then ascending."""
+    n = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    return n.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("n").desc(), value)))
+
+
+def free_names(df: DataFrame, name: str, taken: DataFrame, *order: Column) -> DataFrame:
+    """unique_name: the name, name-2, name-3, ... in order, without those that are taken (column name of taken).
+
+    Bare names of other rows count as taken, so no two rows ever get one name.
+    The i-th row takes the i-th free number: each taken number moves those
+    behind it by one, which an as-of lookup counts without lists of names.
+    """
+    from lectern.operators.match import as_of
+
+    shape = r"(?s)^(.*)-([1-9][0-9]*)$"
+
+    def numbered(names: DataFrame) -> DataFrame:
+        return names.where(F.col(name).rlike(shape)).select(F.regexp_extract(name, shape, 1).alias(name), F.regexp_extract(name, shape, 2).cast("long").alias("_t")).where("_t > 1")
+
+    used = taken.select(name).where(F.col(name).isNotNull())
+    numbers = numbered(used.unionByName(df.select(name))).unionByName(used.withColumn("_t", F.lit(1).cast("long"))).distinct()
+    numbers = numbers.withColumn("_j", F.row_number().over(Window.partitionBy(name).orderBy("_t")).cast("long"))
+    steps = numbers.groupBy(name, (F.col("_t") - F.col("_j") + 1).alias("_at")).agg(F.max("_j").alias("_j"))
+    ranked = df.withColumn("_at", F.row_number().over(Window.partitionBy(name).orderBy(*order)).cast("long"))
+    found = as_of(ranked, steps, [name], "_at", "_j", "_moved").withColumn("_n", F.col("_at") + F.coalesce("_moved", F.lit(0)))
+    out = F.when(F.col("_n") == 1, F.col(name)).otherwise(F.concat_ws("-", name, F.col("_n").cast("string")))
+    return found.withColumn("unique_name", out).drop("_at", "_moved", "_n", "_j")

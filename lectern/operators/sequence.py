@@ -55,3 +55,23 @@ def piecewise_seconds(points: DataFrame, tempos: DataFrame, key: str, at: str, t
     found = as_of(points, steps, [key], at, "_step", "_s", strict=True)
     micros = F.coalesce(F.col("_s.past") + (F.col(at) - F.col("_s.at")) * F.col("_s.tempo"), F.col(at) * default)
     return found.withColumn("seconds", micros / per_beat / 1_000_000).drop("_s")
+
+
+def running_time(df: DataFrame, key: str, order: list[str], delta: str) -> DataFrame:
+    """at: the deltas summed up to the row; span: the key's last time."""
+    w = Window.partitionBy(key)
+    return df.withColumn("at", F.sum(delta).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).withColumn("span", F.sum(delta).over(w))
+
+
+def open_words(df: DataFrame, key: str, order: list[str], is_open: Column) -> DataFrame:
+    """word: number of the word a part belongs to; a part joins the word before while that one's last part is open."""
+    w = Window.partitionBy(key).orderBy(*order)
+    starts = (~F.coalesce(F.lag(is_open).over(w), F.lit(False))).cast("int")
+    return df.withColumn("_s", starts).withColumn("word", F.sum("_s").over(w)).drop("_s")
+
+
+def merge_unvalued(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """group: rows without a value go to the valued row before them, leading ones to the first; keys without any value are dropped."""
+    w = Window.partitionBy(key)
+    n = F.count(value).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn("_n", F.count(value).over(w)).where("_n > 0").withColumn("group", F.greatest(n, F.lit(1))).drop("_n")

@@ -27,3 +27,17 @@ def object_rows(df: DataFrame, column: str, schema: str) -> DataFrame:
 def listing_rows(df: DataFrame, column: str) -> DataFrame:
     """A JSON array of arrays whose first row is the header: (position, cells)."""
     return df.select(F.posexplode(F.from_json(column, "array<array<string>>")).alias("position", "cells")).where("position > 0")
+
+
+def json_rows(df: DataFrame, column: str, schema: str) -> DataFrame:
+    """df with value (the parsed object) and unreadable (true for broken documents, whose value is null)."""
+    parsed = F.from_json(column, f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    out = df.withColumn("_v", parsed)
+    broken = F.col("_v._broken").isNotNull() | F.col("_v").isNull()
+    return out.withColumn("unreadable", broken).withColumn("value", F.when(~broken, F.col("_v"))).drop("_v")
+
+
+def quoted_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Quoted CSV with doubled quotes and line ends inside quotes; rows with too few fields are dropped."""
+    reader = spark.read.schema(f"{schema}, _short string").option("header", "true").option("quote", '"').option("escape", '"').option("multiLine", "true")
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_short").csv(path).where("_short is null").drop("_short")
