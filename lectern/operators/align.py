@@ -5,7 +5,9 @@ from __future__ import annotations
 import difflib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,36 +18,79 @@ SLACK = 4
 ALIGNED = "cost int, consumed int, edits string"
 
 
-def align_words(source: list[str], target: list[str]) -> tuple[int, int, str]:
-    """Cheapest alignment of all source words with a prefix of the target.
+#: Cells of the tables that one call fills together.
+CELLS = 1 << 22
+
+
+def _same_shape(source: np.ndarray, target: np.ndarray, glued: np.ndarray) -> list[tuple[int, int, str]]:
+    """Alignments of equally long lines (one a row) of word codes; glued: codes of each target word joined with the next."""
+    lines, n = source.shape
+    m = target.shape[1]
+    at = np.arange(m + 1, dtype=np.int32)
+    below = np.zeros((lines, m + 1), np.int32)
+    steps = np.empty((n, lines, m + 1), np.int8)
+    far = np.int32(1 << 30)
+    for i in range(n - 1, -1, -1):
+        word = source[:, i : i + 1]
+        match, glue = np.full((lines, m + 1), far), np.full((lines, m + 1), far)
+        match[:, :m] = below[:, 1:] + (target != word)
+        if m > 1:
+            glue[:, : m - 1] = np.where(glued == word, below[:, 2:], far)
+        skip = below + 1
+        best = np.minimum(np.minimum(match, glue), skip)
+        # skipping target words costs one each: a running minimum from the right
+        cost = np.minimum.accumulate((best + at)[:, ::-1], axis=1)[:, ::-1] - at
+        steps[i] = np.select([glue == cost, match == cost, skip == cost], [0, 1, 2], 3)
+        below = cost
+    out = []
+    for line in range(lines):
+        i = j = 0
+        edits = []
+        while i < n:
+            step = int(steps[i, line, j])
+            edits.append("gmlw"[step])
+            i += step != 3
+            j += (2, 1, 0, 1)[step]
+        out.append((int(below[line, 0]), j, "".join(edits)))
+    return out
+
+
+def align_many(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int, str]]:
+    """(cost, consumed, edits): the cheapest alignment of all source words with a prefix of the target, for each pair.
 
     A match costs 0 or, if the words differ, 1; one source word may stand for two
     target words glued together at no cost; skipping a word on either side costs 1.
-    Ties prefer g, m, l, w, in this order, from the front. Time: source x target words.
+    Ties prefer g, m, l, w, in this order, from the front. Lines of one shape are
+    computed together; time and memory of a line: source x target words.
     """
-    n, m = len(source), len(target)
-    cost = [[n - i] * (m + 1) for i in range(n + 1)]
-    step = [["l"] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m, -1, -1):
-            options = [(cost[i + 1][j] + 1, 2, "l")]
-            if j < m:
-                options += [(cost[i + 1][j + 1] + (source[i] != target[j]), 1, "m"), (cost[i][j + 1] + 1, 3, "w")]
-                if j + 1 < m and source[i] == target[j] + target[j + 1]:
-                    options.append((cost[i + 1][j + 2], 0, "g"))
-            cost[i][j], _, step[i][j] = min(options)
-    i = j = 0
-    edits = []
-    while i < n:
-        edits.append(step[i][j])
-        i += edits[-1] != "w"
-        j += {"g": 2, "m": 1, "w": 1, "l": 0}[edits[-1]]
-    return cost[0][0], j, "".join(edits)
+    out: list[tuple[int, int, str] | None] = [None] * len(pairs)
+    shapes: dict[tuple[int, int], list[int]] = {}
+    for at, (source, target) in enumerate(pairs):
+        if source == target[: len(source)]:
+            out[at] = (0, len(source), "m" * len(source))
+        else:
+            shapes.setdefault((len(source), len(target)), []).append(at)
+    codes: dict[str, int] = {}
+    for (n, m), rows in shapes.items():
+        size = max(1, CELLS // ((n + 1) * (m + 1)))
+        for lo in range(0, len(rows), size):
+            part = rows[lo : lo + size]
+            source = np.array([[codes.setdefault(w, len(codes)) for w in pairs[r][0]] for r in part], np.int64).reshape(len(part), n)
+            target = np.array([[codes.setdefault(w, len(codes)) for w in pairs[r][1]] for r in part], np.int64).reshape(len(part), m)
+            glued = np.array([[codes.get(x + y, -1) for x, y in pairwise(pairs[r][1])] for r in part], np.int64).reshape(len(part), max(0, m - 1))
+            for r, verdict in zip(part, _same_shape(source, target, glued), strict=True):
+                out[r] = verdict
+    return out
+
+
+def align_words(source: list[str], target: list[str]) -> tuple[int, int, str]:
+    return align_many([(source, target)])[0]
 
 
 def _aligned(source: pd.Series, target: pd.Series) -> pd.DataFrame:
-    rows = [(None, None, None) if s is None or t is None else align_words(list(s), list(t)) for s, t in zip(source, target, strict=True)]
-    return pd.DataFrame(rows, columns=["cost", "consumed", "edits"])
+    given = [s is not None and t is not None for s, t in zip(source, target, strict=True)]
+    found = iter(align_many([(list(s), list(t)) for s, t, ok in zip(source, target, given, strict=True) if ok]))
+    return pd.DataFrame([next(found) if ok else (None, None, None) for ok in given], columns=["cost", "consumed", "edits"])
 
 
 def aligned_lines(df: DataFrame, source: str, target: str) -> DataFrame:
@@ -64,18 +109,21 @@ def aligned_lines(df: DataFrame, source: str, target: str) -> DataFrame:
 
 
 def _documents(lines: pd.Series, stream: pd.Series) -> pd.DataFrame:
-    rows = []
-    for ours, theirs in zip(lines, stream, strict=True):
-        at, total, failed = 0, 0, None
-        words = [] if theirs is None else list(theirs)
-        for number, line in enumerate([] if ours is None else ours):
-            line = list(line)
-            cost, consumed, _ = align_words(line, words[at : at + len(line) + SLACK])
-            if cost > max(1, len(line) // 5):
-                failed = number
-                break
-            at, total = at + consumed, total + cost
-        rows.append((failed is None, failed, total, at))
+    """The n-th lines of all documents of a batch are aligned together, then the next ones."""
+    ours = [[] if x is None else [list(line) for line in x] for x in lines]
+    theirs = [[] if x is None else list(x) for x in stream]
+    at, total, failed = [0] * len(ours), [0] * len(ours), [None] * len(ours)
+    number, active = 0, [d for d, x in enumerate(ours) if x]
+    while active:
+        pairs = [(ours[d][number], theirs[d][at[d] : at[d] + len(ours[d][number]) + SLACK]) for d in active]
+        for d, (source, _), (cost, consumed, _) in zip(active, pairs, align_many(pairs), strict=True):
+            if cost > max(1, len(source) // 5):
+                failed[d] = number
+            else:
+                at[d], total[d] = at[d] + consumed, total[d] + cost
+        number += 1
+        active = [d for d in active if failed[d] is None and len(ours[d]) > number]
+    rows = [(f is None, f, t, a) for f, t, a in zip(failed, total, at, strict=True)]
     return pd.DataFrame(rows, columns=["accepted", "failed_line", "cost", "consumed"])
 
 
