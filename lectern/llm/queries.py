@@ -62,6 +62,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 #: DuckDB SQL for the same rows, where SQL can express the method's results.
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": r"""
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') END AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+spots AS (SELECT item_id, w, least(len(w), 10) AS k, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS p FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS h FROM spots),
+sizes AS (SELECT DISTINCT k FROM win),
+s AS (SELECT doc_id, k, w, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d JOIN sizes ON len(w) >= k),
+occ AS (SELECT s.doc_id, s.p, s.k, win.item_id FROM (SELECT doc_id, p, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS h FROM s) s JOIN win ON s.k = win.k AND s.h = win.h),
+hits AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS i FROM occ) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op4_near_duplicates": r"""
+WITH RECURSIVE d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') END AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS h FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+links AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS doc, doc_id AS reached FROM d UNION SELECT r.doc, links.y FROM r JOIN links ON r.reached = links.x),
+c AS (SELECT doc, min(reached) AS component_id FROM r GROUP BY doc)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept FROM d JOIN c ON c.doc = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+""",
     "op6_repeated_passages": r"""
 WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w FROM documents),
 s AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS p FROM d WHERE len(w) >= 20),
