@@ -4,8 +4,10 @@ A page is read as blocks of text, each with its root-to-leaf tag path. Text
 length and punctuation are totalled by path and divided by the path's number
 of blocks; the two ratios are smoothed along the page, fused by their product
 and compared with a threshold. Blocks above it mark the content. The content
-is everything, short lines and headings included, under the deepest element
-that holds nearly all marked text.
+is everything, short lines and headings included, in the page's one article or
+main element. A page without one is cut to the deepest element that holds
+nearly all marked text, and from there out as long as an enclosing element adds
+only marked blocks, headings and lines between its title and the content.
 
 Elements that never hold article text by their kind (navigation, forms,
 scripts, ...) or by a word of their class, id or role (adverts, cookie
@@ -46,6 +48,9 @@ _NEVER = frozenset("head nav footer aside form script style noscript iframe obje
 _WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header hidden masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted related reply replies respond share sharing sidebar sidebars skip social sponsor sponsored subscribe subscription tags toolbar widget widgets".split()
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Lists, tables and links between a title and the content are no lines of the article.
+_LISTED = frozenset("ul ol dl table a".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar".split())
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -200,27 +205,48 @@ def marked(found: list[Block]) -> list[bool]:
     return [f >= level for f in fused]
 
 
+def _climbed(found: list[Block], yes: list[bool], tags: dict[int, str], content: int) -> int:
+    """The highest element around content whose other blocks belong to it too."""
+    first = next(i for i, b in enumerate(found) if content in b.elements)
+    around = found[first].elements
+    around = around[: around.index(content)]
+    title = stop = 0
+    for i, b in enumerate(found):
+        if content in b.elements:
+            continue
+        # So many elements around the content hold the block too.
+        n = next((k for k, (x, y) in enumerate(zip(around, b.elements)) if x != y), min(len(around), len(b.elements)))
+        own = {tags[e] for e in b.elements[n:]}
+        title = max(title, n) if "h1" in own else title
+        line = i < first and n <= title and own.isdisjoint(_LISTED)
+        if not (yes[i] or line or not own.isdisjoint(_HEADINGS)):
+            stop = max(stop, n)
+    return around[stop] if stop < len(around) else content
+
+
 def main_text(page: str) -> str:
     """The article's blocks, one a line."""
     found, tags = blocks(page)
     if not found:
         return ""
-    ways: dict[int, int] = {}
     for n in ("article", "main"):
         holders = {e for b in found for e in b.elements if tags[e] == n}
         outer = {e for e in holders if not any(e in b.elements and any(o in holders and o < e for o in b.elements) for b in found)}
         if len(outer) == 1:
             (only,) = outer
-            found = [b for b in found if only in b.elements]
-            break
-    weights = [len(b.text) if yes else 0 for b, yes in zip(found, marked(found), strict=True)]
+            return "\n".join(b.text for b in found if only in b.elements)
+    yes = marked(found)
+    weights = [len(b.text) if y else 0 for b, y in zip(found, yes, strict=True)]
     total = sum(weights)
+    ways: dict[int, int] = {}
     for b, w in zip(found, weights, strict=True):
         for e in b.elements:
             ways[e] = ways.get(e, 0) + w
     # Numbers grow with depth along a path, so the last of the holders is the deepest.
     holders = [e for e, w in ways.items() if w >= COVER * total and tags[e] not in _INLINE and tags[e] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "th", "ul", "ol")]
     content = max(holders, default=None)
+    if content is not None:
+        content = _climbed(found, yes, tags, content)
     return "\n".join(b.text for b in found if content is None or content in b.elements)
 
 

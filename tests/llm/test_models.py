@@ -75,6 +75,26 @@ def test_main_text(page):
     assert htmlmain.main_text(page) == PAGES[page]
 
 
+_LONG = "".join(f"<p>Paragraph {i} of the body, which is long, and which goes on for a while.</p>" for i in range(30))
+_BODY = "\n".join(f"Paragraph {i} of the body, which is long, and which goes on for a while." for i in range(30))
+_TABLE = "".join(f"<tr><td>A long cell {i}, with words, marks and more, so that it weighs.</td></tr>" for i in range(60))
+_CELLS = "\n".join(f"A long cell {i}, with words, marks and more, so that it weighs." for i in range(60))
+_DL = _TABLE.replace("<tr><td>", "<dt>").replace("</td></tr>", "</dt>")
+NESTED = {
+    f"<article><h1>Title</h1><p>Lead.</p><div class=body>{_LONG}</div><p>Closing.</p></article>": f"Title\nLead.\n{_BODY}\nClosing.",
+    f"<main><h1>Title</h1><p>By X</p><section>{_LONG}</section><p>Closing.</p></main>": f"Title\nBy X\n{_BODY}\nClosing.",
+    f"<article><h1>Title</h1><p>Lead.</p><table>{_TABLE}</table><p>Closing.</p></article>": f"Title\nLead.\n{_CELLS}\nClosing.",
+    f"<article><p>Lead.</p><dl>{_DL}</dl><p>Closing.</p></article>": f"Lead.\n{_CELLS}\nClosing.",
+    f"<article><p>Lead.</p><figure><figcaption>{_LONG}</figcaption></figure></article>": f"Lead.\n{_BODY}",
+    f"<div id=top><ul><li>Home<li>News<li>Other</ul></div><div id=post><h1>Title</h1><div>By X</div><div class=body>{_LONG}</div><h2>Last words</h2></div><div id=end><ul><li>a<li>b<li>c</ul></div>": f"Title\nBy X\n{_BODY}\nLast words",
+}
+
+
+@pytest.mark.parametrize("page", NESTED)
+def test_main_text_of_nested_pages(page):
+    assert htmlmain.main_text(page) == NESTED[page]
+
+
 def test_main_text_of_given_pages(spark):
     import html
     import re
