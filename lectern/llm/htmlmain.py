@@ -10,8 +10,10 @@ nearly all marked text, and from there out as long as an enclosing element adds
 only marked blocks, headings and lines between its title and the content.
 
 Elements that never hold article text by their kind (navigation, forms,
-scripts, ...) or by a word of their class, id or role (adverts, cookie
-notices, reader comments, ...) are left out before the ratios are taken.
+scripts, ...) or role, that are hidden, or that go by a name of such (adverts,
+cookie notices, reader comments, ...) in their class or id are left out before
+the ratios are taken. A name alone is not enough where its element holds most
+of the text of a page without article or main element outside of it.
 
 Defined results: null html gives the empty text. Unclosed elements end where
 an enclosing one ends or where HTML lets them end; an unclosed comment or
@@ -51,10 +53,15 @@ _WORDS = frozenset(
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Lists, tables and links between a title and the content are no lines of the article.
 _LISTED = frozenset("ul ol dl table a".split())
+# Words that count at the end of a name as well, unless one of the others opens it.
+_LAST = frozenset("adsense advertisement adverts breadcrumb breadcrumbs commentlist comments menu nav navbar navigation newsletter pagination related share sharing sidebar sidebars".split())
+_LAYOUT = frozenset("has is no not one two three with without".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar".split())
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 
@@ -64,7 +71,7 @@ class _Element:
     tag: str
     label: str
     number: int
-    off: bool
+    off: int  # 0, or the number of the element left out by name, or -1 for another reason
 
 
 @dataclass
@@ -78,19 +85,48 @@ class Block:
 
 
 def _is_off(tag: str, attributes: str, inside_article: bool) -> bool:
+    """Whether an element is left out by its kind, its role or as hidden."""
     if tag in _NEVER or tag == "header" and not inside_article:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
-        if name == "role" and value in _ROLES or name in ("class", "id") and not _WORDS.isdisjoint(_SPLIT.split(value)) or name == "aria-hidden" and value == "true":
+        if name == "role" and value in _ROLES or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes)) or "display:none" in attributes.replace(" ", "")
+    return "hidden" in attributes and bool(_HIDDEN.search(_QUOTED.sub("", attributes)))
+
+
+def _is_named(tag: str, attributes: str) -> bool:
+    """Whether an element goes by a name of what is no article text; its first word counts, its last in a class if it is plain."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return False
+    for kind, *values in _ATTRIBUTE.findall(attributes):
+        kind = kind.lower()
+        if kind not in ("class", "id") or kind == "id" and tag in _HEADINGS:
+            continue
+        for name in next((v for v in values if v), "").lower().split():
+            words = [w for w in _SPLIT.split(name) if w] or [""]
+            if words[0] in _WORDS and (len(words) == 1 or words[0] != "hidden") or kind == "class" and words[-1] in _LAST and words[0] not in _LAYOUT:
+                return True
+    return False
 
 
 def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
     """Text blocks outside of left-out elements, and the tag of each open element by number."""
+    kept: set[int] = set()
+    while True:
+        found, tags, named = _read(page, kept)
+        total = sum(named.values()) + sum(len(b.text) for b in found)
+        most = [e for e, size in named.items() if 2 * size > total]
+        if not most or any(tags[e] in ("article", "main") for b in found for e in b.elements):
+            return found, tags
+        kept.update(most)
+
+
+def _read(page: str, kept: set[int]) -> tuple[list[Block], dict[int, str], dict[int, int]]:
+    """Blocks and tags, and the characters in each element left out by name; those in kept stay in."""
+    named: dict[int, int] = {}
     stack: list[_Element] = []
     out: list[Block] = []
     tags: dict[int, str] = {}
@@ -99,7 +135,11 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
 
     def text(raw: str) -> None:
         nonlocal current
-        if not raw or any(e.off for e in stack[-1:]):
+        if not raw:
+            return
+        if stack and stack[-1].off:
+            if stack[-1].off > 0 and (size := len(" ".join(raw.split()))):
+                named[stack[-1].off] = named.get(stack[-1].off, 0) + size
             return
         if current is None:
             current = Block(tuple(e.label for e in stack), tuple(e.number for e in stack))
@@ -160,7 +200,11 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
         number += 1
         tags[number] = tag
         inside = any(e.tag in ("article", "main") for e in stack)
-        off = bool(stack) and stack[-1].off or _is_off(tag, m[3], inside)
+        off = stack[-1].off if stack else 0
+        if off >= 0 and _is_off(tag, m[3], inside):
+            off = -1
+        elif not off and number not in kept and _is_named(tag, m[3]) and not any(e.tag in ("pre", "code") for e in stack):
+            off = number
         if off and not (stack and stack[-1].off) and tag in _INLINE:
             text(" ")
         if m[3].rstrip().endswith("/") and tag in ("svg", "path", "use"):
@@ -174,7 +218,7 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
     if not page.startswith("<", at) or not re.match(r"</?[a-zA-Z]", page[at : at + 3]):
         text(page[at:])
     close()
-    return out, tags
+    return out, tags, named
 
 
 def _smoothed(values: list[float]) -> list[float]:

@@ -95,6 +95,25 @@ def test_main_text_of_nested_pages(page):
     assert htmlmain.main_text(page) == NESTED[page]
 
 
+NAMED = {
+    f"<div class='content has-sidebar'>{_LONG}</div><div class='right-sidebar'>Side text, long enough.</div>": _BODY,
+    f"<div class='overflow-hidden no-comments'>{_LONG}</div>": _BODY,
+    f"<article><div class='post-header'><h1>Title</h1></div>{_LONG}<div class='post-share'>Share it</div></article>": f"Title\n{_BODY}",
+    f"<div class=post><div class='article-header'><h1>Title</h1></div><div class=body>{_LONG}</div></div>": f"Title\n{_BODY}",
+    f"<article>{_LONG}<pre>x = 1 <span class='hljs-comment'># one</span> <i class='token comment'># two</i></pre></article>": f"{_BODY}\nx = 1 # one # two",
+    f"<article><p title='the hidden gem'>Lead.</p><p title='display:none'>Next.</p>{_LONG}<p hidden>x</p><p hidden=''>x</p><p style='Display: none'>x</p></article>": f"Lead.\nNext.\n{_BODY}",
+    f"<article><h2 id=cookies>Cookies</h2>{_LONG}<div id=comments>First!</div></article>": f"Cookies\n{_BODY}",
+    f"<div class=widget>{_LONG}<div class=ads>Buy it.</div></div><p class=notice>End.</p>": _BODY,
+    f"<div class=widget><div class=widget-body>{_LONG}</div></div>": _BODY,
+    f"<main><p>Short.</p></main><div class=comments>{_LONG}</div>": "Short.",
+}
+
+
+@pytest.mark.parametrize("page", NAMED)
+def test_main_text_and_names(page):
+    assert htmlmain.main_text(page) == NAMED[page]
+
+
 def test_main_text_of_given_pages(spark):
     import html
     import re
