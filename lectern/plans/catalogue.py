@@ -213,6 +213,21 @@ def containment_match(t: Tables) -> DataFrame:
     return t.nation.join(t.supplier, hits >= F.ceil(F.lit(0.5) * F.size(words))).groupBy("n_nationkey").agg(F.min("s_suppkey").alias("s_suppkey"))
 
 
+# Words of titles that tell nothing.
+_STOP = "a an the of in to and is o oh for my thy with".split()
+_STOP_SQL = ", ".join(f"'{w}'" for w in ("", *_STOP))
+_ENTITY_KEY = _KEY.format("regexp_replace({0}, '&#?[0-9A-Za-z_]+;', ' ', 'g')")
+
+
+@query(f"""with b as (select item_id, list_filter(string_split({_ENTITY_KEY.format("split_part(text, '.', 1)")}, ' '), lambda w: w not in ({_STOP_SQL})) as w from benchmark), d as (select doc_id, {_ENTITY_KEY.format("text")} as t from documents)
+    select item_id, min(doc_id) as doc_id from b join d on 100 * len(list_filter(b.w, lambda w: contains(d.t, w))) >= 80 * len(b.w) group by 1""")
+def title_containment(t: Tables) -> DataFrame:
+    """The first document that contains four fifths of the words of a benchmark item's first sentence, stop words aside."""
+    words = F.split(X.key_without_entities(F.split_part("text", F.lit("."), F.lit(1))), " ")
+    wanted = t.benchmark.select("item_id", F.filter(words, lambda w: ~w.isin("", *_STOP)).alias("words"))
+    return match.contained_words(wanted, "item_id", "words", t.documents.select("doc_id", X.key_without_entities(F.col("text")).alias("t")), "doc_id", "t")
+
+
 @query("""select f.p_name, f.file, w.wanted from (select p_name, min(p_partkey) as file from part where p_size > 25 group by 1) f join (select p_name, min(p_partkey) as wanted from part where p_size <= 25 group by 1) w using (p_name)""")
 def consume_match(t: Tables) -> DataFrame:
     files = t.part.where("p_size > 25").select("p_name", F.col("p_partkey").alias("file"))

@@ -7,8 +7,8 @@ from functools import cache
 from pyspark.sql import functions as F
 
 from lectern.functions import records as R
-from lectern.operators import align, dedupe, rows
-from lectern.plans import alignment
+from lectern.operators import align, dedupe, match, rows
+from lectern.plans import alignment, catalogue  # noqa: F401
 from lectern.plans.registry import QUERIES, Tables
 from lectern.sources import landed
 
@@ -178,3 +178,20 @@ def test_sources(spark, tmp_path):
     path.write_bytes(b'a,b,c\r\n"x ""q""","line\nend",3\r\nshort,row\r\n1,2,3\r\n')
     got = landed.quoted_csv(spark, str(path), "a string, b string, c string").collect()
     assert [tuple(r) for r in got] == [('x "q"', "line\nend", "3"), ("1", "2", "3")]
+
+
+def test_contained_words(spark):
+    rng = random.Random(4)
+    make = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    texts = [(i, None if i == 3 else " ".join(make(rng.randrange(1, 7)) for _ in range(rng.randrange(0, 9)))) for i in range(60)]
+    wanted = [(i, None if i == 5 else [make(rng.randrange(1, 6)) for _ in range(i % 7)]) for i in range(80)]
+    got = match.contained_words(spark.createDataFrame(wanted, "i long, w array<string>"), "i", "w", spark.createDataFrame(texts, "d long, t string"), "d", "t")
+    fits = lambda w, t: t is not None and 5 * sum(x in t for x in w) >= 4 * len(w)
+    expected = {i: min(hits) for i, w in wanted if w is not None and (hits := [d for d, t in texts if fits(w, t)])}
+    assert {r["i"]: r["d"] for r in got.collect()} == expected and 10 < len(expected) < 75
+
+
+def test_title_containment_is_selective(spark):
+    sf = "/root/testdata/sf0.01"
+    found = QUERIES["title_containment"](spark, sf).count()
+    assert 0 < found < spark.read.parquet(f"{sf}/benchmark.parquet").count()
