@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lectern.functions import pages as P
 from lectern.functions import records as R
 from lectern.functions import text as X
-from lectern.operators import dedupe
+from lectern.operators import dedupe, family
+from lectern.plans import records
 from lectern.plans.registry import Tables, query
 
 _ARTICLE = (r"(?is)<article>(.*?)</article>", r"(?is)<body>(.*)</body>")
@@ -33,16 +34,88 @@ def embedded_fragments(t: Tables) -> DataFrame:
     return found.select("event_id", F.get("f", F.lit(0))["k"].alias("first"), F.get("f", F.lit(1))["k"].alias("second"), F.size("f").alias("n"))
 
 
+_COMMENT = r"(?s)<!--.*?-->"
+_NOTICE = r"(?i)(©|&copy;)\s*(19|20)[0-9]{2}|copyright\s+(19|20)[0-9]{2}|arrangement\s*(©|&copy;)"
+_FREE = r'(?i)class="public-domain"'
+_CREDIT = r'(?is)<p id="(?:lyrics|credits|words)">(.*?)</p>'
+_TRANSLATED = r'(?is)<a\s[^>]*class="[^"]*xlat-en[^>]*>.*?</a>\s*,?\s*((?:1[5-9]|20)[0-9]{2})?'
+#: Fields that an accepted page takes from its parent.
+INHERITED = ["themes", "key", "bpm", "meter"]
+
+
+def _fields(pages: DataFrame) -> DataFrame:
+    """What each page says of itself."""
+    d = pages.select("page_id", "url", F.regexp_replace("html", _COMMENT, "").alias("h"))
+    shown = F.regexp_replace(F.regexp_replace("h", r"(?is)<script.*?</script>", ""), "<[^>]+>", " ")
+    d = d.select("*", F.regexp_extract("h", _CREDIT, 1).alias("c"), R.main_block(F.col("h"), _ARTICLE).alias("block"), F.col("h").rlike(_FREE).alias("free"), shown.rlike(_NOTICE).alias("notice"))
+    d = d.withColumn("p", P.paragraphs(F.col("block"))).withColumn("by", P.credits(F.col("c")))
+    named = X.visible(F.split_part(F.regexp_extract("h", r'(?i)<meta name="keywords" content="([^"]*)"', 1), F.lit(","), F.lit(1)))
+    own = X.visible(F.regexp_extract("c", r'(?is)<span lang="[a-z-]+">(.*?)</span>', 1))
+    return d.select(
+        "page_id", "url", "free", "notice",
+        X.page_title(F.col("h")).alias("title"),
+        F.col("block").isNotNull().alias("corpus"),
+        R.stanza_text(P.verses(F.col("p")), P.chorus(F.col("p"))).alias("body"),
+        F.coalesce(R.or_null(R.without_dates(F.col("by.author"))), R.or_null(named)).alias("author"),
+        R.or_null(R.without_dates(F.col("by.translator"))).alias("translator"),
+        X.year_of(X.visible(F.col("c"))).alias("author_year"),
+        R.or_null(F.regexp_extract("c", _TRANSLATED, 1)).cast("int").alias("translated_year"),
+        R.or_null(own).alias("original"),
+        F.col("c").rlike(r'(?i)class="xlat-unk"').alias("unknown"),
+        F.substring_index(P.alternate(F.col("h"), "en"), "/", -1).alias("alternate"),
+        F.coalesce(R.or_null(F.regexp_extract("h", r'(?i)<html[^>]*\blang="([^"]*)"', 1)), F.lit("?")).alias("language"),
+        R.or_null(F.trim(F.split_part(X.visible(F.regexp_extract("h", r'(?is)<div class="marquee">(.*?)</div>', 1)), F.lit("@"), F.lit(2)))).alias("scripture"),
+    )
+
+
+def _key(c: str):
+    return R.or_null(X.key_unicode(F.col(c)))
+
+
+def extracted(pages: DataFrame, catalogue: DataFrame, index: DataFrame) -> DataFrame:
+    """One outcome for every page, the first test that fails in order, and the record of the accepted ones.
+
+    catalogue: (title, year and the INHERITED fields), one row a title key. index: (page, english), titles of the
+    English pages by file name. A page after the year limit keeps its keys free for later ones.
+    """
+    d = _fields(pages).withColumn("first", X.first_line(F.col("body"))).withColumn("own_year", F.coalesce("translated_year", "author_year"))
+    tests = F.when(F.coalesce("notice", F.lit(False)) & ~F.col("free"), "notice").when(F.coalesce(F.col("title") == "", F.lit(True)), "no title")
+    d = d.withColumn("failed", tests.when(~F.col("corpus"), "no corpus").when(F.coalesce(F.col("body") == "", F.lit(True)), "no stanzas"))
+    d = d.withColumn("late", F.coalesce(F.col("own_year") > 1930, F.lit(False)) & ~F.col("free"))
+    keyed = family.cut(d.where("failed is null").select("page_id", _key("title").alias("a"), _key("first").alias("b"), "late"))
+    marks = family.cut(dedupe.greedy_two_keys(keyed.where("not late"), "page_id", "a", "b").select("page_id", "a", "b", "accepted"))
+    taken = marks.where("accepted").select("page_id", F.explode(F.array("a", "b")).alias("k")).where("k is not null").groupBy("k").agg(F.min("page_id").alias("m"))
+    late = keyed.where("late").select("page_id", F.explode(F.array("a", "b")).alias("k")).join(taken, "k").where("m < page_id").select("page_id").distinct()
+    out = d.join(marks.select("page_id", "accepted"), "page_id", "left").join(late.withColumn("seen", F.lit(True)), "page_id", "left")
+    outcome = F.coalesce("failed", F.when(F.col("accepted"), "accepted").when(F.col("late") & F.col("seen").isNull(), "year").otherwise("duplicate"))
+    out = out.withColumn("outcome", outcome)
+
+    known = catalogue.select(_key("title").alias("k"), F.struct(F.col("title").alias("parent"), F.col("year").alias("parent_year"), *INHERITED).alias("found"))
+    out = out.withColumn("k1", _key("original")).join(known.select(F.col("k").alias("k1"), F.col("found").alias("f1")), "k1", "left")
+    english = index.select(F.col("page").alias("alternate"), _key("english").alias("k2"))
+    out = out.join(english, "alternate", "left").join(known.select(F.col("k").alias("k2"), F.col("found").alias("f2")), "k2", "left")
+    out = out.withColumn("f", F.coalesce("f1", "f2"))
+
+    yes = F.col("outcome") == "accepted"
+    translation = F.col("translator").isNotNull() | F.col("original").isNotNull() | F.col("unknown")
+    name, year = F.when(translation, F.col("translator")).otherwise(F.col("author")), F.when(translation, F.col("translated_year")).otherwise(F.col("author_year"))
+    relation = R.relation_label(F.col("f").isNotNull(), F.col("language"), translation, name, year)
+    record = {
+        "body": F.col("body"), "writer": X.credit(F.col("author"), F.col("translator"), "Anonymous"), "year": F.coalesce("own_year", "f.parent_year"),
+        "parent": F.col("f.parent"), "relation": relation, "scripture": F.col("scripture"), **{c: F.col(f"f.{c}") for c in INHERITED},
+    }
+    return out.select("page_id", X.slug(F.col("title")).alias("slug"), "title", *(F.when(yes, v).alias(c) for c, v in record.items()), "outcome")
+
+
 @query()
 def extraction_job(t: Tables) -> DataFrame:
-    """Title, stanzas, filters and greedy deduplication of pages, one outcome for every page."""
-    d = t.pages.select("page_id", "url", X.page_title(F.col("html")).alias("title"), P.paragraphs(R.main_block(F.col("html"), _ARTICLE)).alias("p"))
-    d = d.withColumn("body", R.stanza_text(P.verses(F.col("p")), P.chorus(F.col("p")))).withColumn("first", X.first_line(F.col("body"))).drop("p")
-    failed = F.when(F.coalesce(F.col("title") == "", F.lit(True)), "no title").when(F.coalesce(F.col("body") == "", F.lit(True)), "no stanzas")
-    d = d.withColumn("failed", failed)
-    key = lambda c: R.or_null(X.key_unicode(F.col(c)))
-    good = d.where("failed is null").select("page_id", key("title").alias("a"), key("first").alias("b"))
-    marks = dedupe.greedy_two_keys(good, "page_id", "a", "b").select("page_id", "accepted")
-    out = d.join(marks, "page_id", "left")
-    outcome = F.coalesce("failed", F.when(F.col("accepted"), "accepted").otherwise("duplicate"))
-    return out.select("page_id", X.slug(F.col("title")).alias("slug"), "title", F.when(outcome == "accepted", F.col("body")).alias("body"), outcome.alias("outcome"))
+    """Pages to records: notice, title, corpus, stanzas, greedy deduplication and year in order, then credits and a parent's fields.
+
+    Parts stand in for the catalogue, and the pages themselves for the index of English titles.
+    """
+    tunes = records.tune_fields(t).select("p_partkey", "key", "meter", "bpm", "year")
+    parts = t.part.select("p_partkey", F.col("p_name").alias("title"), F.col("p_type").alias("themes")).join(tunes, "p_partkey").withColumn("k", _key("title"))
+    catalogue = parts.where("k is not null").groupBy("k").agg(F.min_by(F.struct("title", "year", *INHERITED), "p_partkey").alias("r")).select("r.*")
+    name = R.or_null(F.substring_index(F.regexp_replace("url", "[?#].*$", ""), "/", -1))
+    titled = t.pages.select("page_id", name.alias("page"), X.page_title(F.col("html")).alias("title")).where("page is not null and title <> ''")
+    return extracted(t.pages, catalogue, titled.groupBy("page").agg(F.min_by("title", "page_id").alias("english")))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lectern.functions import pages as P
 from lectern.functions import records as R
 from lectern.functions import text as X
+from lectern.plans import extraction
 from lectern.plans.registry import QUERIES, Tables
 
 SF = "/root/testdata/sf0.001"
@@ -39,3 +40,25 @@ def test_extraction_job(spark):
             assert (got[r["i"]]["outcome"] == "accepted") == (not keys & seen)
             if got[r["i"]]["outcome"] == "accepted":
                 seen |= keys
+
+
+def test_extraction_outcomes_and_records(spark):
+    def page(title, first, credit="", more=""):
+        return f"<html lang='fr'><html lang=\"French\"><head><title>{title}</title>{more}</head><body><article><p>{first}<br>two</p></article><p id=\"credits\">{credit}</p></body></html>"
+
+    tr = '<span lang="en">Old Song</span> <a href="/bio/a">Au Thor (1700-1750)</a> 1740, <a class="xlat-en" href="/bio/t">Tr Ans</a>, {}'
+    rows = [
+        page("A", "one", more="<p>Copyright 1990</p>"), page("B", "two b", more="<p class=\"public-domain\">&copy; 1990</p>"), page("C", "three", tr.format(1931)),
+        page("C", "four", tr.format(1930)), page("C", "five", tr.format(1950)), page("D", "six", '<a href="/bio/x">X Y</a>', '<link rel="alternate" href="/htm/o.htm" hreflang="en">'),
+        page("", "seven"), "<html><title>E</title><p>x</p>", page("F", ""), page("G", "eight", more="<!-- &copy; 1990 -->"),
+    ]
+    rows[8] = rows[8].replace("<br>two", "")
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(rows)], "page_id long, url string, html string")
+    catalogue = spark.createDataFrame([("Old song", 1700, "joy", "Eb", 90, "3/4"), ("Other", 1600, "x", "C", 60, None)], "title string, year int, themes string, key string, bpm int, meter string")
+    index = spark.createDataFrame([("o.htm", "OTHER")], "page string, english string")
+    got = {r["page_id"]: r for r in extraction.extracted(pages, catalogue, index).collect()}
+    assert [got[i]["outcome"] for i in range(10)] == ["notice", "accepted", "year", "accepted", "duplicate", "accepted", "no title", "no corpus", "no stanzas", "accepted"]
+    fields = ("writer", "year", "parent", "relation", "themes", "key", "bpm", "meter")
+    assert tuple(got[3][c] for c in fields) == ("Au Thor · tr. Tr Ans", 1930, "Old song", "French translation · tr. Tr Ans, 1930", "joy", "Eb", 90, "3/4")
+    assert tuple(got[5][c] for c in fields) == ("X Y", 1600, "Other", "French original · X Y", "x", "C", 60, None)
+    assert (got[1]["writer"], got[1]["parent"], got[2]["writer"]) == ("Anonymous", None, None)
