@@ -6,10 +6,12 @@ reach across, and the counts of pieces met before are kept.
 
 Huge texts are encoded as overlapping chunks with offsets. Two neighbours are
 spliced at a token boundary that both have inside their overlap and that is
-proven stable: a letter before it, then one space and a letter. There the
-pre-tokeniser always cuts, whatever stands around, so the tokens after it are
-those of the whole text. Where an overlap holds no such boundary it is
-doubled, up to encoding the rest in one piece.
+proven stable: the pre-tokeniser always cuts there, whatever stands around, so
+the tokens after it are those of the whole text. Chunks are laid so that each
+overlap has such a place in its middle, found by a scan before anything is
+encoded; where it lies far off, the chunk is as long as that, and a text
+without any is one piece. Where the two chunks don't align, the overlap is
+doubled, up to encoding both in one. So each character is encoded about once.
 
 Defined results: a null text has no bytes and no tokens. The tokeniser's
 special strings inside texts count as the library counts them by default.
@@ -18,6 +20,7 @@ special strings inside texts count as the library counts them by default.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 from collections.abc import Iterator
 from itertools import accumulate
@@ -33,7 +36,11 @@ from lectern.llm.bytebpe import independent_parts
 CHUNK, OVERLAP = 64_000, 256
 CACHE = 200_000
 LIMIT = 512
-_STABLE = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
+#: Where every pre-tokeniser at hand cuts: before a space between letters.
+_BETWEEN_WORDS = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
+_CJK = "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3"
+#: Where one that takes runs of letters, of digits and of other marks apart cuts as well; no apostrophe is near.
+_BETWEEN_RUNS = re.compile(rf"(?<=[^\W_])(?=[ \n])|(?<=[A-Za-z])(?=[0-9.,;:!?(])|(?<=[0-9])(?=[A-Za-z.,;:!?(])|(?<=[.,;:!?)。，、！？；：])(?=[A-Za-z0-9{_CJK}])|(?<=[{_CJK}])(?=[0-9.,。，、！？；：])")
 
 
 class Counts:
@@ -48,6 +55,9 @@ class Counts:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Byte-level pre-tokenisers with their own pattern keep letters, digits and other marks apart.
+        kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.stable = _BETWEEN_RUNS if kind.get("type") == "ByteLevel" and kind.get("use_regex") else _BETWEEN_WORDS
         self.cache: dict[str, int] = {}
 
     @classmethod
@@ -94,34 +104,46 @@ class Counts:
         """Offset at which each token starts, in characters."""
         return [a for a, _ in self.tokenizer.encode(text, add_special_tokens=False).offsets]
 
+    def _place(self, text: str, lo: int) -> int | None:
+        """The first stable place from lo on."""
+        m = self.stable.search(text, lo)
+        while m and self._splits_special(text, m.start()):
+            m = self.stable.search(text, m.start() + 1)
+        return m and m.start()
+
+    def _splice(self, text: str, mine: tuple[int, list[int]], theirs: tuple[int, list[int]], place: int, end: int) -> tuple[int, int] | None:
+        """Numbers of the tokens, in two chunks given by start and offsets, that both start at one stable place: the given one, or the last before end."""
+        others = (m.start() for m in reversed(list(self.stable.finditer(text, theirs[0] + 1, end))))
+        for q in (place, *others):
+            a, b = self._boundary(mine[1], q - mine[0]), self._boundary(theirs[1], q - theirs[0])
+            if a is not None and b is not None and not self._splits_special(text, q):
+                return a, b
+        return None
+
     def resynchronised(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
         """Number of tokens, from overlapping chunks spliced at stable common boundaries."""
-        total, at, wide = 0, 0, overlap
-        starts = self._starts(text[:chunk])
-        end = min(chunk, len(text))  # text[at:end] is encoded as starts, counted from 0 in this chunk's tokens
+        place = self._place(text, max(0, chunk - overlap))
+        if place is None:
+            return self._lengths([text])[0] if text else 0
+        total, at, end = 0, 0, min(len(text), place + overlap)
+        starts = self._starts(text[:end])  # of the tokens of text[at:end], counted from at
         while end < len(text):
-            splice = None
-            base = max(at + 1, end - wide)
-            after = self._starts(text[base : end + chunk])
-            for m in reversed(list(_STABLE.finditer(text, base, end))):
-                # trimmed offsets leave out a token's leading space
-                mine = self._boundary(starts, m.start() - at)
-                theirs = self._boundary(after, m.start() - base)
-                if mine is not None and theirs is not None and not self._splits_special(text, m.start()):
-                    splice = (mine, theirs)
+            wide, splice = overlap, None
+            while splice is None:
+                base = max(at + 1, place - wide)
+                further = self._place(text, max(end, base + chunk - overlap))
+                until = len(text) if further is None else min(len(text), further + overlap)
+                after = self._starts(text[base:until])
+                splice = self._splice(text, (at, starts), (base, after), place, end)
+                if base == at + 1:
                     break
-            if splice is None:
-                if base == at + 1:  # nowhere to splice: take this chunk and the next as one
-                    end = min(len(text), end + chunk)
-                    starts = self._starts(text[at:end])
-                    wide = overlap
-                else:
-                    wide *= 2
-                continue
-            total += splice[0]
-            starts, at = after[splice[1] :], base
-            end = min(len(text), end + chunk)
-            wide = overlap
+                wide *= 2
+            if splice is None:  # nowhere to splice: both as one chunk
+                starts = self._starts(text[at:until])
+            else:
+                total += splice[0]
+                starts, at = after[splice[1] :], base
+            place, end = further, until
         return total + len(starts)
 
     @staticmethod

@@ -1,9 +1,11 @@
 """Byte-level BPE and token counts against the libraries."""
 
 import base64
+import time
 
 import brute
 import public_tokenizers as P
+import pytest
 import tiktoken
 from conftest import EDGE_TEXTS, SF
 from hypothesis import given, settings
@@ -54,7 +56,7 @@ def test_bpe_and_counts_on_any_text(text):
 @given(st.lists(st.sampled_from(["the", "quick", "brown", "x" * 40, "12", "<|endoftext|>", "…", "\n", "don't", ""]), max_size=80))
 def test_resynchronised_counts(words):
     text = " ".join(words)
-    for chunk, overlap in ((20, 3), (64, 8)):
+    for chunk, overlap in ((20, 3), (64, 8), (6, 3)):
         assert COUNTS.resynchronised(text, chunk, overlap) == len(HF.encode(text, add_special_tokens=False).ids)
 
 
@@ -66,3 +68,22 @@ def test_count_query_matches_the_library(spark, edges, edge_rows, empty):
     assert tokencount.report(empty, P.path("byte_bpe_50k.json")).count() == 0
     long = " ".join(t for t in EDGE_TEXTS if t) * 12
     assert COUNTS.resynchronised(long) == len(HF.encode(long, add_special_tokens=False).ids)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(" \n\tab1'sé漢字。，.,(½<|>😀"), max_size=120), st.sampled_from([(8, 2), (20, 5), (5, 4)]))
+def test_splices_anywhere(text, sizes):
+    assert COUNTS.resynchronised(text, *sizes) == len(HF.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("piece", ["漢字仮名", "漢字。仮名、", "aGVsbG8xMjM0", "0123456789", "don't", " ", "<|endoftext|>", "ß"])
+def test_long_texts_take_about_the_library_s_time(piece):
+    text = piece * (600_000 // len(piece))
+    encode = lambda: len(HF.encode_batch_fast([text], add_special_tokens=False)[0])
+    encode()
+    began = time.process_time()
+    expected = encode()
+    library = time.process_time() - began
+    began = time.process_time()
+    assert COUNTS.resynchronised(text) == expected
+    assert time.process_time() - began < 2 * library + 1
