@@ -76,6 +76,57 @@ def test_long_lists_and_null_ids(spark):
     assert out == sorted([(None, 2, 7, False), (7, 2, 7, True), (7, 2, 7, True), (None, 1, None, True)], key=str)
 
 
+def test_template_groups_stay_linear(spark, monkeypatch):
+    """Many pages that share four fifths of their words and are not similar, and a near copy of every tenth."""
+    base = " ".join(f"t{i}" for i in range(160))
+    own = lambda i, other: " ".join(f"own{i}_{j}" if j != other else f"new{i}" for j in range(40))
+    rows = [(i, f"{base} {own(i, None)}") for i in range(600)] + [(1000 + i, f"{base} {own(i, 20)}") for i in range(0, 600, 10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    made = {}
+    lists, blocks = neardup.full_lists, neardup._block_pairs
+
+    def counted_lists(sets):
+        out = lists(sets)
+        made["lists"] = made.get("lists", 0) + out.count()
+        return out
+
+    def counted_blocks(placed, *rest):
+        made["blocks"] = made.get("blocks", 0) + placed.count()
+        return blocks(placed, *rest)
+
+    monkeypatch.setattr(neardup, "full_lists", counted_lists)
+    monkeypatch.setattr(neardup, "_block_pairs", counted_blocks)
+    assert got(neardup.near_duplicates(frame), "n_shingles", "component_id", "kept") == brute.near_duplicates(rows)
+    assert 0 < made["lists"] < 100 * len(rows) and made["blocks"] == 0
+
+
+def test_full_prefixes_share_a_key_in_similar_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    edges = neardup._bands(400)
+    counts = lambda s: (s % np.uint64(7)).astype(int) + 2
+    for _ in range(2000):
+        n = int(rng.integers(1, 200))
+        a = np.unique(rng.integers(0, 1 << 40, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) > rng.random() * 0.3], rng.integers(0, 1 << 40, int(rng.integers(0, 1 + n // 4))).astype(np.uint64)]))
+        if len(b) and neardup._alike(a.tobytes(), b.tobytes()):
+            (x, p), (y, q) = (neardup.full_prefixes(s, counts(s), edges) for s in (a, b))
+            _, i, j = np.intersect1d(x, y, return_indices=True)
+            assert any({p[k], q[m]} in ({0}, {1, 2}) for k, m in zip(i, j))
+
+
+def test_near_duplicates_of_equal_ids_and_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (1, "another text that is not like it at all"), (2, f"{text} end"), (None, f"{text} stop"), (None, None), (3, ""), (None, f"q {text[3:]} x y"), (5, None)]
+    frame = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, gone int, digest int, same int")
+    out = sorted((tuple(r)[0:1] + tuple(r)[2:] for r in neardup.near_duplicates(frame).collect()), key=str)
+    assert out == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (None, 1, False), (None, None, True), (3, 3, True), (None, 1, False), (5, 5, True)], key=str)
+    kept = neardup.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted([rows[0], rows[1], rows[4], rows[5], rows[7]], key=str)
+
+
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_repeats_match_brute_force(spark, sf):
     expected = brute.repeats(pairs(spark.read.parquet(f"{sf}/documents.parquet")))
