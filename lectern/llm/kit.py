@@ -6,13 +6,18 @@ object per word. All hashes are 64 bit and the same on every machine.
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that are hashed together.
 GROUP_BYTES = 1 << 20
@@ -153,14 +158,21 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+def text_digest(text: str) -> Column:
+    """128 bits of a text column; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
 _own: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir; where that is unset, one of our own if all runs on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="spark-lectern-")
@@ -169,6 +181,30 @@ def scratch(spark: SparkSession) -> str:
 
 #: Spark's setting that drops a query's shuffle files when the query ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_writing: Counter = Counter()
+_before: dict[str, str | None] = {}
+_lock = threading.Lock()
+
+
+@contextlib.contextmanager
+def _cleaning_up(spark: SparkSession) -> Iterator[None]:
+    """Holds the setting on while any write of the application runs, and puts it back after the last."""
+    app = spark.sparkContext.applicationId
+    with _lock:
+        if not _writing[app]:
+            _before[app] = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _writing[app] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing[app] -= 1
+            if not _writing[app]:
+                if (before := _before.pop(app)) is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -178,13 +214,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _cleaning_up(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

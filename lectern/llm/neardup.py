@@ -100,14 +100,9 @@ def _sketches(k: int, width: int):
     return work
 
 
-def _digest(text: str):
-    """128 bits of a text; null counts as empty."""
-    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-
-
 def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = SKETCH, width: int = SHINGLE) -> DataFrame:
     """(doc, digest, n, same, sketch): digest of the text, set size, fingerprint of the set, its k smallest hashes packed."""
-    pairs = docs.select(F.col(doc_id).cast("long").alias("doc"), _digest(text).alias("digest"), F.col(text).alias("text"))
+    pairs = docs.select(F.col(doc_id).cast("long").alias("doc"), kit.text_digest(text).alias("digest"), F.col(text).alias("text"))
     return pairs.mapInArrow(_sketches(k, width), "doc long, digest binary, n long, same binary, sketch binary")
 
 
@@ -436,7 +431,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, k: int, width: int) -> Data
     needed = classes.join(needed, "node").select("node", "rep", F.col("digest").alias("of"))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     # A shuffle join at every size: the number of candidates grows with the corpus.
-    found = texts.join(needed.hint("merge"), F.col("id").eqNullSafe(F.col("rep")) & (_digest("text") == F.col("of"))).select(F.col("node").alias("doc"), "text")
+    found = texts.join(needed.hint("merge"), F.col("id").eqNullSafe(F.col("rep")) & (kit.text_digest("text") == F.col("of"))).select(F.col("node").alias("doc"), "text")
     sets = kit.written(found.dropDuplicates(["doc"]).mapInArrow(_full_sets(width), "doc long, set binary"), "sets")
     edges = _similar(candidates, sets)
     labels = components(edges)
@@ -472,4 +467,4 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k:
     """docs without the rows that near_duplicates doesn't keep; a row is told by its id and text."""
     gone, digest = kit.free_name(docs, "gone"), kit.free_name(docs, "digest")
     verdict = _judged(docs, doc_id, text, k, width).where("not kept").select(F.col("doc").alias(gone), F.col("digest").alias(digest)).distinct()
-    return docs.join(verdict, F.col(doc_id).cast("long").eqNullSafe(F.col(gone)) & (_digest(text) == F.col(digest)), "left_anti")
+    return docs.join(verdict, F.col(doc_id).cast("long").eqNullSafe(F.col(gone)) & (kit.text_digest(text) == F.col(digest)), "left_anti")

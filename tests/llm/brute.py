@@ -95,22 +95,33 @@ def base_figures(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(rep), failed
 
 
-def line_verdicts(docs, least_docs=20, share=0.1, least_words=50, least_kept=0.5):
-    """{doc_id: kept}; docs: (doc_id, host, text)"""
+def _normal(line):
+    return " ".join(SPACED.findall(line.translate(LOWER)))
 
-    def norm(line):
-        return " ".join(SPACED.findall(line.translate(LOWER)))
 
+def frequent_lines(docs, least_docs=20, share=0.1):
+    """{(host, normalised line)}; docs: (doc_id, host, text)"""
     texts = defaultdict(set)
     for _, h, t in docs:
         texts[h].add(t or "")
     frequent = set()
     for h, ts in texts.items():
-        n = Counter(x for t in ts for x in {norm(line) for line in t.split("\n")} if x)
+        n = Counter(x for t in ts for x in {_normal(line) for line in t.split("\n")} if x)
         frequent |= {(h, x) for x, k in n.items() if k >= least_docs and k > share * len(ts)}
-    out = {}
+    return frequent
+
+
+def line_verdicts(docs, least_docs=20, share=0.1, least_words=50, least_kept=0.5):
+    """{doc_id: kept}"""
+    frequent, out = frequent_lines(docs, least_docs, share), {}
     for d, h, t in docs:
         f = base_figures(t)
-        lost = sum(len(norm(x).split(" ")) for x in (t or "").split("\n") if norm(x) and (h, norm(x)) in frequent)
+        lost = sum(len(_normal(x).split(" ")) for x in (t or "").split("\n") if _normal(x) and (h, _normal(x)) in frequent)
         out[d] = not f[5] and f[0] - lost >= least_words and f[0] - lost >= least_kept * f[0]
     return out
+
+
+def cleaned_texts(docs, **limits):
+    """{doc_id: text without frequent lines} of the documents that stay"""
+    kept, frequent = line_verdicts(docs, **limits), frequent_lines(docs, **limits)
+    return {d: t if t is None else "\n".join(x for x in t.split("\n") if (h, _normal(x)) not in frequent) for d, h, t in docs if kept[d]}

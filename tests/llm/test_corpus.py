@@ -168,3 +168,22 @@ def test_line_quality_edges(spark, edges, edge_rows, empty):
     cleaned = linequality.remove_lines(frame, linequality.frequent_lines(table, least_docs=10))
     assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == dict(enumerate(body))
     assert linequality.keep_good(frame, least_docs=10).count() == 10
+    # rows without an id, or with one id and different texts, go or stay each by its own text
+    good, bad = " ".join(f"g{j}" for j in range(80)), "short"
+    rows = [(1, "h", good), (1, "h", bad), (None, "h", good + " x"), (None, None, bad), (2, None, f"{line}\n \n{good} y\n")]
+    frame = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "doc_id long, source string, text string, bad int, gone int, h int, same int")
+    assert sorted(r["text"] for r in linequality.keep_good(frame).collect()) == sorted([good, good + " x", rows[4][2]])
+    assert linequality.cleaned(frame, least_docs=1, share=0.6).columns == frame.columns
+    assert linequality.cleaned(frame.where("false")).count() == 0
+
+
+def test_cleaned_texts_match_brute_force(spark):
+    menu = ["Home  Page", "home page", "\tHOME\x0bpage ", "About"]
+    rows = [(i, "ab"[i % 2] if i % 7 else None, "\n".join([menu[i % 4], " ".join(f"w{i}_{j}" for j in range(55 + i % 3)), "", "\u00a0", menu[(i + 1) % 4], "end"])) for i in range(90)]
+    frame = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id long, source string, text string, doc int, kept int")
+    for cut in (5, 20):
+        expected = brute.cleaned_texts(rows, least_docs=cut)
+        assert got(linequality.cleaned(frame, least_docs=cut), "text") == {d: (t,) for d, t in expected.items()}
+        table = linequality.figures(frame)
+        assert got(linequality.remove_lines(frame, linequality.frequent_lines(table, least_docs=cut)), "text").items() >= got(linequality.cleaned(frame, least_docs=cut), "text").items()
+    assert any(t != r[2] for r, t in zip(rows, brute.cleaned_texts(rows, least_docs=5).values()))
