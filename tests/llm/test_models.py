@@ -163,3 +163,72 @@ def test_rewrite_touches_only_affected_shards(spark, tmp_path):
     assert reshard.rewrite_affected(placed, str(tmp_path / "more"), old="old") == [0, 1, 2]
     assert spark.read.parquet(str(tmp_path / "more")).count() == 41
     assert reshard.assign(rows.where("false"), 3, old="old", position="position", size="size").count() == 0
+
+
+def _least_cost(sizes, room, costs):
+    """Least cost by trying every way, unit by unit."""
+    from functools import cache
+
+    @cache
+    def best(i, left, room):
+        if i == len(sizes):
+            return 0
+        if not left:
+            return best(i + 1, sizes[i + 1] if i + 1 < len(sizes) else 0, room)
+        ways = [(0 if i == j else costs[i]) + best(i, left - 1, room[:j] + (r - 1,) + room[j + 1 :]) for j, r in enumerate(room) if r]
+        return min(ways)
+
+    return best(0, sizes[0], tuple(room))
+
+
+def test_flow_costs_match_brute_force():
+    rng = random.Random(8)
+    for _ in range(150):
+        sizes = [rng.randrange(4) for _ in range(rng.randrange(1, 5))]
+        costs = [rng.randrange(1, 4) for _ in sizes]
+        room = [rng.randrange(5) for _ in range(rng.randrange(1, 4))]
+        room[0] += max(0, sum(sizes) - sum(room))
+        flow = reshard.min_cost_transfers(sizes, room, costs)
+        assert [sum(r) for r in flow] == sizes and all(sum(c) <= r for c, r in zip(zip(*flow), room))
+        assert sum(flow[i][j] * costs[i] for i in range(len(sizes)) for j in range(len(room)) if i != j) == _least_cost(sizes, room, costs)
+    assert sum(reshard.transfers([7] * 20_000, reshard.even_capacities(140_000, 300)).values()) == 140_000
+    with pytest.raises(ValueError):
+        reshard.transfers([2], [1])
+
+
+def test_tables_of_several_files_are_rewritten(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(None if i % 9 == 0 else i // 2, None if i % 11 == 0 else "é" * rng.randrange(60), i) for i in range(900)]
+    source = str(tmp_path / "table")
+    frame = spark.createDataFrame(rows, "doc_id long, text string, slot int")
+    frame.where("slot < 500").coalesce(1).write.parquet(source)
+    frame.where("slot >= 500").repartition(3).write.mode("append").parquet(source)
+    for shards in (2, 4, 7):
+        out = str(tmp_path / f"out{shards}")
+        table, (old, shard, slot) = reshard.reshard_table(spark, source, out, shards)
+        got = table.collect()
+        assert sorted(((r["doc_id"], r["text"], r["slot"]) for r in got), key=str) == sorted(rows, key=str)
+        sizes, slots, moved = Counter(), {}, 0
+        for r in got:
+            n = len((r["text"] or "").encode()) + 1
+            sizes[r[shard]] += n
+            slots.setdefault(r[shard], []).append(r[slot])
+            moved += n * (r[shard] != r[old])
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) == set(range(shards))
+        assert max(sizes.values()) - min(sizes.values()) <= 2 * 121 * 4
+        before = Counter()
+        for r in got:
+            before[r[old]] += len((r["text"] or "").encode()) + 1
+        least = sum(sizes.values()) - sum(min(before[k], c) for k, c in enumerate(reshard.even_capacities(sum(sizes.values()), shards)))
+        assert moved <= least + 8 * 121
+        assert spark.read.parquet(out).count() == sum(len(s) for s in slots.values())
+    same = str(tmp_path / "same")
+    table, (old, shard, _) = reshard.reshard_table(spark, f"{source}/{next(f.name for f in (tmp_path / 'table').iterdir() if f.suffix == '.parquet')}", same, 1)
+    assert table.where(f"{old} <> {shard}").count() == 0 and not (tmp_path / "same").exists()
+
+
+def test_reshard_keeps_clashing_columns(spark):
+    rows = spark.createDataFrame([(i, 0, i, 5, -1, -2) for i in range(30)], "doc_id int, old int, position long, size long, block int, cuts int")
+    placed = reshard.assign(rows, 3, old="old", position="position", size="size")
+    assert placed.columns == [*rows.columns, "shard", "slot"]
+    assert {tuple(r[-4:-2]) for r in placed.collect()} == {(-1, -2)}
