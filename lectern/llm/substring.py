@@ -10,7 +10,7 @@ intervals.
 
 Scale: 8 bytes a word cross the network once (document numbers are byte planes
 that compress), a window that fills a third of the corpus reaches its bucket
-once per shard, and buckets grow in number with the corpus.
+once per shard, and buckets and their tasks grow in number with the corpus.
 
 Defined results: a null text has no words; texts shorter than a window lose
 nothing; a null doc_id counts as larger than any other; rows that share a
@@ -34,9 +34,8 @@ from lectern.llm import kit
 WIDTH = 20
 #: Bytes of text whose windows are reduced together before the shuffle.
 SHARD_BYTES = 6 << 20
-#: Bytes of text for each bucket, and the fewest and most buckets: a shard's entry should hold some dozens of hashes.
-BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 16 << 20, 256, 1 << 16
-_NULL_ID = np.int64(np.iinfo(np.int64).max)
+#: Bytes of text for each bucket, the fewest buckets, and buckets in a task. The number of buckets follows the input.
+BUCKET_BYTES, LEAST_BUCKETS, TOGETHER = 16 << 20, 256, 4
 _REPEATS = "doc long, hashes binary"
 
 
@@ -98,9 +97,8 @@ def _shard_entries(width: int, buckets: int):
         for batch in batches:
             for part, texts in kit.cut(batch, "text"):
                 h, doc, _ = _doc_windows(texts, width)
-                ids = part.column("doc").fill_null(int(_NULL_ID)).to_numpy(zero_copy_only=False).astype(np.int64)
                 hashes.append(h)
-                docs.append(ids[doc])
+                docs.append(part.column("doc").to_numpy(zero_copy_only=False)[doc])
                 held += sum(len(t or b"") for t in texts)
                 if held >= SHARD_BYTES:
                     yield from flush()
@@ -140,13 +138,18 @@ def _bucket_repeats(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_by_doc(np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out]))])
 
 
+def _number(doc_id: str, text: str):
+    """A row's document number: its id, or a large one by its text."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2))
+
+
 def repeated_windows(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc, hashes): for each document the windows that also start in a smaller document, packed as 64-bit hashes."""
-    pairs = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+    pairs = docs.select(_number(doc_id, text).alias("doc"), F.col(text).alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES)))
+    buckets = int(max(LEAST_BUCKETS, size // BUCKET_BYTES))
     entries = pairs.mapInArrow(_shard_entries(width, buckets), "bucket long, decided boolean, hashes binary, docs binary")
-    found = entries.groupBy("bucket").applyInArrow(_bucket_repeats, _REPEATS)
+    found = entries.repartition(buckets // TOGETHER, "bucket").groupBy("bucket").applyInArrow(_bucket_repeats, _REPEATS)
     return found.groupBy("doc").agg(F.collect_list("hashes").alias("hashes"))
 
 
@@ -190,7 +193,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, width: int) -> tuple[DataFr
     found = kit.written(repeated_windows(docs, doc_id=doc_id, text=text, width=width), "repeats")
     key = kit.free_name(docs, "repeats_doc")
     found = found.select(F.col("doc").alias(key), F.col("hashes").alias(name))
-    return docs.join(found.hint("shuffle_hash"), F.coalesce(F.col(doc_id).cast("long"), F.lit(int(_NULL_ID))) == F.col(key), "left").drop(key), name
+    return docs.join(found.hint("shuffle_hash"), _number(doc_id, text) == F.col(key), "left").drop(key), name
 
 
 def removal_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
