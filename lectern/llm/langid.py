@@ -5,8 +5,8 @@ The probability of a word is the sum over all its segmentations into pieces,
 computed by the forward algorithm; a text's likelihood is the product over its
 words. Probabilities are fitted by expectation-maximisation over word counts.
 
-Fit: at most ``FIT_DOCS`` documents of each language, drawn by a hash of the
-text, with whole texts; words of over ``FIT_LETTERS`` letters are left out of
+Fit: about ``FIT_DOCS`` distinct texts of each language at most, drawn by a hash
+of the text, as whole texts; words of over ``FIT_LETTERS`` letters are left out of
 the fit (never out of prediction). Counting words and the expectation step run
 in Spark; only pieces x languages numbers reach the driver.
 
@@ -18,12 +18,12 @@ probability under equal priors.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +33,7 @@ from lectern.llm import kit
 FIT_DOCS, FIT_LETTERS, ROUNDS, SMOOTHING = 1000, 64, 4, 0.1
 CACHE = 300_000
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 _STEP = 1 << 20
 _EDGE = "▁"
 
@@ -173,7 +173,7 @@ def fit(labelled: DataFrame, vocabulary: str, *, text: str = "text", lang: str =
     if not langs:
         return [], np.zeros((pieces.size, 0))
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, fit_docs / sizes[k])))])
-    drawn = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    drawn = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).dropDuplicates(["lang", "text"])
     counted = drawn.mapInArrow(_count_words({k: i for i, k in enumerate(langs)}), "lang int, word string, n long")
     counted = kit.written(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
     probability = np.full((pieces.size, len(langs)), 1.0 / pieces.size)
