@@ -2,6 +2,14 @@
 
 quality rules -> near-duplicate removal -> substring deduplication ->
 benchmark decontamination -> byte-level BPE encoding (checked by decoding).
+
+Defined results, for every stage: an empty table gives an empty one; other
+columns pass through whatever their names; rows without an id, or with equal
+ids, are judged each by its own text (rows with equal id and text alike).
+``quality`` drops rows with null, empty or short texts. ``near_duplicates``
+keeps them, as nothing is like them. ``repeated_passages`` keeps texts shorter
+than a window and drops those that lose every word. ``decontamination`` keeps
+rows without words. ``encoding`` gives a null text no ids.
 """
 
 from __future__ import annotations
@@ -14,13 +22,13 @@ from lectern.llm import bytebpe, decontaminate, kit, linequality, neardup, subst
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """n_chars as the text now is."""
-    return docs.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))
+    """n_chars as the text now is, in its place and type."""
+    return docs.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules and cross-document line frequency accept."""
-    return linequality.keep_good(docs)
+    """Documents that the quality rules accept, without the lines that are too frequent on their host."""
+    return _sized(linequality.cleaned(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
