@@ -11,8 +11,8 @@ from conftest import SF
 
 def test_pipeline_matches_brute_force(spark, docs):
     rows = {r["doc_id"]: r.asDict() for r in docs.collect()}
-    good = brute.line_verdicts([(d, r["source"], r["text"]) for d, r in rows.items()])
-    texts = [(d, rows[d]["text"]) for d in sorted(rows) if good[d]]
+    good = brute.cleaned_texts([(d, r["source"], r["text"]) for d, r in rows.items()])
+    texts = [(d, good[d]) for d in sorted(good)]
     kept = brute.near_duplicates(texts)
     texts = [(d, t) for d, t in texts if kept[d][2]]
     cut, left = brute.repeats(texts), []
