@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their bases.
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+#: Combining accents.
+_MARKS = "[\u0300-\u036f]"
+_is_mark = re.compile(_MARKS).fullmatch
+
+
+def _letters() -> tuple[dict[str, str], dict[str, str]]:
+    """By Unicode's canonical decompositions: letters to their bases without combining accents, and decomposed sequences to letters."""
+    bases, composed = {}, {}
+    for c in map(chr, range(0xC0, 0xFFFF)):
+        whole = unicodedata.normalize("NFD", c)
+        base = "".join(x for x in whole if not _is_mark(x))
+        if whole != c and len(base) == 1 and base != c:
+            bases[c] = base
+            if len(whole) > 1 and unicodedata.normalize("NFC", whole) == c:
+                composed[whole] = c
+                composed["".join(chr(int(x, 16)) for x in unicodedata.decomposition(c).split())] = c
+    return bases, composed
+
+
+_BASES, _COMPOSED = _letters()
 #: White space as scripts mean it, the no-break space included.
 _SPACE = r"[\s\x{00A0}]+"
 
@@ -23,8 +44,8 @@ def _dashes(c: Column) -> Column:
 
 
 def slug(c: Column) -> Column:
-    """Lower case, apostrophes dropped, other runs of non-letters to one dash; 'untitled' if nothing is left."""
-    out = _dashes(F.regexp_replace(F.regexp_replace(F.lower(c), "['’ʼ]", ""), r"[^\p{L}\p{M}\p{N}]+", "-"))
+    """Composed, lower case, apostrophes dropped, other runs of non-letters to one dash; 'untitled' if nothing is left."""
+    out = _dashes(F.regexp_replace(F.regexp_replace(F.lower(composed(c)), "['’ʼ]", ""), r"[^\p{L}\p{M}\p{N}]+", "-"))
     return F.when(out == "", F.lit("untitled")).otherwise(out)
 
 
@@ -36,8 +57,22 @@ def ascii_slug(c: Column, keep_apostrophes: bool) -> Column:
 
 
 def fold(c: Column) -> Column:
-    """Accented Latin letters as their bases."""
-    return F.translate(c, _ACCENTED, _PLAIN)
+    """Letters without combining accents, whether composed or not."""
+    return F.regexp_replace(F.translate(c, "".join(_BASES), "".join(_BASES.values())), _MARKS + "+", "")
+
+
+def composed(c: Column) -> Column:
+    """Letters with combining accents behind them as one character each; other text as it is.
+
+    Only texts with such accents are taken apart. Scripts that compose otherwise (Hangul, Indic vowels) stay as they are.
+    """
+    table = F.from_json(F.lit(json.dumps(_COMPOSED)), "map<string,string>")
+    parts = F.regexp_extract_all(c, F.lit(f"(?s)[^{_MARKS[1:]}{_MARKS}*|{_MARKS}+"), F.lit(0))
+    joined = F.array_join(F.transform(parts, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(c.rlike(_MARKS), joined).otherwise(c)
+
+
+# The patterns of the keys, of names, topics and excerpts below.
 
 
 def key_ascii(c: Column) -> Column:
@@ -114,7 +149,8 @@ def credit(author: Column, translator: Column, default: str = "Unknown") -> Colu
 
 
 def excerpt(c: Column, most: int = 320) -> Column:
-    """At most 320 characters: up to the last sentence end that follows no initial, else up to the last word."""
+    """At most 320 characters, white space collapsed: up to the last sentence end that follows no initial, else up to the last word."""
+    c = F.trim(F.regexp_replace(c, _SPACE, " "))
     head = F.substring(c, 1, most)
     sentence = F.regexp_extract(head, r"(?s)^(.*(?<![ .][A-Z])[.!?])(?:\s|$)", 1)
     word = F.concat(F.regexp_replace(head, r"(?s)\s+\S*$", ""), F.lit("…"))
@@ -123,3 +159,24 @@ def excerpt(c: Column, most: int = 320) -> Column:
 
 def clamped_tempo(beats: Column, numerator: Column, denominator: Column) -> Column:
     return F.greatest(F.lit(40), F.least(F.lit(200), F.round(beats * numerator / denominator * 4).cast("int")))
+
+
+def first_item(c: Column, separator: str) -> Column:
+    """What stands before the first separator, trimmed; null if that is empty."""
+    return F.nullif(F.trim(F.split_part(c, F.lit(separator), F.lit(1))), F.lit(""))
+
+
+def after_mark(c: Column, mark: str) -> Column:
+    """What follows the first mark, trimmed; null without one or if nothing follows."""
+    at = F.instr(c, mark)
+    return F.when(at > 0, F.nullif(F.trim(c.substr(at + len(mark), F.char_length(c))), F.lit("")))
+
+
+def or_default(c: Column, default: object) -> Column:
+    """The default for null and empty values."""
+    return F.coalesce(F.nullif(c, F.lit("")) if isinstance(default, str) else c, F.lit(default))
+
+
+def joined_path(*parts: Column) -> Column:
+    """Parts joined by slashes; null if any is null."""
+    return F.concat(*[x for part in parts for x in (F.lit("/"), part)][1:])

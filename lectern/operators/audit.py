@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 #: rule_id, severity ('E' or 'W'), condition under which a row violates it.
 Rule = tuple[str, str, Column]
-# The shape of an id.
+# The shape of an id, the fields a record must have, header directives and the record's columns they repeat.
 ID_SHAPE = "^[A-Za-z0-9_-]{11}$"
+REQUIRED = "id title writer language license churchCount hymnalCount timeSignature provenance".split()
+REQUIRED_SUBMITTED = "id title language license status".split()
+DIRECTIVES = {"title": "title", "artist": "writer", "key": "music_key", "time": "meter", "tempo": "bpm"}
 
 
 def row_rules(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
@@ -47,31 +50,38 @@ def repeated(df: DataFrame, bucket: Sequence[str], value: Column, key: str, flag
 def record_violations(records: DataFrame, works: DataFrame, writers: DataFrame, sources: DataFrame, languages: Sequence[str]) -> DataFrame:
     """The rules on records.
 
-    records: folder (unique), section, directory, unreadable, submitted, id, title, writer, language, license,
-    license_source, meter, work_ref, writer_ref, parent, body, header (map), provenance (map), assets (array).
-    works: slug; writers: slug, portrait (boolean); sources: key. An unreadable record meets V1 alone; one
-    without a body file ends at V14; submitted records need fewer fields and no provenance.
+    records: folder (unique), name (of the folder in its section and directory), section, directory, unreadable, submitted,
+    fields (array of those that are there, null or not), id, title, writer, language, license, license_source, music_key,
+    meter, bpm, work_ref, writer_ref, parent, body, header (map), provenance (map), assets (array). works: slug, assets;
+    writers: slug, portrait (boolean); sources: key. An unreadable record meets V1 alone; one without a body file ends at
+    V14; submitted records need other fields and no provenance. V2, V16 and V17 give a row for each field or directive.
+    A family's assets count as the record's own in V19, but for timing.
     """
     c = F.col
     # only what the rules ask about the body goes through the joins
-    slim = records.withColumn("_blank", F.trim("body") == "").withColumn("_told", F.try_element_at("header", F.lit("title"))).drop("body", "header")
+    slim = records.withColumn("_blank", F.trim("body") == "").drop("body")
     df = flagged(slim, "work_ref", works, "slug", "_work")
     df = flagged(df, "writer_ref", writers, "slug", "_writer")
     df = flagged(df, "writer_ref", writers.where("portrait"), "slug", "_portrait")
     df = flagged(df, "license_source", sources, "key", "_licensed")
     df = flagged(df, "parent", records.where("not unreadable"), "id", "_parent")
     df = flagged(df, "parent", records.where("not unreadable and work_ref is not null"), "id", "_member")
-    df = repeated(repeated(df, [], c("id"), "folder", "_again"), ["directory", "section"], F.lower("title"), "folder", "_collides")
+    df = repeated(repeated(df, [], c("id"), "folder", "_again"), ["directory", "section"], F.lower("name"), "folder", "_collides")
     known, read, full = c("language").isin(*languages), ~c("unreadable"), ~c("unreadable") & c("_blank").isNotNull()
 
-    def missing(*fields: str) -> Column:
-        return F.greatest(*[c(f).isNull().cast("int") for f in fields]) == 1
-
-    short, rest = missing("id", "title", "language", "license"), missing("writer", "meter")
+    shared = works.select(c("slug").alias("work_ref"), c("assets").alias("_shared")).dropDuplicates(["work_ref"])
+    df = df.join(shared, "work_ref", "left")
     owned, told = c("assets"), F.map_keys("provenance")
+    held = F.array_union(owned, F.array_remove(F.coalesce("_shared", F.array().cast("array<string>")), "timing"))
+    lacks = [("V2", "E", read & ~c("submitted") & ~F.array_contains("fields", f)) for f in REQUIRED]
+    lacks += [("V2", "E", read & c("submitted") & ~F.array_contains("fields", f)) for f in REQUIRED_SUBMITTED]
+    heads = []
+    for name, field in DIRECTIVES.items():
+        stated = F.try_element_at("header", F.lit(name))
+        heads += [("V16", "W", full & c(field).isNotNull() & stated.isNull()), ("V17", "E", full & (stated != c(field).cast("string")))]
     first = [
         ("V1", "E", c("unreadable")),
-        ("V2", "E", read & (short | (~c("submitted") & rest))),
+        *lacks,
         ("V3", "E", read & ~c("id").rlike(ID_SHAPE)),
         ("V4", "E", read & c("_again")),
         ("V5", "E", read & ~c("directory").isin(*languages)),
@@ -84,9 +94,8 @@ def record_violations(records: DataFrame, works: DataFrame, writers: DataFrame,
         ("V13", "E", read & c("parent").isNotNull() & c("work_ref").isNotNull()),
         ("V14", "E", read & c("_blank").isNull()),
         ("V15", "E", full & c("_blank")),
-        ("V16", "W", full & c("title").isNotNull() & c("_told").isNull()),
-        ("V17", "E", full & (c("_told") != c("title"))),
-        ("V19", "W", full & ~c("submitted") & (F.size(F.array_except(F.array_remove(told, "text"), owned)) > 0)),
+        *heads,
+        ("V19", "W", full & ~c("submitted") & (F.size(F.array_except(F.array_remove(told, "text"), held)) > 0)),
         ("V20", "W", full & ~c("submitted") & (F.size(F.array_except(owned, told)) > 0)),
         ("V24", "E", read & ~c("_writer")),
         ("V25", "E", read & c("_writer") & ~c("_portrait")),

@@ -54,7 +54,8 @@ def piecewise_seconds(points: DataFrame, tempos: DataFrame, key: str, at: str, t
 
     found = as_of(points, steps, [key], at, "_step", "_s", strict=True)
     micros = F.coalesce(F.col("_s.past") + (F.col(at) - F.col("_s.at")) * F.col("_s.tempo"), F.col(at) * default)
-    return found.withColumn("seconds", micros / per_beat / 1_000_000).drop("_s")
+    # One division, in double: a decimal quotient would be rounded on the way.
+    return found.withColumn("seconds", micros.cast("double") / F.lit(float(per_beat * 1_000_000))).drop("_s")
 
 
 def running_time(df: DataFrame, key: str, order: list[str], delta: str) -> DataFrame:
