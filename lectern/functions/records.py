@@ -163,3 +163,11 @@ def label_map(page: Column, pattern: str) -> Column:
     labels, values = (F.regexp_extract_all(page, F.lit(pattern), g) for g in (1, 2))
     pairs = F.arrays_zip(labels.alias("k"), values.alias("v"))
     return F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(labels, p["k"]) == i + 1))
+
+
+def first_failing(*tests: tuple[str, Column], passed: str = "accepted") -> Column:
+    """The name of the first test whose condition holds (null counts as no), or passed."""
+    out = F.lit(passed)
+    for name, fails in reversed(tests):
+        out = F.when(fails, F.lit(name)).otherwise(out)
+    return out

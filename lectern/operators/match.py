@@ -108,3 +108,14 @@ def wildcard_join(left: DataFrame, right: DataFrame, keys: list[str], wanted: st
     exact = left.join(right.withColumn(wanted, F.col(held)).where(F.col(held).isNotNull()), [*keys, wanted])
     free = left.join(right.where(F.col(held).isNull()), keys)
     return exact.unionByName(free)
+
+
+def registry_names(df: DataFrame, key: str, sources: str, registry: DataFrame, registry_key: str, name: str, order: list[str]) -> DataFrame:
+    """(key, sources): a map of assets to registry keys as 'asset: name; ...' in the given order of assets; unknown keys as '?key'."""
+    asset = F.array_position(F.array(*map(F.lit, order)), F.col("_asset"))
+    held = df.select(key, F.explode(sources).alias("_asset", "_source"))
+    found = held.join(registry.select(F.col(registry_key).alias("_source"), F.col(name).alias("_name")), "_source", "left")
+    told = F.concat_ws(": ", "_asset", F.coalesce("_name", F.concat(F.lit("?"), F.col("_source").cast("string"))))
+    # A map has one entry an asset, so a row's list is as short as the list of assets.
+    parts = F.sort_array(F.collect_list(F.struct(asset.alias("at"), told.alias("told"))))
+    return found.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["told"]), "; ").alias("sources"))

@@ -14,7 +14,10 @@ def _rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """The first row of each key; reverse the order for the last one, order by time for the latest."""
+    """The first row of each key; reverse the order for the last one, order by time for the latest.
+
+    Spark limits each key to its first rows before the shuffle (WindowGroupLimit), so a hot key sends a row a task.
+    """
     return _rank(df, keys, order, 1)
 
 
@@ -81,8 +84,8 @@ def stale_texts(stored: DataFrame, rendered: DataFrame, key: str, text: str) ->
 
 def until_short_page(df: DataFrame, page: str, size: int) -> DataFrame:
     """Rows of the pages up to and including the first that has fewer than size rows."""
-    short = df.groupBy(page).count().where(F.col("count") < size).agg(F.min(page)).first()[0]
-    return df if short is None else df.where(F.col(page) <= short)
+    short = df.groupBy(page).count().where(F.col("count") < size).agg(F.min(page))
+    return df.where(F.coalesce(F.col(page) <= short.scalar(), F.lit(True)))
 
 
 def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

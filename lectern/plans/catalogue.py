@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions import records as R
 from lectern.functions import text as X
 from lectern.operators import match, rows
 from lectern.plans.registry import Tables, query
 
 _FIRST = "split_part(text, chr(10), 1)"
 _ID = "substr(translate(to_base64(unhex(sha1('song:' || {0}))), '+/', '-_'), 1, 11)"
-_SLUG = r"regexp_replace(regexp_replace(regexp_replace(lower({0}), '[''’ʼ]', '', 'g'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '-', 'g'), '^-+|-+$', '', 'g')"
+_SLUG = r"regexp_replace(regexp_replace(regexp_replace(lower(nfc_normalize({0})), '[''’ʼ]', '', 'g'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _FAMILY = "(select source, min(quality) as quality, max(toxic) as toxic from documents join labels using (doc_id) group by source)"
 
 
@@ -64,22 +65,29 @@ def stanza_explode(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "line_text")).where(F.trim("line_text") != "")
 
 
-@query("""select c_custkey, split_part(c_name, '#', 2) || ' ' || split_part(c_name, '#', 1) || ' & ' || c_custkey as names from customer""")
+#: First lines in which some letters are marks, so that parsers meet them in every place.
+_MARKED = "translate(split_part(text, chr(10), 1), '{0}', '{1}')"
+
+
+def _marked(letters: str, marks: str) -> Column:
+    return F.translate(_title(), letters, marks)
+
+
+@query(f"""select doc_id, array_to_string(list_transform(list_filter(list_transform(string_split({_MARKED.format("ovgb", ";(),")}, ';'), lambda n: trim(regexp_replace(n, '\\s*\\([^)]*\\)', '', 'g'))),
+    lambda n: lower(n) not in ('', 'none', 'unknown', 'anonymous', 'traditional')), lambda n: regexp_replace(n, '^([^,]+),\\s*(.+)$', '\\2 \\1')), ' & ') as names from documents""")
 def name_parse(t: Tables) -> DataFrame:
-    raw = F.concat(F.split_part("c_name", F.lit("#"), F.lit(1)), F.lit(", "), F.split_part("c_name", F.lit("#"), F.lit(2)), F.lit(" (1800-1850); Unknown; "), F.col("c_custkey").cast("string"))
-    return t.customer.select("c_custkey", X.person_list(raw).alias("names"))
+    return t.documents.select("doc_id", X.person_list(_marked("ovgb", ";(),")).alias("names"))
 
 
-@query("select p_partkey, case when p_partkey % 2 = 0 then 'The ' || p_name else p_name || ', Le' end as title from part")
+@query(f"""select doc_id, regexp_replace({_FIRST} || ', ' || regexp_extract({_FIRST}, '^(?:The|A|An|[^ ]*)', 0), '^(.+), (The|A|An)$', '\\2 \\1') as title from documents""")
 def article_uninvert(t: Tables) -> DataFrame:
-    raw = F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, ", The").otherwise(", Le"))
-    return t.part.select("p_partkey", X.uninverted(raw).alias("title"))
+    return t.documents.select("doc_id", X.uninverted(F.concat(_title(), F.lit(", "), F.regexp_extract(_title(), "^(?:The|A|An|[^ ]*)", 0))).alias("title"))
 
 
-@query("select p_partkey, p_brand || ',' || p_type as topics from part")
+@query(f"""select doc_id, array_to_string(list_slice(list_filter(list_transform(regexp_extract_all({_MARKED.format("oavgbc", "{},()[")}, '\\{{([^}}]*)\\}}', 1), lambda x: trim(regexp_replace(x, '\\([^)]*\\)|\\[[^\\]]*\\]', '', 'g'))),
+    lambda x: x <> '' and not contains(x, ',')), 1, 3), ',') as topics from documents""")
 def topic_list(t: Tables) -> DataFrame:
-    raw = F.concat(F.lit("{"), "p_brand", F.lit(" (old)} x {a,b} {"), "p_type", F.lit("} {[gone]}"))
-    return t.part.select("p_partkey", X.topics(raw).alias("topics"))
+    return t.documents.select("doc_id", X.topics(_marked("oavgbc", "{},()[")).alias("topics"))
 
 
 @query("""select s_suppkey, case when s_suppkey % 3 = 0 then 'Unknown' when s_suppkey % 3 = 1 then s_name else s_name || ' · tr. N' || s_nationkey end as label from supplier""")
@@ -115,12 +123,21 @@ def page_paragraphs(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit("(?s)<p>([^<]*)</p>"), 1)).alias("position", "paragraph"))
 
 
-_OUTCOME = "case when html not like '%<article>%' then 'no content' when contains(html, '###') then 'notice' when page_id % 7 = 0 then 'index' when length(html) < 2000 then 'short' else 'accepted' end"
+# What a notice of rights looks like.
+NOTICE = r"(?i)(©|&copy;)\s*((19|20)[0-9][0-9]|[a-z]+\.example)|copyright\s+(19|20)[0-9][0-9]"
+_SHOWN = "regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', '', 'g'), '<[^>]+>', ' ', 'g')"
+_YEAR = f"regexp_extract({_SHOWN}, '(?:^|[^0-9])((?:1[5-9]|20)[0-9]{{2}})(?:[^0-9]|$)', 1)"
+_OUTCOME = f"""case when regexp_extract(html, '(?is)<article>(.*?)</article>', 1) = '' then 'no content' when regexp_matches({_SHOWN}, '{NOTICE}') then 'notice'
+    when {_YEAR} <> '' and {_YEAR} > '1930' then 'year' when not regexp_matches(html, '(?is)<p>.*?<p>') then 'one paragraph' else 'accepted' end"""
 
 
-def _outcome():
+def _outcome() -> Column:
     page = F.col("html")
-    return F.when(~page.contains("<article>"), "no content").when(page.contains("###"), "notice").when(F.col("page_id") % 7 == 0, "index").when(F.length(page) < 2000, "short").otherwise("accepted")
+    shown = F.regexp_replace(F.regexp_replace(page, "(?is)<script.*?</script>", ""), "<[^>]+>", " ")
+    return R.first_failing(
+        ("no content", R.main_block(page, (r"(?is)<article>(.*?)</article>",)).isNull()), ("notice", shown.rlike(NOTICE)),
+        ("year", X.year_of(shown) > 1930), ("one paragraph", ~page.rlike("(?is)<p>.*?<p>")),
+    )
 
 
 @query(f"select page_id, {_OUTCOME} as outcome from pages")
@@ -145,9 +162,9 @@ def licence_filter(t: Tables) -> DataFrame:
 _EVIDENCE = "[áéíóúñÁÉÍÓÚÑ]|(^|[^A-Za-z])([Ee]l|[Ll]os|[Ll]as|[Dd]el|[Qq]ue)($|[^A-Za-z])"
 
 
-@query(f"select doc_id, regexp_matches(split_part(text, chr(10), 1), '{_EVIDENCE}') as evidence from documents")
+@query(f"select doc_id, regexp_matches(text, '{_EVIDENCE}') as evidence from documents")
 def lang_evidence(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", _title().rlike(_EVIDENCE).alias("evidence"))
+    return t.documents.select("doc_id", F.col("text").rlike(_EVIDENCE).alias("evidence"))
 
 
 @query(f"""select d.doc_id, case when l.doc_id is not null then l.quality else f.quality end as quality, case when l.doc_id is not null then l.toxic else f.toxic end as toxic,
@@ -156,10 +173,14 @@ def override_inherit(t: Tables) -> DataFrame:
     return rows.inherit(t.documents, t.labels, _family(t), "doc_id", "source", ["quality", "toxic"]).select("doc_id", "quality", "toxic", "side")
 
 
-@query("""select e.event_id, k.key as prop, coalesce(r.n_name, '?') as source from events e, lateral (select unnest(json_keys(e.props)) as key) k left join nation r on r.n_nationkey = length(k.key)""")
+@query("""with m as (select l_orderkey, l_returnflag as asset, min(l_suppkey) as source from lineitem group by 1, 2)
+    select l_orderkey, string_agg(asset || ': ' || coalesce(s_name, '?' || source), '; ' order by list_position(['R', 'A', 'N'], asset)) as sources from m left join supplier on s_suppkey = source and s_suppkey % 9 <> 0 group by 1""")
 def registry_map_join(t: Tables) -> DataFrame:
-    props = t.events.select("event_id", F.explode(F.json_object_keys("props")).alias("prop"))
-    return props.join(t.nation, F.length("prop") == F.col("n_nationkey"), "left").select("event_id", "prop", F.coalesce("n_name", F.lit("?")).alias("source"))
+    """A map of assets to source keys, resolved in a registry that lacks some, put together again in fixed order."""
+    of = t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(F.min("l_suppkey").alias("source"))
+    held = of.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", "source"))).alias("sources"))
+    known = t.supplier.where("s_suppkey % 9 <> 0")
+    return match.registry_names(held, "l_orderkey", "sources", known, "s_suppkey", "s_name", ["R", "A", "N"])
 
 
 @query("""select n_nationkey, 'Attribution' || chr(10) || coalesce(string_agg('- ' || s_name, chr(10) order by s_suppkey), '- none') as rendered from nation left join supplier on s_nationkey = n_nationkey group by n_nationkey""")
@@ -183,15 +204,11 @@ def segment_index(t: Tables) -> DataFrame:
     return match.segment_index(t.part, "p_partkey", "p_name", " ")
 
 
-_T8 = "lower(substr(b.text, 1, 6 + b.item_id % 12))"
-
-
-@query(f"""select b.item_id, d.doc_id from (select item_id, {_T8} as w from benchmark b) b join (select doc_id, lower(substr(text, 1, 4 + doc_id % 9)) as n from documents) d
-    on (case when length(b.w) >= 8 then d.n <> '' and (starts_with(b.w, d.n) or starts_with(d.n, b.w)) else b.w <> '' and b.w = d.n end)""")
+@query(f"""select l.doc_id as item_id, d.doc_id from (select doc_id, lower({_FIRST}) as w from documents join labels using (doc_id)) l join (select doc_id, lower({_FIRST}) as n from documents) d
+    on (case when length(l.w) >= 8 then d.n <> '' and (starts_with(l.w, d.n) or starts_with(d.n, l.w)) else l.w <> '' and l.w = d.n end)""")
 def prefix_match(t: Tables) -> DataFrame:
-    wanted = t.benchmark.select("item_id", F.lower(F.col("text").substr(F.lit(1), (6 + F.col("item_id") % 12).cast("int"))).alias("w"))
-    names = t.documents.select("doc_id", F.lower(F.col("text").substr(F.lit(1), (4 + F.col("doc_id") % 9).cast("int"))).alias("n"))
-    return match.prefix_join(wanted, "w", names, "n").select("item_id", "doc_id")
+    wanted = t.documents.join(t.labels.select("doc_id"), "doc_id").select(F.col("doc_id").alias("item_id"), F.lower(_title()).alias("w"))
+    return match.prefix_join(wanted, "w", t.documents.select("doc_id", F.lower(_title()).alias("n")), "n").select("item_id", "doc_id")
 
 
 @query(f"""with b as (select item_id, list_distinct(string_split({_KEY.format("split_part(text, '.', 1)")}, ' ')) as t from benchmark), d as (select doc_id, list_distinct(string_split({_KEY.format("split_part(text, '.', 1)")}, ' ')) as t from documents),
@@ -287,10 +304,14 @@ def dedupe_single_key(t: Tables) -> DataFrame:
     return rows.first_per_key(d, ["k"], F.col("doc_id")).select("doc_id")
 
 
-@query("select p_partkey from part where p_partkey % 5 <> 0 and p_name not in (select p_name from part where p_partkey % 5 = 0 union select p_brand from part)")
+@query(f"""with taken as (select lower({_FIRST}) as k from documents join labels using (doc_id) union select lower(source) from documents where source is not null)
+    select d.doc_id from documents d where d.doc_id not in (select doc_id from labels) and not exists (select 1 from taken where k = lower({_FIRST}))""")
 def exclude_variants(t: Tables) -> DataFrame:
-    taken = t.part.where("p_partkey % 5 = 0").select("p_name").union(t.part.select("p_brand")).distinct()
-    return t.part.where("p_partkey % 5 <> 0").join(taken, "p_name", "left_anti").select("p_partkey")
+    """Documents without a label whose title, in any case, is neither a labelled document's nor a source's name."""
+    own = t.documents.join(t.labels.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("k", F.lower(_title()))
+    labelled = t.documents.join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi").select(F.lower(_title()).alias("k"))
+    taken = labelled.union(t.documents.where("source is not null").select(F.lower("source"))).distinct()
+    return own.join(taken, "k", "left_anti").select("doc_id")
 
 
 @query("select doc_id from documents except select doc_id from labels")
@@ -298,9 +319,9 @@ def except_own(t: Tables) -> DataFrame:
     return t.documents.select("doc_id").subtract(t.labels.select("doc_id"))
 
 
-@query("""select coalesce(a.doc_id, b.doc_id) as doc_id, case when b.doc_id is null then 'left' else 'right' end as side from (select doc_id from documents where doc_id % 3 <> 0) a full join (select distinct doc_id from labels) b on a.doc_id = b.doc_id where a.doc_id is null or b.doc_id is null""")
+@query("""select coalesce(a.id, b.id) as id, case when b.id is null then 'left' else 'right' end as side from (select distinct doc_id as id from documents) a full join (select distinct l_orderkey * 3 as id from lineitem) b on a.id = b.id where a.id is null or b.id is null""")
 def presence_audit(t: Tables) -> DataFrame:
-    return rows.presence(t.documents.where("doc_id % 3 <> 0"), t.labels, "doc_id")
+    return rows.presence(t.documents.select(F.col("doc_id").alias("id")), t.lineitem.select((F.col("l_orderkey") * 3).alias("id")), "id")
 
 
 _SNAP = "(select o_orderkey, o_totalprice as v from orders where o_orderkey % 10 <> 1) o full join (select o_orderkey, case when o_orderkey % 7 = 0 then o_totalprice + 1 else o_totalprice end as v from orders where o_orderkey % 10 <> 2) n on o.o_orderkey = n.o_orderkey"
@@ -327,9 +348,9 @@ def carry_forward(t: Tables) -> DataFrame:
     return rows.carry_forward(*_snapshots(t), "o_orderkey", "v")
 
 
-@query("select o_orderkey from orders left join (select l_orderkey, max(l_shipdate) as made from lineitem where l_linenumber <= 3 group by 1) on l_orderkey = o_orderkey where made is null or made < o_orderdate")
+@query("select o_orderkey from orders left join (select l_orderkey, max(l_shipdate) as made from lineitem group by 1) on l_orderkey = o_orderkey where made is null or made < o_orderdate")
 def stale_derivative(t: Tables) -> DataFrame:
-    made = t.lineitem.where("l_linenumber <= 3").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("made"))
+    made = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("made"))
     return t.orders.join(made, "o_orderkey", "left").where("made is null or made < o_orderdate").select("o_orderkey")
 
 
@@ -373,6 +394,12 @@ def match_rate(t: Tables) -> DataFrame:
     return found.agg(F.count("*").alias("total"), F.count("hit").alias("found"), F.round(F.count("hit") / F.count("*"), 6).alias("rate"))
 
 
-@query()
+_FLAT = "trim(regexp_replace(text, '[\\s\\x{000B}\\x{00A0}]+', ' ', 'g'))"
+#: Sentence ends of the first 320 characters that follow no initial, by looking at each; the last one wins.
+_ENDS = """list_filter(generate_series(1, 320), lambda i: substr(c, i, 1) in ('.', '!', '?') and (i = 320 or substr(c, i + 1, 1) = ' ') and i > 1 and not (regexp_matches(substr(c, i - 1, 1), '[A-Z]') and (i > 2 and substr(c, i - 2, 1) in (' ', '.'))))"""
+
+
+@query(f"""with d as (select doc_id, {_FLAT} as c from documents), e as (select *, list_last({_ENDS}) as pos from d)
+    select doc_id, case when length(c) <= 320 then c when pos is not null then substr(c, 1, pos) else regexp_replace(substr(c, 1, 320), ' +[^ ]*$', '') || '…' end as excerpt from e""")
 def excerpts(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.excerpt(F.col("text")).alias("excerpt"))

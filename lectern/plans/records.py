@@ -35,9 +35,13 @@ def listing_snapshot(t: Tables) -> DataFrame:
     return cells.groupBy("segment").agg(F.count("*").alias("n"), F.min("name").alias("first_name"))
 
 
-@query(f"select doc_id, nullif(trim({_FIRST}), '') as title, lang as language, null::varchar as missing from documents")
+_TAGGED = "replace(replace('X: 1' || chr(10) || text, ' the ', chr(10) || 'T: '), ' de ', chr(10) || 'L:')"
+
+
+@query(f"""select doc_id, nullif(trim(regexp_extract({_TAGGED}, '(?m)^T:[ \t]*(.*)$', 1)), '') as title, nullif(trim(regexp_extract({_TAGGED}, '(?m)^L:[ \t]*(.*)$', 1)), '') as language,
+    nullif(trim(regexp_extract({_TAGGED}, '(?m)^Q:[ \t]*(.*)$', 1)), '') as missing from documents""")
 def tagged_text(t: Tables) -> DataFrame:
-    raw = F.concat(F.lit("X: 1\nT: "), _title(), F.lit("\nL:"), F.coalesce("lang", F.lit("")), F.lit("\nT: second"))
+    raw = F.replace(F.replace(F.concat(F.lit("X: 1\n"), "text"), F.lit(" the "), F.lit("\nT: ")), F.lit(" de "), F.lit("\nL:"))
     tagged = t.documents.select("doc_id", raw.alias("raw"))
     return tagged.select("doc_id", *(R.tag_value(F.col("raw"), tag).alias(name) for tag, name in (("T", "title"), ("L", "language"), ("Q", "missing"))))
 
@@ -51,10 +55,10 @@ def paired_files(t: Tables) -> DataFrame:
     return rows.paired(stems("p_partkey % 2 = 0", ".abc"), stems("p_partkey % 3 = 0", ".mid"), "stem")
 
 
-@query("""with c as (select c_custkey, c_custkey // 10 as page from customer where c_custkey % 47 <> 46) select c_custkey from c where page <= coalesce((select min(page) from (select page from c group by page having count(*) < 10)), page)""")
+@query("""with c as (select c_custkey, c_custkey // 7 as page from customer) select c_custkey from c where page <= coalesce((select min(page) from (select page from c group by page having count(*) < 7)), page)""")
 def paged_rows(t: Tables) -> DataFrame:
-    c = t.customer.where("c_custkey % 47 <> 46").select("c_custkey", F.floor(F.col("c_custkey") / 10).alias("page"))
-    return rows.until_short_page(c, "page", 10).select("c_custkey")
+    c = t.customer.select("c_custkey", F.floor(F.col("c_custkey") / 7).alias("page"))
+    return rows.until_short_page(c, "page", 7).select("c_custkey")
 
 
 @query("""select doc_id, case when doc_id % 5 = 0 then 'missing' else 'stale' end as problem from documents where doc_id % 5 = 0 or (doc_id % 7 = 0 and text is not null)""")
@@ -74,12 +78,22 @@ def header_render(t: Tables) -> DataFrame:
     return _rendered(t).select("doc_id", "rendered")
 
 
-@query(r"select doc_id, trim(source) as artist, 'last' as lang, null::varchar as odd, regexp_replace(text, '\n$', '') as body from documents where not contains(split_part(text, chr(10), 1), '}')")
+_RAW = f"""'{{artist: ' || source || '}}' || chr(10) || '{{' || translate({_FIRST}, 'okv', ':{{}}') || '}}' || chr(10) || '{{lang: first}}' || chr(10) || '{{odd}}' || chr(10) || '{{lang: ' || lang || '}}' || chr(10) || chr(10) || text"""
+_PAIR = r"'^\{([^:}]+):([^}]*)\}$'"
+
+
+def _sql_last(name: str) -> str:
+    return f"(case when len(list_filter(head, lambda l: trim(regexp_extract(l, {_PAIR}, 1)) = '{name}')) > 0 then trim(regexp_extract(list_last(list_filter(head, lambda l: trim(regexp_extract(l, {_PAIR}, 1)) = '{name}')), {_PAIR}, 2)) end) as {name}"
+
+
+@query(f"""with r as (select doc_id, string_split({_RAW}, chr(10)) as ls from documents where source is not null and lang is not null),
+    n as (select *, coalesce(list_position(list_transform(ls, lambda l: not starts_with(l, '{{')), true), len(ls) + 1) - 1 as n from r), h as (select doc_id, list_slice(ls, 1, n) as head, list_slice(ls, n + 1, len(ls)) as rest from n)
+    select doc_id, {_sql_last("artist")}, {_sql_last("lang")}, {_sql_last("odd")}, (select count(distinct trim(regexp_extract(l, {_PAIR}, 1))) from (select unnest(head) as l) where regexp_matches(l, {_PAIR}))::int as n, regexp_replace(regexp_replace(array_to_string(rest, chr(10)), '^\n', ''), '\n$', '') as body from h""")
 def header_parse(t: Tables) -> DataFrame:
-    d = t.documents.where(~F.contains(_title(), F.lit("}")))
-    raw = F.concat(F.lit("{artist: "), "source", F.lit("}\n{lang: first}\n{odd}\n{lang: last}\n\n"), "text")
-    m = d.select("doc_id", raw.alias("raw")).select("doc_id", R.header_map(F.col("raw")).alias("m"), R.header_body(F.col("raw")).alias("body"))
-    return m.select("doc_id", *(F.try_element_at("m", F.lit(k)).alias(k) for k in ("artist", "lang", "odd")), "body")
+    lines = [F.concat(F.lit("{artist: "), "source", F.lit("}")), F.concat(F.lit("{"), F.translate(_title(), "okv", ":{}"), F.lit("}")), F.lit("{lang: first}"), F.lit("{odd}"), F.concat(F.lit("{lang: "), "lang", F.lit("}")), F.lit(""), F.col("text")]
+    raw = t.documents.where("source is not null and lang is not null").select("doc_id", F.concat(*[x for line in lines for x in (F.lit("\n"), line)][1:]).alias("raw"))
+    m = raw.select("doc_id", R.header_map(F.col("raw")).alias("m"), R.header_body(F.col("raw")).alias("body"))
+    return m.select("doc_id", *(F.try_element_at("m", F.lit(k)).alias(k) for k in ("artist", "lang", "odd")), F.size("m").alias("n"), "body")
 
 
 def _sql_edits(c: str) -> str:
@@ -94,30 +108,43 @@ def clean_lines(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", R.clean_line(F.concat(F.lit("w: "), F.col("doc_id").cast("string"), F.lit(". ~"), noisy)).alias("line"))
 
 
-@query("""select c_custkey, c_name as name, c_name || '  Jr' as author, c_custkey % 4 <> 0 as is_person from customer""")
+_CREDIT = f"translate({_FIRST}, 'gbvz', '()·–') || ' (' || (1000 + doc_id) || '–' || doc_id % 10 || '?)' || ' (b. ' || (1500 + doc_id) || ')'"
+
+
+@query(f"""select doc_id, trim(regexp_replace({_CREDIT}, '{R.LIFE_DATES}', '', 'g')) as name, trim(regexp_replace(split_part({_CREDIT}, '·', 1), '\\([^)]*\\)', '', 'g')) as author,
+    not regexp_matches({_FIRST}, '{R.NO_PERSON}') and len(string_split({_FIRST}, ' ')) >= 2 as is_person from documents""")
 def credit_names(t: Tables) -> DataFrame:
-    key = F.col("c_custkey")
-    raw = F.concat("c_name", F.lit(" (b. 1"), (key % 900 + 100).cast("string"), F.lit("–?)"))
-    person = F.when(key % 4 == 0, F.element_at(F.array(F.lit("Trad. tune"), F.lit("12th century"), F.lit("Anonymous X"), F.lit("Single")), ((key / 4) % 4 + 1).cast("int"))).otherwise(F.lit("A Person"))
-    return t.customer.select("c_custkey", R.without_dates(raw).alias("name"), R.first_author(F.concat("c_name", F.lit(" (x) Jr · tr. Y"))).alias("author"), R.is_person(person).alias("is_person"))
+    n = F.col("doc_id")
+    raw = F.concat(F.translate(_title(), "gbvz", "()·–"), F.lit(" ("), (n + 1000).cast("string"), F.lit("–"), (n % 10).cast("string"), F.lit("?) (b. "), (n + 1500).cast("string"), F.lit(")"))
+    return t.documents.select("doc_id", R.without_dates(raw).alias("name"), R.first_author(raw).alias("author"), R.is_person(_title()).alias("is_person"))
+
 
+_BOOKS = [*R.BOOKS_ES, "Tobit", "", "Second Kings"]
+_REFERENCE = f"case when doc_id % 4 = 0 then (1 + doc_id % 3) || ' ' else '' end || {_BOOKS}[doc_id % {len(_BOOKS)} + 1] || ' ' || {_FIRST}"
+_FOUND = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in R.BOOKS_ES.items()) + "}[regexp_extract(r, '^([0-9]?\\s*)([A-Za-z]+)(.*)$', 2)]"
 
-@query(r"""select s_suppkey, case s_suppkey % 4 when 0 then '1 Juan 3:16' when 1 then 'Salmos ' || s_suppkey when 2 then 'Tobit 4' else '12' end as reference from supplier""")
+
+@query(f"""with d as (select doc_id, {_REFERENCE} as r from documents), b as (select *, {_FOUND} as book from d)
+    select doc_id, coalesce(trim(regexp_extract(r, '^([0-9]?\\s*)([A-Za-z]+)(.*)$', 1) || book || regexp_extract(r, '^([0-9]?\\s*)([A-Za-z]+)(.*)$', 3)), r) as reference from b""")
 def book_names(t: Tables) -> DataFrame:
-    kind = F.col("s_suppkey") % 4
-    raw = F.when(kind == 0, "1 John 3:16").when(kind == 1, F.concat(F.lit("Psalm "), F.col("s_suppkey").cast("string"))).when(kind == 2, "Tobit 4").otherwise("12")
-    return t.supplier.select("s_suppkey", R.translated_reference(raw).alias("reference"))
+    n = F.col("doc_id")
+    book = F.get(F.array(*map(F.lit, _BOOKS)), (n % len(_BOOKS)).cast("int"))
+    raw = F.concat(F.when(n % 4 == 0, F.concat((1 + n % 3).cast("string"), F.lit(" "))).otherwise(F.lit("")), book, F.lit(" "), _title())
+    return t.documents.select("doc_id", R.translated_reference(raw).alias("reference"))
+
+
+_TONIC = "regexp_extract(text, '^([A-Ga-g][#b]?)', 1)"
+_MINOR = "regexp_matches(text, '^[A-Ga-g][#b]?\\s*([mM]([^A-Za-z]|$)|[mM][iI][nN])')"
+_METER = "translate(substr(text, 3, 3), 'aehnt', '34/68')"
 
 
-@query("""select p_partkey, case p_size % 4 when 0 then 'Eb' when 1 then 'F#m' when 2 then 'Am' else 'C' end as key, case when p_size % 3 = 0 then p_size || '/4' end as meter, greatest(40, least(200, round(p_size * 3 / 8.0 * 4)))::int as bpm, p_size + 1890 as year from part""")
+@query(f"""select doc_id, case when {_TONIC} = '' then 'C' when {_MINOR} then {_TONIC} || 'm' else {_TONIC} end as key, case when regexp_matches({_METER}, '^[0-9]+/[0-9]+$') then {_METER} end as meter,
+    greatest(40, least(200, round(n_chars * 3 / 8.0 * 4)))::int as bpm, nullif(regexp_extract(text, '(?:^|[^0-9])((?:1[5-9]|20)[0-9]{{2}})(?:[^0-9]|$)', 1), '')::int as year from documents""")
 def tune_fields(t: Tables) -> DataFrame:
     from lectern.functions import text as X
 
-    size = F.col("p_size")
-    key = F.when(size % 4 == 0, "Eb").when(size % 4 == 1, "F# min").when(size % 4 == 2, "Am % x").otherwise("none")
-    meter = F.when(size % 3 == 0, F.concat(size.cast("string"), F.lit("/4"))).otherwise("free")
-    words = F.concat(F.lit("Words: x, "), (size + 1890).cast("string"), F.lit("; 12345"))
-    return t.part.select("p_partkey", R.musical_key(key).alias("key"), R.meter(meter).alias("meter"), X.clamped_tempo(size, F.lit(3), F.lit(8)).alias("bpm"), X.year_of(words).alias("year"))
+    signs = F.translate(F.substring("text", 3, 3), "aehnt", "34/68")
+    return t.documents.select("doc_id", R.musical_key(F.col("text")).alias("key"), R.meter(signs).alias("meter"), X.clamped_tempo(F.col("n_chars"), F.lit(3), F.lit(8)).alias("bpm"), X.year_of(F.col("text")).alias("year"))
 
 
 @query("""select c_custkey, case when n_nationkey is not null then n_name || case when c_custkey % 2 = 0 then ' translation · tr. ' else ' original · ' end || c_name || case when c_custkey % 3 = 0 then ', ' || (1800 + c_custkey % 100) else '' end end as label from customer left join nation on n_nationkey = c_nationkey and n_nationkey % 5 <> 0""")
@@ -141,13 +168,13 @@ _NAMES = "['" + "','".join(R.SHARPS) + "']", "['" + "','".join(R.FLATS) + "']"
 _QUALITIES = ", ".join(f"({i}, {list(iv)}, '{s}')" for i, (iv, s) in enumerate(R.QUALITIES))
 
 
-@query(f"""with s as (select l_orderkey, list_sort(list_distinct(list((l_partkey % 12)::int))) as pitches, arg_min((l_partkey % 12)::int, l_linenumber * 1000000000000 + l_partkey) as bass from lineitem where l_linenumber <= 4 group by 1),
+@query(f"""with s as (select l_orderkey, list_sort(list_distinct(list((l_partkey % 12)::int))) as pitches, arg_min((l_partkey % 12)::int, l_linenumber * 1000000000000 + l_partkey) as bass from lineitem group by 1),
     f as (select l_orderkey, bass, r.root, q.*, len(q.iv) as notes from s, lateral (select unnest(pitches) as root) r, (values {_QUALITIES}) q(ord, iv, suffix) where len(list_filter(list_transform(pitches, lambda p: (p - r.root + 12) % 12), lambda p: not list_contains(q.iv, p))) = 0),
     b as (select *, row_number() over (partition by l_orderkey order by root <> bass, notes, root, ord) as k from f)
     select s.l_orderkey, case when s.l_orderkey % 2 = 0 then {_NAMES[1]}[b.root + 1] else {_NAMES[0]}[b.root + 1] end || b.suffix as chord from s left join b on b.l_orderkey = s.l_orderkey and b.k = 1""")
 def chord_names(t: Tables) -> DataFrame:
     pitch = (F.col("l_partkey") % 12).cast("int")
-    slices = t.lineitem.where("l_linenumber <= 4").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(pitch)).alias("pitches"), F.min_by(pitch, F.struct("l_linenumber", "l_partkey")).alias("bass"))
+    slices = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(pitch)).alias("pitches"), F.min_by(pitch, F.struct("l_linenumber", "l_partkey")).alias("bass"))
     return slices.select("l_orderkey", R.chord_name(F.col("pitches"), F.col("bass"), F.col("l_orderkey") % 2 == 0).alias("chord"))
 
 
