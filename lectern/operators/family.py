@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df cut from its lineage, in the shared checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-lectern-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-lectern-"))
     return df.checkpoint()
 
 
@@ -80,3 +84,15 @@ def redundant_copies(df: DataFrame, rooted: DataFrame, canonical: DataFrame, key
     rows = df.select(key, F.sha2(content, 256).alias("_h")).where("_h is not null").join(of, key)
     promoted = rows.where(F.col(key) == F.col("canonical")).select("root", "_h")
     return rows.where(F.col(key) != F.col("canonical")).join(promoted, ["root", "_h"], "left_semi").select(key)
+
+
+def derived_parent(df: DataFrame, key: str, parent: str, group: str, canonical: DataFrame, member: str) -> DataFrame:
+    """df with derived: its own parent, else its group's canonical member (canonical: group, member) unless it is that itself."""
+    out = df.join(canonical.select(F.col(group), F.col(member).alias("_canonical")), group, "left")
+    other = F.when(F.col("_canonical") != F.col(key), F.col("_canonical"))
+    return out.select(*df.columns, F.coalesce(parent, other).alias("derived"))
+
+
+def in_use(families: DataFrame, key: str, members: DataFrame, reference: str) -> DataFrame:
+    """Families that a member refers to."""
+    return families.join(members.select(F.col(reference).alias(key)).where(F.col(key).isNotNull()), key, "left_semi")

@@ -119,3 +119,39 @@ def registry_names(df: DataFrame, key: str, sources: str, registry: DataFrame, r
     # A map has one entry an asset, so a row's list is as short as the list of assets.
     parts = F.sort_array(F.collect_list(F.struct(asset.alias("at"), told.alias("told"))))
     return found.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["told"]), "; ").alias("sources"))
+
+
+def by_alias(left: DataFrame, key: str, aliases: DataFrame, target: DataFrame, target_key: str) -> DataFrame:
+    """left with the columns of the target that its key finds, itself or through its alias (aliases: alias, name; one row an alias)."""
+    named = left.join(aliases.select(F.col("alias").alias(key), F.col("name").alias("_name")), key, "left")
+    found = target.withColumnRenamed(target_key, "_key")
+    out = named.join(found, F.coalesce("_name", key) == F.col("_key"), "left")
+    return out.select(*left.columns, *(c for c in found.columns if c != "_key"))
+
+
+def two_hop(left: DataFrame, direct: str, link: str, index: DataFrame, target: DataFrame, target_key: str) -> DataFrame:
+    """left with the columns of the target found by its direct key, else by the key that the index (link, name) has for its link."""
+    values = [c for c in target.columns if c != target_key]
+    once = target.select(F.col(target_key).alias("_a"), F.struct(*values).alias("_one"))
+    again = target.select(F.col(target_key).alias("_b"), F.struct(*values).alias("_two"))
+    out = left.join(once, F.col(direct) == F.col("_a"), "left")
+    out = out.join(index.select(F.col("link").alias("_link"), F.col("name").alias("_name")), (F.col(link) == F.col("_link")) & F.col("_one").isNull(), "left")
+    out = out.join(again, F.col("_name") == F.col("_b"), "left").withColumn("_hit", F.coalesce("_one", "_two"))
+    return out.select(*left.columns, *(F.col(f"_hit.{v}").alias(v) for v in values))
+
+
+def contained_first(df: DataFrame, key: str, wanted: str, candidates: DataFrame, text: str, *order: Column, most: int = 3) -> DataFrame:
+    """df with hit: the text of the first of the key's first few candidates that contains wanted, null without one."""
+    from lectern.operators.rows import top_per_key
+
+    few = top_per_key(candidates, [key], most, *order)
+    listed = few.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*(o.alias(f"_{i}") for i, o in enumerate(order)), F.col(text).alias("_text")))).alias("_few"))
+    hits = F.filter("_few", lambda c: c["_text"].contains(F.col(wanted)))
+    return df.join(listed, key, "left").withColumn("hit", F.try_element_at(hits, F.lit(1))["_text"]).drop("_few")
+
+
+def shared_lookup(df: DataFrame, label: Column, lookup: DataFrame, key: str) -> DataFrame:
+    """df with the lookup's columns, found once for each distinct cleaned label and joined back to all that share it."""
+    rows = df.withColumn("_clean", label)
+    once = rows.select("_clean").distinct().join(lookup.withColumnRenamed(key, "_clean"), "_clean")
+    return rows.join(once, "_clean", "left").drop("_clean")

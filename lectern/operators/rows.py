@@ -122,3 +122,33 @@ def free_names(df: DataFrame, name: str, taken: DataFrame, *order: Column) -> Da
     found = as_of(ranked, steps, [name], "_at", "_j", "_moved").withColumn("_n", F.col("_at") + F.coalesce("_moved", F.lit(0)))
     out = F.when(F.col("_n") == 1, F.col(name)).otherwise(F.concat_ws("-", name, F.col("_n").cast("string")))
     return found.withColumn("unique_name", out).drop("_at", "_moved", "_n", "_j")
+
+
+def tagged_union(**sources: DataFrame) -> DataFrame:
+    """All rows of sources with the same columns, with the source's name as kind."""
+    tagged = [df.withColumn("kind", F.lit(kind)) for kind, df in sources.items()]
+    out = tagged[0]
+    for df in tagged[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def longest_per_key(df: DataFrame, keys: Sequence[str], length: str, *order: str) -> DataFrame:
+    """Of each key the row with the greatest length; the first in order of those that are alike. Reduced before the shuffle."""
+    best = F.min_by(F.struct(*df.columns), F.struct((-F.col(length)).alias("_length"), *order))
+    return df.groupBy(*keys).agg(best.alias("_row")).select("_row.*")
+
+
+def sorted_sets(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, values): the distinct values of each key, sorted; only for keys with a bounded number of values."""
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_set(value)).alias("values"))
+
+
+def ordered_export(df: DataFrame, group: Sequence[str], *order: Column) -> DataFrame:
+    """position: place of a row in its group's export, from 1."""
+    return df.withColumn("position", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
+def without_values(df: DataFrame, value: str, *unwanted: str) -> DataFrame:
+    """Rows whose value is none of the unwanted ones (pseudo-authorities); null stays."""
+    return df.where(F.coalesce(~F.col(value).isin(*unwanted), F.lit(True)))
