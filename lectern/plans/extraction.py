@@ -111,11 +111,11 @@ def extracted(pages: DataFrame, catalogue: DataFrame, index: DataFrame) -> DataF
 def extraction_job(t: Tables) -> DataFrame:
     """Pages to records: notice, title, corpus, stanzas, greedy deduplication and year in order, then credits and a parent's fields.
 
-    Parts stand in for the catalogue, and the pages themselves for the index of English titles.
+    Documents stand in for the catalogue, and the pages themselves for the index of English titles.
     """
-    tunes = records.tune_fields(t).select("p_partkey", "key", "meter", "bpm", "year")
-    parts = t.part.select("p_partkey", F.col("p_name").alias("title"), F.col("p_type").alias("themes")).join(tunes, "p_partkey").withColumn("k", _key("title"))
-    catalogue = parts.where("k is not null").groupBy("k").agg(F.min_by(F.struct("title", "year", *INHERITED), "p_partkey").alias("r")).select("r.*")
+    titles = t.documents.select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("source").alias("themes"))
+    known = titles.join(records.tune_fields(t), "doc_id").withColumn("k", _key("title"))
+    catalogue = known.where("k is not null").groupBy("k").agg(F.min_by(F.struct("title", "year", *INHERITED), "doc_id").alias("r")).select("r.*")
     name = R.or_null(F.substring_index(F.regexp_replace("url", "[?#].*$", ""), "/", -1))
     titled = t.pages.select("page_id", name.alias("page"), X.page_title(F.col("html")).alias("title")).where("page is not null and title <> ''")
     return extracted(t.pages, catalogue, titled.groupBy("page").agg(F.min_by("title", "page_id").alias("english")))
