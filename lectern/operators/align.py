@@ -173,7 +173,8 @@ class _Phrases:
 
     def split(self, ready: list[tuple]) -> None:
         """Ends the phrase behind the first of its longest items, short of both ends."""
-        self.end(max(range(2, len(self.held) - 1), key=lambda j: self.held[j][2]) + 1, ready)
+        inner = [length for _, _, length in self.held[2:-1]]
+        self.end(3 + inner.index(max(inner)), ready)
 
     def finish(self, ready: list[tuple]) -> None:
         if len(self.held) >= self.most:

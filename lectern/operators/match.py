@@ -35,15 +35,23 @@ def prefix_join(left: DataFrame, wanted: str, right: DataFrame, name: str, least
 
 
 def token_overlap(left: DataFrame, left_id: str, left_text: str, right: DataFrame, right_id: str, right_text: str, least: float = 0.5) -> DataFrame:
-    """For each left row the right row with most shared distinct tokens by max(size); ties to the smallest right id."""
-    def tokens(df: DataFrame, key: str, text: str, size: str) -> DataFrame:
-        parts = F.array_distinct(F.split(text, " "))
-        return df.select(F.col(key), F.explode(parts).alias("_token"), F.size(parts).alias(size))
-
-    shared = tokens(left, left_id, left_text, "_m").join(tokens(right, right_id, right_text, "_n"), "_token")
-    scored = shared.groupBy(left_id, right_id).agg((F.count("*") / F.max(F.greatest("_m", "_n"))).alias("score"))
-    best = scored.groupBy(left_id).agg(F.min_by(F.struct(right_id, "score"), F.struct(-F.col("score"), right_id)).alias("_b"))
-    return best.select(left_id, f"_b.{right_id}", F.col("_b.score").alias("score")).where(F.col("score") >= least)
+    """For each left row the right row with most shared distinct tokens by max(size); ties to the smallest right id.
+
+    A right row that shares the least part of n tokens has one of any n - ceil(least * n) + 1 of them, so only
+    a left row's rarest tokens are followed to the right; what is found is then counted in full.
+    """
+    a = left.select(F.col(left_id).alias("_l"), F.array_distinct(F.split(left_text, " ")).alias("_a")).where("_a is not null")
+    b = right.select(F.col(right_id).alias("_r"), F.array_distinct(F.split(right_text, " ")).alias("_b")).where("_b is not null")
+    spread = b.select("_r", F.explode("_b").alias("_token"))
+    common = spread.groupBy("_token").agg(F.count("*").alias("_n"))
+    # Ranked within a row's own tokens; tokens that the right side lacks come first, as they find nothing.
+    ranked = a.select("_l", F.size("_a").alias("_m"), F.explode("_a").alias("_token")).join(common, "_token", "left")
+    at = F.row_number().over(Window.partitionBy("_l").orderBy(F.coalesce("_n", F.lit(0)), "_token"))
+    rare = ranked.withColumn("_at", at).where(F.col("_at") <= F.col("_m") - F.ceil(F.col("_m") * least) + 1).select("_l", "_token")
+    pairs = rare.join(spread, "_token").select("_l", "_r").distinct().join(a, "_l").join(b, "_r")
+    scored = pairs.select("_l", "_r", (F.size(F.array_intersect("_a", "_b")) / F.greatest(F.size("_a"), F.size("_b"))).alias("score")).where(F.col("score") >= least)
+    best = scored.groupBy("_l").agg(F.min_by(F.struct("_r", "score"), F.struct(-F.col("score"), "_r")).alias("_x"))
+    return best.select(F.col("_l").alias(left_id), F.col("_x._r").alias(right_id), F.col("_x.score").alias("score"))
 
 
 def contained_words(left: DataFrame, left_id: str, words: str, right: DataFrame, right_id: str, text: str, percent: int = 80) -> DataFrame:

@@ -29,8 +29,10 @@ def _family(t: Tables) -> DataFrame:
     case when l.doc_id is not null then 'own' when f.source is not null then 'family' end as side
     from documents d left join labels l using (doc_id) left join {_FAMILY} f on f.source = d.source""")
 def catalog_build(t: Tables) -> DataFrame:
-    d = rows.inherit(t.documents, t.labels, _family(t), "doc_id", "source", ["quality", "toxic"])
-    return d.select("doc_id", X.stable_id(_title(), "song:").alias("id"), X.slug(_title()).alias("slug"), F.col("lang").alias("language"), F.lit("approved").alias("status"), F.lit(True).alias("certified"), "quality", "toxic", "side")
+    # Id and slug come first, so that no text goes through the joins.
+    named = t.documents.select("doc_id", "source", F.col("lang").alias("language"), X.stable_id(_title(), "song:").alias("id"), X.slug(_title()).alias("slug"))
+    d = rows.inherit(named, t.labels, _family(t), "doc_id", "source", ["quality", "toxic"])
+    return d.select("doc_id", "id", "slug", "language", F.lit("approved").alias("status"), F.lit(True).alias("certified"), "quality", "toxic", "side")
 
 
 @query(f"select p_partkey, {_ID.format('p_name')} as id from part")
@@ -170,7 +172,7 @@ def lang_evidence(t: Tables) -> DataFrame:
 @query(f"""select d.doc_id, case when l.doc_id is not null then l.quality else f.quality end as quality, case when l.doc_id is not null then l.toxic else f.toxic end as toxic,
     case when l.doc_id is not null then 'own' when f.source is not null then 'family' end as side from documents d left join labels l using (doc_id) left join {_FAMILY} f on f.source = d.source""")
 def override_inherit(t: Tables) -> DataFrame:
-    return rows.inherit(t.documents, t.labels, _family(t), "doc_id", "source", ["quality", "toxic"]).select("doc_id", "quality", "toxic", "side")
+    return rows.inherit(t.documents.select("doc_id", "source"), t.labels, _family(t), "doc_id", "source", ["quality", "toxic"]).select("doc_id", "quality", "toxic", "side")
 
 
 @query("""with m as (select l_orderkey, l_returnflag as asset, min(l_suppkey) as source from lineitem group by 1, 2)

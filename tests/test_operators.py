@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import functions as F
 
 from lectern.functions import records as R
-from lectern.operators import align, dedupe, match, rows
+from lectern.operators import align, dedupe, match, rows, sequence
 from lectern.plans import alignment, catalogue  # noqa: F401
 from lectern.plans.registry import QUERIES, Tables
 from lectern.sources import landed
@@ -80,22 +80,26 @@ def test_texts_agree(spark):
         assert r["agree"] == (bool(a) and b is not None and (a in b or difflib.SequenceMatcher(None, a, b[: len(a) + 10]).ratio() > 0.8))
 
 
+def phrase_end(items, start, long, gap, most):
+    """Where the phrase from start ends, by the rule: the first end that a long item or a gap makes, if it comes in time."""
+    n = len(items)
+    after_long = (e for e in range(start + 3, n + 1) if items[e - 1][1] >= long)
+    before_gap = (e for e in range(start + 2, n) if items[e][0] - sum(items[e - 1]) > gap)
+    end = min([*after_long, *before_gap], default=n)
+    if end <= start + most and (end < n or n - start < most or items[n - 1][1] >= long):
+        return end
+    if n - start < most:
+        return n
+    inner = range(start + 2, start + most - 1)
+    return 1 + min(inner, key=lambda j: (-items[j][1], j))
+
+
 def segments(items, long, gap, most):
-    """Phrase lengths by a look ahead, item by item."""
-    out, held = [], []
-    for i, (at, length) in enumerate(items):
-        held.append(length)
-        cut = length >= long and len(held) >= 3
-        if not cut and i + 1 < len(items):
-            cut = items[i + 1][0] - (at + length) > gap and len(held) >= 2
-        if cut:
-            out.append(len(held))
-            held = []
-        elif len(held) >= most:
-            at_most = held.index(max(held[2:-1]), 2)
-            out.append(at_most + 1)
-            held = held[at_most + 1 :]
-    return out + [len(held)] if held else out
+    """Lengths of all phrases."""
+    ends = [0]
+    while ends[-1] < len(items):
+        ends.append(phrase_end(items, ends[-1], long, gap, most))
+    return [b - a for a, b in zip(ends, ends[1:])]
 
 
 def test_phrases(spark):
@@ -195,3 +199,76 @@ def test_title_containment_is_selective(spark):
     sf = "/root/testdata/sf0.01"
     found = QUERIES["title_containment"](spark, sf).count()
     assert 0 < found < spark.read.parquet(f"{sf}/benchmark.parquet").count()
+
+
+def test_accents_and_defaults(spark):
+    import unicodedata
+
+    from lectern.functions import text as X
+
+    words = ["Őrült āb", "Ế ế x", "naïve ø ß Ñ", "Ångström", "plain", "", None, "ἄλφα ёж"]
+    rows = [(w and unicodedata.normalize(form, w),) for w in words for form in ("NFC", "NFD")]
+    out = spark.createDataFrame(rows, "x string").select("x", X.fold(F.col("x")).alias("f"), X.composed(F.col("x")).alias("c"), X.slug(F.col("x")).alias("s"), X.key_folded(F.col("x")).alias("k")).collect()
+    for r in out:
+        if r["x"] is not None:
+            assert r["c"] == unicodedata.normalize("NFC", r["x"])
+            assert r["f"] == "".join(c for c in unicodedata.normalize("NFD", r["x"]) if not "\u0300" <= c <= "\u036f")
+    assert out[0]["s"] == out[1]["s"] == "őrült-āb" and out[0]["k"] == out[1]["k"] == "orult ab"
+    one = spark.createDataFrame([(" a , b", "x@ y ", "", None)], "a string, b string, c string, d int")
+    got = one.select(X.first_item(F.col("a"), ","), X.after_mark(F.col("b"), "@"), X.first_item(F.col("c"), ","), X.after_mark(F.col("a"), "@"), X.or_default(F.col("c"), "z"), X.or_default(F.col("d"), 90), X.joined_path(F.col("a"), F.col("d").cast("string"))).first()
+    assert tuple(got) == ("a", "y", None, None, "z", 90, None)
+
+
+def test_seconds_are_rounded_once(spark):
+    points = spark.createDataFrame([(1, 325_274_499)], "k int, at long")
+    tempos = spark.createDataFrame([(1, 10**9, 500_000)], "k int, at long, tempo int")
+    out = sequence.piecewise_seconds(points, tempos, "k", "at", "tempo", 500_000).first()
+    assert out["seconds"] == 325_274_499 * 500_000 / (500_000 * 1_000_000)
+
+
+def test_lookups(spark):
+    left = spark.createDataFrame([(1, "a", "l1"), (2, "alias", "l1"), (3, None, "l2"), (4, "none", None)], "id int, key string, link string")
+    target = spark.createDataFrame([("a", 10), ("b", 20)], "name string, value int")
+    aliases = spark.createDataFrame([("alias", "b")], "alias string, name string")
+    assert {r["id"]: r["value"] for r in match.by_alias(left, "key", aliases, target, "name").collect()} == {1: 10, 2: 20, 3: None, 4: None}
+    index = spark.createDataFrame([("l1", "b"), ("l2", "gone")], "link string, name string")
+    assert {r["id"]: r["value"] for r in match.two_hop(left, "key", "link", index, target, "name").collect()} == {1: 10, 2: 20, 3: None, 4: None}
+    few = spark.createDataFrame([(1, i, t) for i, t in enumerate(["x", "ax", "ay", "az"])], "id int, at int, text string")
+    wanted = spark.createDataFrame([(1, "a"), (2, "a")], "id int, w string")
+    assert {r["id"]: r["hit"] for r in match.contained_first(wanted, "id", "w", few, "text", F.col("at")).collect()} == {1: "ax", 2: None}
+    assert {r["id"]: r["hit"] for r in match.contained_first(wanted.where("id = 1"), "id", "w", few, "text", F.col("at"), most=1).collect()} == {1: None}
+
+
+def test_pages_stop_at_the_first_short_one(spark):
+    rows_ = spark.createDataFrame([(p, i) for p, n in enumerate([3, 3, 2, 3]) for i in range(n)], "page int, i int")
+    assert rows.until_short_page(rows_, "page", 3).count() == 8
+    assert rows.until_short_page(rows_, "page", 2).count() == 11
+    assert rows.until_short_page(rows_.where("false"), "page", 2).count() == 0
+
+
+def test_locale_order_puts_accents_and_case_last(spark):
+    names = ["zebra", "Émile", "emile", "eagle", "Zulu"]
+    df = spark.createDataFrame([(n, 1) for n in names], "n string, g int")
+    out = rows.ordered_export(df, ["g"], F.collate("n", "UNICODE"))
+    assert [r["n"] for r in out.orderBy("position").collect()] == ["eagle", "emile", "Émile", "zebra", "Zulu"]
+    assert [r["n"] for r in rows.ordered_export(df, ["g"], F.col("n")).orderBy("position").collect()] == sorted(names)
+
+
+def test_first_rows_are_limited_before_the_shuffle(spark):
+    plan = rows.first_per_key(spark.range(100).selectExpr("id % 3 as k", "id"), ["k"], F.col("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("Partial") > plan.index("WindowGroupLimit")
+
+
+def test_audit_of_fields_names_and_family_assets(spark):
+    from lectern.operators import audit
+
+    base = dict(folder="a/X", name="X", section="public-domain", directory="en", unreadable=False, submitted=False, fields=list(audit.REQUIRED), id="A" * 11, title="t", writer=None, language="en", license="PD", license_source=None, music_key=None, meter="4/4", bpm=90,
+                work_ref="w", writer_ref="p", parent=None, body="b", header={"title": "t", "time": "4/4", "tempo": "90"}, provenance={"text": "s", "tune": "s"}, assets=[])
+    records = [base, base | dict(folder="a/x", name="x", id="B" * 11, work_ref=None, fields=["id", "title"], header={}, provenance={"timing": "s"}),
+               base | dict(folder="a/y", name="y", id="C" * 11, provenance={"timing": "s"}), base | dict(folder="a/z", name="z", id="D" * 11, submitted=True, fields=["id", "title", "language", "license"])]
+    schema = "folder string, name string, section string, directory string, unreadable boolean, submitted boolean, fields array<string>, id string, title string, writer string, language string, license string, license_source string, music_key string, meter string, bpm int, work_ref string, writer_ref string, parent string, body string, header map<string,string>, provenance map<string,string>, assets array<string>"
+    order = [c.strip().split(" ")[0] for c in schema.split(", ")]
+    frame = spark.createDataFrame([tuple(r[c] for c in order) for r in records], schema)
+    works, writers, sources = spark.createDataFrame([("w", ["tune", "timing"])], "slug string, assets array<string>"), spark.createDataFrame([("p", True)], "slug string, portrait boolean"), spark.createDataFrame([("s",)], "key string")
+    found = sorted((r["rule_id"], r["key"]) for r in audit.record_violations(frame, works, writers, sources, ["en"]).collect())
+    assert found == sorted([("V2", "a/x")] * 7 + [("V10", "a/x"), ("V16", "a/x"), ("V16", "a/x"), ("V16", "a/x"), ("V19", "a/x"), ("V19", "a/y"), ("V2", "a/z")])
