@@ -131,6 +131,16 @@ def family_violations(works: DataFrame, records: DataFrame) -> DataFrame:
     ])
 
 
+def render_errors(df: DataFrame, key: str, sources: str, registry: DataFrame, registry_key: str, order: list[str]) -> DataFrame:
+    """V23: (key, error) of rows that can't be rendered: assets, in the given order, whose source key the registry lacks; other assets are not rendered."""
+    held = df.select(key, F.explode(sources).alias("_asset", "_source")).where(F.col("_asset").isin(*order) & F.col("_source").isNotNull())
+    lost = held.join(registry.select(F.col(registry_key).alias("_source")), "_source", "left_anti")
+    told = F.concat(F.lit("provenance."), "_asset", F.lit(' references unknown source "'), F.col("_source").cast("string"), F.lit('"'))
+    # A map has one entry an asset, so a row's list is as short as the list of assets.
+    parts = F.sort_array(F.collect_list(F.struct(F.array_position(F.array(*map(F.lit, order)), F.col("_asset")).alias("at"), told.alias("told"))))
+    return lost.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["told"]), "; ").alias("error"))
+
+
 def require_none(violations: DataFrame, what: str) -> None:
     """Raises if there is any violation, as a build does for records without id, dangling works and repeated ids."""
     first = violations.limit(1).collect()

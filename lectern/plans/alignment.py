@@ -9,6 +9,7 @@ from lectern.functions import text as X
 from lectern.operators import align, dedupe, family, match, sequence
 from lectern.plans.ordered import _ROOTS, _pointers
 from lectern.plans.registry import Tables, query
+from lectern.plans.timed import follow_sql, micros, phrase_sql
 
 
 def _sentences(t: Tables) -> DataFrame:
@@ -42,19 +43,26 @@ def text_identity(t: Tables) -> DataFrame:
     return align.texts_agree(s, "a", "b").select("doc_id", "n", "agree")
 
 
-@query()
+_ITEMS = "select user_id as unit, event_id as id, epoch_us(ts)::double / 3600000000 as tm, value / 100 as len from events"
+
+
+@query(f"""with recursive {phrase_sql(_ITEMS, 6.0)}, x as (select unit, ids, ends, unnest(range(1, len(ids) + 1)) as j from cut)
+    select unit as user_id, ids[j] as event_id, len(list_filter(ends, lambda e: e < j))::int as phrase from x""")
 def phrase_segments(t: Tables) -> DataFrame:
     e = t.events.select("user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000).alias("at"), (F.col("value") / 100).alias("length"))
     return align.phrases(e, "user_id", "event_id", "at", "length", gap=6.0)
 
 
-@query()
+@query(f"""with recursive e as (select user_id, ts::date as day, list_sort(list_distinct(list(epoch_us(ts)::double / 1000000))) as ticks from events group by 1, 2),
+    wanted_passes as (select *, list_transform(list_filter(ticks, lambda x, i: i % 2 = 1), lambda x, i: x + ((i - 1) * 37) % 400) as wanted from e),
+    {follow_sql("user_id, day", 900)}
+    select user_id, day::varchar as day, len(wanted)::int as n, array_to_string(list_transform(got, lambda x: round(x * 1000000)::bigint), ',') as matched from wanted_passes join followed using (user_id, day)""")
 def onset_match(t: Tables) -> DataFrame:
     # one pass a user and day: every other event, moved, against all of the day's events
     e = t.events.select("user_id", F.to_date("ts").alias("day"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("double").alias("at"), F.col("event_id").alias("id"))
     grouped = e.groupBy("user_id", "day").agg(F.array_sort(F.collect_set("at")).alias("ticks"))
     moved = grouped.withColumn("wanted", F.transform(F.filter("ticks", lambda x, i: i % 2 == 0), lambda x, i: x + (i * 37) % 400))
-    return align.matched_onsets(moved, "wanted", "ticks", F.lit(900)).select("user_id", "day", F.size("wanted").alias("n"), "matched")
+    return align.matched_onsets(moved, "wanted", "ticks", F.lit(900)).select("user_id", F.col("day").cast("string").alias("day"), F.size("wanted").alias("n"), F.array_join(F.transform("matched", micros), ",").alias("matched"))
 
 
 @query("""with recursive o as (select doc_id, source || left(lower(split_part(text, ' ', 1)), 3) as a, 'l:' || left(lower(split_part(text, chr(10), 1)), 8) as b, row_number() over (order by doc_id) as i from documents),
