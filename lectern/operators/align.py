@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import pairwise
@@ -136,21 +135,15 @@ def aligned_documents(df: DataFrame, lines: str, stream: str) -> DataFrame:
     return df.withColumn("_v", verdict(F.col(lines), F.col(stream))).select(*df.columns, "_v.*")
 
 
-def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
-
-
 def texts_agree(df: DataFrame, a: str, b: str, least: float = 0.8) -> DataFrame:
     """df with agree: a occurs in b, or a's similarity with b's front of len(a) + 10 characters is above least.
 
-    Containment is settled without Python; an empty a agrees with nothing.
+    Similarity is one less the edits over the characters of both texts; no matching of blocks,
+    each counted on both sides, can be above it. An empty or null a, or a null b, agrees with nothing.
     """
-    ratio = F.pandas_udf(_ratios, "double")
-    settled = (F.col(a) == "") | F.col(b).contains(F.col(a)) | F.col(a).isNull() | F.col(b).isNull()
-    easy = df.where(settled).withColumn("agree", F.coalesce((F.col(a) != "") & F.col(b).contains(F.col(a)), F.lit(False)))
     front = F.substring(F.col(b), F.lit(1), F.char_length(a) + 10)
-    hard = df.where(~settled).withColumn("agree", ratio(F.col(a), front) > least)
-    return easy.unionByName(hard)
+    alike = 1 - F.levenshtein(F.col(a), front) / (F.char_length(a) + F.char_length(front)) > least
+    return df.withColumn("agree", F.coalesce((F.col(a) != "") & (F.col(b).contains(F.col(a)) | alike), F.lit(False)))
 
 
 class _Phrases:

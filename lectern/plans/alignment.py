@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as X
 from lectern.operators import align, dedupe, family, match, sequence
+from lectern.plans.catalogue import _KEY
 from lectern.plans.ordered import _ROOTS, _pointers
 from lectern.plans.registry import Tables, query
 from lectern.plans.timed import follow_sql, micros, phrase_sql
@@ -37,7 +38,11 @@ def document_alignment(t: Tables) -> DataFrame:
     return align.aligned_documents(d, "lines", "stream").select("doc_id", "accepted", "failed_line", "cost", "consumed")
 
 
-@query()
+@query(f"""with s as (select doc_id, p, unnest(range(0, len(p))) as n from (select doc_id, string_split_regex(text, '[.\\n]+') as p from documents)),
+    w as (select doc_id, n, list_filter(string_split({_KEY.format("strip_accents(p[n + 1])")}, ' '), lambda x: x <> '') as words from s),
+    h as (select *, case when n % 3 = 0 then words else list_filter(flatten(list_transform(words, lambda x, i: case (i - 1 + n) % 11 when 3 then [x, 'and'] when 6 then [x[1:2], x[3:]] when 9 then [x || 's'] else [x] end)), lambda x: x <> '') end as heard from w where len(words) > 0),
+    t as (select doc_id, n::int as n, array_to_string(words[1:10], '') as a, array_to_string(heard[1:14], '') as b from h), f as (select *, left(b, length(a) + 10) as front from t)
+    select doc_id, n, contains(b, a) or 1 - levenshtein(a, front)::double / (length(a) + length(front)) > 0.8 as agree from f""")
 def text_identity(t: Tables) -> DataFrame:
     s = _sentences(t).select("doc_id", "n", F.array_join(F.slice("words", 1, 10), "").alias("a"), F.array_join(F.slice("heard", 1, 14), "").alias("b"))
     return align.texts_agree(s, "a", "b").select("doc_id", "n", "agree")
