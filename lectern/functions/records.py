@@ -126,6 +126,13 @@ def stanza_text(verses: Column, chorus: Column) -> Column:
     return F.array_join(F.array_compact(parts), "\n\n")
 
 
+def stanzas(body: Column) -> Column:
+    """The stanzas of a body, as an array of (label, lines): blocks between empty lines, the first line of each is its label; blocks without a word are none."""
+    blocks = F.filter(F.split(body, r"\r?\n\s*\r?\n"), lambda b: F.trim(b) != "")
+    lines = lambda b: F.split(b, r"\r?\n")
+    return F.transform(blocks, lambda b: F.struct(F.trim(F.get(lines(b), F.lit(0))).alias("label"), F.filter(lines(b), lambda line, i: (i > 0) & (F.trim(line) != "")).alias("lines")))
+
+
 def chord_name(pitches: Column, bass: Column, flats: Column) -> Column:
     """Name of a set of pitch classes (0 to 11): the quality that holds them all, rather on the bass, rather with few notes; else null."""
 

@@ -93,6 +93,11 @@ def consuming_match(wanted: DataFrame, wanted_id: str, files: DataFrame, file_id
     return files.groupBy(key).agg(F.min(file_id).alias(file_id)).join(firsts, key)
 
 
+def leftovers(wanted: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Files whose key no wanted row has: what a consuming match leaves over."""
+    return files.join(wanted.select(key).distinct(), key, "left_anti")
+
+
 def conditional_best(df: DataFrame, group: str, first: Column, second: Column, metric: str) -> DataFrame:
     """Largest metric among rows of the first condition, or if that is 0 or missing, of the second alone."""
     a = F.max(F.when(first, F.col(metric)))
@@ -129,6 +134,30 @@ def registry_names(df: DataFrame, key: str, sources: str, registry: DataFrame, r
     return found.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["told"]), "; ").alias("sources"))
 
 
+def attributions(df: DataFrame, key: str, title: str, sources: str, public: str, registry: DataFrame, registry_key: str, name: str, url: str, required: str, labels: dict[str, str]) -> DataFrame:
+    """(key, rendered, error): the attribution text of each row; where a source is unknown there is no text but an error.
+
+    sources: map of assets to registry keys; labels: asset to label, in the order of the lines. A row without sources
+    has the title, an empty line and the licence (public: whether it is in the public domain).
+    """
+    order = F.array(*map(F.lit, labels))
+    names = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
+    held = df.select(key, F.explode(sources).alias("_asset", "_source")).where(F.array_contains(order, F.col("_asset")))
+    known = registry.select(F.col(registry_key).alias("_source"), F.col(name).alias("_name"), F.col(url).alias("_url"), F.col(required).alias("_required"))
+    found = held.join(known, "_source", "left")
+    told = F.concat(names[F.col("_asset")], F.lit(": "), "_name", F.coalesce(F.concat(F.lit(" — "), F.nullif("_url", F.lit(""))), F.lit("")), F.when(F.col("_required"), " (attribution required)").otherwise(""))
+    missing = F.when(F.col("_name").isNull(), F.concat(F.lit("unknown source "), F.col("_source").cast("string"), F.lit(" for "), "_asset"))
+    # A row has at most one entry a label.
+    parts = F.sort_array(F.collect_list(F.struct(F.array_position(order, F.col("_asset")).alias("at"), told.alias("told"), missing.alias("missing"))))
+    lines = found.groupBy(key).agg(parts.alias("_parts"))
+    licence = F.when(F.col(public), "License: Public domain.").otherwise("License: own terms.")
+    out = df.join(lines, key, "left").withColumn("_errors", F.filter(F.transform("_parts", lambda x: x["missing"]), lambda m: m.isNotNull()))
+    body = F.coalesce(F.array_join(F.transform("_parts", lambda x: F.concat(x["told"], F.lit("\n"))), ""), F.lit(""))
+    text = F.concat(F.col(title), F.lit(" — sources & attribution\n\n"), body, F.lit("\n"), licence, F.lit("\n"))
+    error = F.try_element_at("_errors", F.lit(1))
+    return out.select(key, F.when(error.isNull(), text).alias("rendered"), error.alias("error"))
+
+
 def by_alias(left: DataFrame, key: str, aliases: DataFrame, target: DataFrame, target_key: str) -> DataFrame:
     """left with the columns of the target that its key finds, itself or through its alias (aliases: alias, name; one row an alias)."""
     named = left.join(aliases.select(F.col("alias").alias(key), F.col("name").alias("_name")), key, "left")

@@ -25,6 +25,33 @@ def top_per_key(df: DataFrame, keys: Sequence[str], n: int, *order: Column) -> D
     return _rank(df, keys, order, n)
 
 
+def numbered(df: DataFrame, keys: Sequence[str], *order: Column, name: str = "n") -> DataFrame:
+    """df with the place of a row among those of its keys, from 1; null keys are keys too.
+
+    Rows are dealt by ranges of key and order, so a hot key is spread over many tasks: each numbers its
+    own stretch, and the sizes of the stretches before it are added. Rows alike in order are numbered in any order.
+    """
+    from lectern.operators.family import cut
+
+    sorted_by = [F.asc_nulls_first(F.col(k)) for k in keys]
+    # Written once, as both the sizes and the rows must see the same stretches.
+    dealt = cut(df.repartitionByRange(*sorted_by, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy(*keys, "_part").agg(F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_size")
+    offsets = sizes.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), before.alias("_before"))
+    at = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return dealt.withColumn("_at", at).join(offsets, same).select(*df.columns, (F.col("_at") + F.col("_before")).alias(name))
+
+
+def first_and_rest(df: DataFrame, keys: Sequence[str], most: int, *order: Column) -> DataFrame:
+    """The first rows of each key with more: how many rows of the key are not shown."""
+    counts = df.groupBy(*keys).agg(F.greatest(F.count("*") - most, F.lit(0)).alias("more"))
+    return top_per_key(df, keys, most, *order).join(counts, list(keys))
+
+
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, each once, with their number."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
@@ -46,14 +73,15 @@ def inherit(df: DataFrame, own: DataFrame, family: DataFrame, key: str, group: s
 
 def suffixed(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """unique_name: the name, then name-2, name-3, ... in order."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    return df.withColumn("unique_name", F.when(n == 1, F.col(name)).otherwise(F.concat_ws("-", name, n.cast("string"))))
+    n = F.col("_n")
+    out = numbered(df, [name], *order, name="_n")
+    return out.withColumn("unique_name", F.when(n == 1, F.col(name)).otherwise(F.concat_ws("-", name, n.cast("string")))).drop("_n")
 
 
 def case_collisions(df: DataFrame, bucket: Sequence[str], name: str, *order: Column) -> DataFrame:
     """Rows whose name equals an earlier sibling's but for case."""
-    n = F.row_number().over(Window.partitionBy(*bucket, F.lower(name)).orderBy(*order))
-    return df.withColumn("_n", n).where("_n > 1").drop("_n")
+    folded = df.withColumn("_folded", F.lower(name))
+    return numbered(folded, [*bucket, "_folded"], *order, name="_n").where("_n > 1").drop("_n", "_folded")
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: str, value: str, deletes: bool = True) -> DataFrame:
@@ -111,14 +139,14 @@ def free_names(df: DataFrame, name: str, taken: DataFrame, *order: Column) -> Da
 
     shape = r"(?s)^(.*)-([1-9][0-9]*)$"
 
-    def numbered(names: DataFrame) -> DataFrame:
+    def suffixes(names: DataFrame) -> DataFrame:
         return names.where(F.col(name).rlike(shape)).select(F.regexp_extract(name, shape, 1).alias(name), F.regexp_extract(name, shape, 2).cast("long").alias("_t")).where("_t > 1")
 
     used = taken.select(name).where(F.col(name).isNotNull())
-    numbers = numbered(used.unionByName(df.select(name))).unionByName(used.withColumn("_t", F.lit(1).cast("long"))).distinct()
+    numbers = suffixes(used.unionByName(df.select(name))).unionByName(used.withColumn("_t", F.lit(1).cast("long"))).distinct()
     numbers = numbers.withColumn("_j", F.row_number().over(Window.partitionBy(name).orderBy("_t")).cast("long"))
     steps = numbers.groupBy(name, (F.col("_t") - F.col("_j") + 1).alias("_at")).agg(F.max("_j").alias("_j"))
-    ranked = df.withColumn("_at", F.row_number().over(Window.partitionBy(name).orderBy(*order)).cast("long"))
+    ranked = numbered(df, [name], *order, name="_at")
     found = as_of(ranked, steps, [name], "_at", "_j", "_moved").withColumn("_n", F.col("_at") + F.coalesce("_moved", F.lit(0)))
     out = F.when(F.col("_n") == 1, F.col(name)).otherwise(F.concat_ws("-", name, F.col("_n").cast("string")))
     return found.withColumn("unique_name", out).drop("_at", "_moved", "_n", "_j")
@@ -146,7 +174,7 @@ def sorted_sets(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def ordered_export(df: DataFrame, group: Sequence[str], *order: Column) -> DataFrame:
     """position: place of a row in its group's export, from 1."""
-    return df.withColumn("position", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return numbered(df, group, *order, name="position")
 
 
 def without_values(df: DataFrame, value: str, *unwanted: str) -> DataFrame:

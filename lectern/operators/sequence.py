@@ -11,6 +11,20 @@ def marker_groups(df: DataFrame, key: str, order: str, is_marker: Column) -> Dat
     return df.withColumn("group", F.sum(is_marker.cast("int")).over(Window.partitionBy(key).orderBy(order)))
 
 
+def voice_groups(df: DataFrame, key: str, order: list[str], marker: Column, declared: Column | None = None) -> DataFrame:
+    """The rows under markers of the key's selected voice, with group: number of such markers so far, from 1.
+
+    marker: the voice that a row switches to, null for a row that is no marker. The selected voice is the declared
+    one (alike in all rows of a key), else that of the key's first marker. Rows under other voices are left out.
+    """
+    w = Window.partitionBy(key).orderBy(*order)
+    held = df.withColumn("_marker", marker).withColumn("_voice", F.last("_marker", ignorenulls=True).over(w))
+    first = F.first("_marker", ignorenulls=True).over(w)
+    held = held.withColumn("_selected", first if declared is None else F.coalesce(declared, first))
+    held = held.withColumn("group", F.count(F.when(F.col("_marker") == F.col("_selected"), 1)).over(w))
+    return held.where((F.col("_voice") == F.col("_selected")) & F.col("_marker").isNull()).drop("_marker", "_voice", "_selected")
+
+
 def changes(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
     """Rows whose non-null value differs from the last non-null one."""
     held = df.where(F.col(value).isNotNull())

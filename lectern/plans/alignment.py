@@ -70,13 +70,14 @@ def onset_match(t: Tables) -> DataFrame:
     return align.matched_onsets(moved, "wanted", "ticks", F.lit(900)).select("user_id", F.col("day").cast("string").alias("day"), F.size("wanted").alias("n"), F.array_join(F.transform("matched", micros), ",").alias("matched"))
 
 
-@query("""with recursive o as (select doc_id, source || left(lower(split_part(text, ' ', 1)), 3) as a, 'l:' || left(lower(split_part(text, chr(10), 1)), 8) as b, row_number() over (order by doc_id) as i from documents),
+@query("""with recursive o as (select doc_id, 's:' || source || ' ' || lower(split_part(text, ' ', 1)) as a, 'l:' || lower(split_part(text, chr(10), 1)) as b, row_number() over (order by doc_id) as i from documents),
     s as (select 0::bigint as i, []::varchar[] as seen, null::bigint as doc_id, null::boolean as accepted union all
         select o.i, case when coalesce(list_contains(s.seen, o.a), false) or coalesce(list_contains(s.seen, o.b), false) then s.seen else list_concat(s.seen, [o.a, o.b]) end, o.doc_id, not (coalesce(list_contains(s.seen, o.a), false) or coalesce(list_contains(s.seen, o.b), false)) from s join o on o.i = s.i + 1)
     select doc_id, accepted from s where i > 0""")
 def dedupe_two_keys(t: Tables) -> DataFrame:
-    a = F.concat("source", F.left(F.lower(F.split_part("text", F.lit(" "), F.lit(1))), F.lit(3)))
-    b = F.concat(F.lit("l:"), F.left(F.lower(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit(8)))
+    """A document goes if its source has its first word, or any document its first line, in one that stayed before it."""
+    a = F.concat(F.lit("s:"), "source", F.lit(" "), F.lower(F.split_part("text", F.lit(" "), F.lit(1))))
+    b = F.concat(F.lit("l:"), F.lower(F.split_part("text", F.lit("\n"), F.lit(1))))
     return dedupe.greedy_two_keys(t.documents.select("doc_id", a.alias("a"), b.alias("b")), "doc_id", "a", "b").select("doc_id", "accepted")
 
 

@@ -254,6 +254,34 @@ def consume_match(t: Tables) -> DataFrame:
     return match.consuming_match(wanted, "wanted", files, "file", "p_name")
 
 
+@query("select p_partkey, p_brand || ' ' || p_name as title from part where p_size > 25 and p_brand || ' ' || p_name not in (select p_brand || ' ' || p_name from part where p_size <= 25)")
+def consume_leftovers(t: Tables) -> DataFrame:
+    """Parts over 25 in size are files, the others are wanted; both go by brand and name."""
+    titled = t.part.select("p_partkey", "p_size", F.concat_ws(" ", "p_brand", "p_name").alias("title"))
+    return match.leftovers(titled.where("p_size <= 25"), titled.where("p_size > 25"), "title").select("p_partkey", "title")
+
+
+# What the lines of an attribution text are called, in their order.
+ASSETS = {"R": "Text", "A": "Tune", "N": "Engraving source"}
+_LABELLED = "case asset when 'R' then 'Text' when 'A' then 'Tune' else 'Engraving source' end"
+
+
+@query(f"""with m as (select l_orderkey, l_returnflag as asset, min(l_suppkey) as source from lineitem group by 1, 2), s as (select * from supplier where s_suppkey % 9 <> 0),
+    x as (select *, list_position(['R', 'A', 'N'], asset) as pos, {_LABELLED} || ': ' || s_name || case when s_nationkey % 2 = 0 then ' — http://n' || s_nationkey else '' end || case when s_acctbal < 0 then ' (attribution required)' else '' end || chr(10) as line,
+        case when s_suppkey is null then 'unknown source ' || source || ' for ' || asset end as missing from m left join s on s_suppkey = source),
+    g as (select l_orderkey, string_agg(line, '' order by pos) as body, arg_min(missing, pos) filter (missing is not null) as error from x group by 1)
+    select o_orderkey, error, case when error is null then 'Order ' || o_orderkey || ' — sources & attribution' || chr(10) || chr(10) || coalesce(body, '') || chr(10) || case when o_orderstatus = 'F' then 'License: Public domain.' else 'License: own terms.' end || chr(10) end as rendered
+    from orders left join g on l_orderkey = o_orderkey""")
+def attribution_text(t: Tables) -> DataFrame:
+    """The text of each order's sources (its line items' suppliers by flag), or the first source that the registry lacks."""
+    of = t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(F.min("l_suppkey").alias("source"))
+    held = of.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", "source"))).alias("sources"))
+    orders = t.orders.select("o_orderkey", F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"), (F.col("o_orderstatus") == "F").alias("public")).join(held, "o_orderkey", "left")
+    url = F.when(F.col("s_nationkey") % 2 == 0, F.concat(F.lit("http://n"), F.col("s_nationkey").cast("string")))
+    registry = t.supplier.where("s_suppkey % 9 <> 0").select("s_suppkey", "s_name", url.alias("url"), (F.col("s_acctbal") < 0).alias("required"))
+    return match.attributions(orders, "o_orderkey", "title", "sources", "public", registry, "s_suppkey", "s_name", "url", "required", ASSETS)
+
+
 @query("select min(doc_id) as first_id, count(*) as n, sha256(text) as digest from documents group by sha256(text) having count(*) > 1")
 def content_duplicates(t: Tables) -> DataFrame:
     return t.documents.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("first_id", "n", "digest")
@@ -385,6 +413,12 @@ def severity_totals(t: Tables) -> DataFrame:
     return _violations(t).groupBy("severity").agg(F.count("*").alias("n"))
 
 
+@query(f"""select rule_id, key, greatest(n - 15, 0) as more from (select *, row_number() over (partition by rule_id order by key) as r, count(*) over (partition by rule_id) as n from ({_RULES})) where r <= 15""")
+def first_failures(t: Tables) -> DataFrame:
+    """The first 15 findings of each rule, and how many more there are."""
+    return rows.first_and_rest(_violations(t), ["rule_id"], 15, F.col("key")).select("rule_id", "key", "more")
+
+
 @query("select count(*) as n, count(distinct c_nationkey) as nations from customer")
 def run_summary(t: Tables) -> DataFrame:
     return t.customer.agg(F.count("*").alias("n"), F.count_distinct("c_nationkey").alias("nations"))

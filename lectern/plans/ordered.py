@@ -51,6 +51,18 @@ def marker_groups(t: Tables) -> DataFrame:
     return sequence.marker_groups(t.conversations, "conv_id", "turn", F.col("role") == "user").select("conv_id", "turn", "group")
 
 
+@query("""with m as (select *, case when event_type in ('view', 'click') then event_type end as v from events),
+    h as (select *, last_value(v ignore nulls) over w as voice, first_value(v ignore nulls) over w as first from m window w as (partition by user_id order by ts, event_id rows between unbounded preceding and current row)),
+    s as (select *, case when user_id % 3 = 0 then 'click' else first end as selected from h),
+    g as (select *, count(case when v = selected then 1 end) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as n from s)
+    select user_id, event_id, n as "group" from g where v is null and voice = selected""")
+def voice_lines(t: Tables) -> DataFrame:
+    """Views and clicks switch the voice; each user's other events that fall to the selected one: the declared, else the first."""
+    marker = F.when(F.col("event_type").isin("view", "click"), F.col("event_type"))
+    declared = F.when(F.col("user_id") % 3 == 0, F.lit("click"))
+    return sequence.voice_groups(t.events, "user_id", ["ts", "event_id"], marker, declared).select("user_id", "event_id", "group")
+
+
 @query("""select conv_id, role, n, n = max(n) over (partition by conv_id) as is_verse from (select conv_id, role, count(*) as n from conversations group by 1, 2)""")
 def verse_route(t: Tables) -> DataFrame:
     from pyspark.sql import Window

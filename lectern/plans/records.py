@@ -158,6 +158,21 @@ def relation_labels(t: Tables) -> DataFrame:
     p as (select conv_id, case when role = 'user' then 'Verse ' || n || chr(10) || text else 'Chorus' || chr(10) || text end as part, case when role = 'user' then (case when n = 1 then 1 else n + 1 end) else 2 end as pos from l where role = 'user' or n = 1)
     select conv_id, string_agg(part, chr(10) || chr(10) order by pos) as body from p group by conv_id""")
 def stanza_compose(t: Tables) -> DataFrame:
+    return _composed(t)
+
+
+@query("""with l as (select conv_id, role, replace(text, '. ', '.' || chr(10)) as text, row_number() over (partition by conv_id, role order by turn) as n from conversations where role in ('user', 'assistant')),
+    p as (select conv_id, case when role = 'user' then 'Verse ' || n else 'Chorus' end as label, string_split(text, chr(10)) as a, case when role = 'user' then (case when n = 1 then 1 else n + 1 end) else 2 end as pos from l where role = 'user' or n = 1),
+    q as (select conv_id, label, a, row_number() over (partition by conv_id order by pos) - 1 as stanza from p)
+    select conv_id, stanza, label, u.i::int as line, u.s as line_text from q, lateral (select unnest(a) as s, generate_subscripts(a, 1) - 1 as i) u""")
+def stanza_lines(t: Tables) -> DataFrame:
+    """Every line of a composed body with its stanza's number and label: a sentence is a line."""
+    body = F.replace("body", F.lit(". "), F.lit(".\n"))
+    found = _composed(t).select("conv_id", F.posexplode(R.stanzas(body)).alias("stanza", "s"))
+    return found.select("conv_id", "stanza", F.col("s.label").alias("label"), F.posexplode("s.lines").alias("line", "line_text"))
+
+
+def _composed(t: Tables) -> DataFrame:
     said = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     c = t.conversations.where("role in ('user', 'assistant')").groupBy("conv_id").agg(said.alias("said"))
     of = lambda role: F.transform(F.filter("said", lambda s: s["role"] == role), lambda s: s["text"])

@@ -14,10 +14,15 @@ class Tables:
     """The tables of one folder, read as they are asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+        self.spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+
+
+    def stream(self, name: str) -> DataFrame:
+        """A table as a stream of its files. The path is a pattern, so that it may be one file or a folder."""
+        return self.spark.readStream.schema(getattr(self, name).schema).parquet(f"{self._folder}/{name}.parque[t]")
 
 
 def query(sql: str | None = None):
