@@ -135,6 +135,60 @@ def aligned_documents(df: DataFrame, lines: str, stream: str) -> DataFrame:
     return df.withColumn("_v", verdict(F.col(lines), F.col(stream))).select(*df.columns, "_v.*")
 
 
+def _fits(cost: int, words: list[str]) -> bool:
+    return cost <= max(1, len(words) // 5)
+
+
+def _exact_place(words: list[str], stream: list[str]) -> tuple[int, int] | None:
+    """(start, consumed) of the first place of a stream where a line stands without any edit."""
+    starts = [i for i, w in enumerate(stream) if not words or w == words[0] or w + "".join(stream[i + 1 : i + 2]) == words[0]]
+    found = align_many([(words, stream[i : i + len(words) + SLACK]) for i in starts])
+    return next(((i, used) for i, (cost, used, _) in zip(starts, found, strict=True) if cost == 0), None)
+
+
+def _streamed(lines: pd.Series, streams: pd.Series) -> pd.DataFrame:
+    ours = [[] if x is None else [(line["stream"], list(line["words"])) for line in x] for x in lines]
+    theirs = [{} if x is None else {k: list(v) for k, v in sorted(dict(x).items()) if v is not None} for x in streams]
+    cursor, total, failed, placed = [dict.fromkeys(t, 0) for t in theirs], [0] * len(ours), [None] * len(ours), [[] for _ in ours]
+    number, active = 0, [d for d, x in enumerate(ours) if x]
+    while active:
+        # Every stream that a line may be in is tried from its cursor; the lines of all documents together.
+        tried = [(d, k) for d in active for k in theirs[d] if ours[d][number][0] is None or ours[d][number][0] == k]
+        pairs = [(ours[d][number][1], theirs[d][k][cursor[d][k] : cursor[d][k] + len(ours[d][number][1]) + SLACK]) for d, k in tried]
+        best: dict[int, tuple[int, int, int, int]] = {}
+        for (d, k), (words, _), (cost, used, _) in zip(tried, pairs, align_many(pairs), strict=True):
+            if _fits(cost, words) and (d not in best or cost < best[d][0]):
+                best[d] = (cost, k, cursor[d][k], used)
+        for d, k in tried:
+            if d not in best and (place := _exact_place(ours[d][number][1], theirs[d][k])):
+                best[d] = (0, k, *place)
+        for d in active:
+            if d in best:
+                cost, k, start, used = best[d]
+                total[d] += cost
+                cursor[d][k] = start + used
+                placed[d].append({"stream": k, "start": start, "end": start + used})
+            else:
+                failed[d] = number
+        number += 1
+        active = [d for d in active if failed[d] is None and len(ours[d]) > number]
+    rows = [(f is None, f, t, at) for f, t, at in zip(failed, total, placed, strict=True)]
+    return pd.DataFrame(rows, columns=["accepted", "failed_line", "cost", "placed"])
+
+
+def aligned_streams(df: DataFrame, lines: str, streams: str) -> DataFrame:
+    """df with accepted, failed_line (from 0), cost and placed, the stretch of words that each line takes.
+
+    lines: array of (stream, words); streams: map of number to words. A line goes to its own stream, or without
+    one to the stream where it costs least (the smallest number of those alike), from where that stream's
+    last line ended. A line that fits nowhere is looked for from the start of its streams, where it must
+    stand exactly; the first line that isn't found rejects its document.
+    """
+    verdict = F.pandas_udf(_streamed, "accepted boolean, failed_line int, cost int, placed array<struct<stream:int,start:int,end:int>>")
+    typed = F.transform(F.col(lines), lambda x: F.struct(x["stream"].cast("int").alias("stream"), x["words"].alias("words")))
+    return df.withColumn("_v", verdict(typed, F.col(streams).cast("map<int,array<string>>"))).select(*df.columns, "_v.*")
+
+
 def texts_agree(df: DataFrame, a: str, b: str, least: float = 0.8) -> DataFrame:
     """df with agree: a occurs in b, or a's similarity with b's front of len(a) + 10 characters is above least.
 

@@ -38,6 +38,23 @@ def document_alignment(t: Tables) -> DataFrame:
     return align.aligned_documents(d, "lines", "stream").select("doc_id", "accepted", "failed_line", "cost", "consumed")
 
 
+@query()
+def stream_alignment(t: Tables) -> DataFrame:
+    """Even and odd sentences of a document against a stream each, every fifth against both; the first sentence is heard last in odd documents."""
+    return align.aligned_streams(_streams(t), "lines", "streams").select("doc_id", "accepted", "failed_line", "cost", F.to_json("placed").alias("placed"))
+
+
+def _streams(t: Tables) -> DataFrame:
+    said = F.sort_array(F.collect_list(F.struct("n", "words", "heard")))
+    d = _sentences(t).groupBy("doc_id").agg(said.alias("s"))
+    late = (F.col("doc_id") % 2 == 1) & (F.size("s") > 1)
+    heard = F.when(late, F.concat(F.slice("s", F.lit(2), F.size("s") - 1), F.slice("s", 1, 1))).otherwise(F.col("s"))
+    own = lambda s: s["n"] % 2 + 1
+    of = lambda k: F.flatten(F.transform(F.filter(heard, lambda s: own(s) == k), lambda s: s["heard"]))
+    lines = F.transform("s", lambda s: F.struct(F.when(s["n"] % 5 != 4, own(s)).alias("stream"), s["words"].alias("words")))
+    return d.select("doc_id", lines.alias("lines"), F.create_map(F.lit(1), of(1), F.lit(2), of(2)).alias("streams"))
+
+
 @query(f"""with s as (select doc_id, p, unnest(range(0, len(p))) as n from (select doc_id, string_split_regex(text, '[.\\n]+') as p from documents)),
     w as (select doc_id, n, list_filter(string_split({_KEY.format("strip_accents(p[n + 1])")}, ' '), lambda x: x <> '') as words from s),
     h as (select *, case when n % 3 = 0 then words else list_filter(flatten(list_transform(words, lambda x, i: case (i - 1 + n) % 11 when 3 then [x, 'and'] when 6 then [x[1:2], x[3:]] when 9 then [x || 's'] else [x] end)), lambda x: x <> '') end as heard from w where len(words) > 0),

@@ -1,6 +1,7 @@
 """Operators that SQL can't express, against brute force."""
 
 import difflib
+import json
 import random
 from functools import cache
 
@@ -72,6 +73,54 @@ def test_document_alignment(spark):
         assert (got[doc]["accepted"], got[doc]["failed_line"], got[doc]["cost"], got[doc]["consumed"]) == (failed is None, failed, cost, at)
 
 
+def placed_by_hand(lines, streams):
+    """The whole rule for one document, each line tried by plain recursion."""
+    cursor, cost, placed = dict.fromkeys(streams, 0), 0, []
+    for number, (own, words) in enumerate(lines):
+        def at(k, start, words=words):
+            return cheapest(tuple(words), tuple(streams[k][start : start + len(words) + align.SLACK]))
+
+        may = [k for k in sorted(streams) if own in (None, k)]
+        choices = [(c, k, cursor[k], cursor[k] + used) for k in may for c, used, _ in [at(k, cursor[k])] if c <= max(1, len(words) // 5)]
+        choices = choices or [(0, k, i, i + used) for k in may for i in range(len(streams[k])) for c, used, _ in [at(k, i)] if c == 0][:1]
+        if not choices:
+            return False, number, cost, placed
+        c, k, start, end = min(choices, key=lambda x: x[:2])
+        cost, cursor[k] = cost + c, end
+        placed.append((k, start, end))
+    return True, None, cost, placed
+
+
+def test_aligned_streams(spark):
+    rng = random.Random(8)
+    given = []
+    for doc in range(300):
+        lines = [(rng.choice([1, 2, None]), [rng.choice(["a", "b", "ab", "c", "d"]) for _ in range(rng.randrange(5))]) for _ in range(rng.randrange(5))]
+        streams = {k: [w for own, words in lines if own in (None, k) for w in words if rng.random() < 0.85] for k in (1, 2) if rng.random() < 0.9}
+        if rng.random() < 0.3:
+            streams = {k: v[len(v) // 2 :] + v[: len(v) // 2] for k, v in streams.items()}
+        given.append((doc, lines, streams))
+    given.append((300, None, None))
+    df = spark.createDataFrame(given, "doc int, lines array<struct<stream:int,words:array<string>>>, streams map<int,array<string>>")
+    got = {r["doc"]: r for r in align.aligned_streams(df, "lines", "streams").collect()}
+    assert len({got[d]["accepted"] for d in got}) == 2
+    for doc, lines, streams in given:
+        r = got[doc]
+        assert (r["accepted"], r["failed_line"], r["cost"], [tuple(p) for p in r["placed"]]) == placed_by_hand(lines or [], streams or {})
+
+
+def test_stream_alignment(spark):
+    given = alignment._streams(Tables(spark, SF)).collect()
+    got = {r["doc_id"]: r for r in QUERIES["stream_alignment"](spark, SF).collect()}
+    assert len(got) == len(given) and len({r["accepted"] for r in got.values()}) == 2
+    short = [g for g in given if sum(len(x["words"]) for x in g["lines"]) < 400 and max(len(x["words"]) for x in g["lines"]) < 80]
+    for g in short[:25]:
+        r = got[g["doc_id"]]
+        want = placed_by_hand([(x["stream"], x["words"]) for x in g["lines"]], g["streams"])
+        assert (r["accepted"], r["failed_line"], r["cost"]) == want[:3] and [tuple(p.values()) for p in json.loads(r["placed"])] == want[3]
+    assert len(short) > 20
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
