@@ -54,17 +54,17 @@ def token_overlap(left: DataFrame, left_id: str, left_text: str, right: DataFram
     return best.select(F.col("_l").alias(left_id), F.col("_x._r").alias(right_id), F.col("_x.score").alias("score"))
 
 
-def contained_words(left: DataFrame, left_id: str, words: str, right: DataFrame, right_id: str, text: str, percent: int = 80) -> DataFrame:
+def contained_words(left: DataFrame, left_id: str, words: str, right: DataFrame, right_id: str, text: str, percent: int = 80, need: Column | None = None) -> DataFrame:
     """(left_id, right_id): the smallest right id whose text contains at least percent of a left row's words (an array; parts of text words count).
 
-    A left row without words takes the first of all. Words and texts are keys with
+    need: the number of words in place of percent. A left row that needs none takes the first of all. Words and texts are keys with
     single spaces, so a word lies within one text word: those that hold it are
     found by its first three letters. Of a row's words only the rarest few are
     followed to texts, as many as a hit can't do without; the others are looked
     up in the pairs found.
     """
-    rows = left.where(F.col(words).isNotNull()).select(F.col(left_id).alias("_l"), F.col(words).alias("_w"))
-    need = F.ceil(F.size("_w") * percent / 100)
+    least = F.ceil(F.size(words) * percent / 100) if need is None else need
+    rows = left.where(F.col(words).isNotNull()).select(F.col(left_id).alias("_l"), F.col(words).alias("_w"), least.cast("int").alias("_need"))
     texts = right.where(F.col(text).isNotNull()).select(F.col(right_id).alias("_r"), F.col(text).alias("_t"))
     held = texts.select("_r", F.explode(F.array_distinct(F.split("_t", " "))).alias("_v")).where("_v <> ''")
     starts = lambda n: F.transform(F.sequence(F.lit(1), F.length("_v")), lambda i: F.substring(F.col("_v"), i, F.lit(n)))
@@ -72,12 +72,12 @@ def contained_words(left: DataFrame, left_id: str, words: str, right: DataFrame,
     asked = rows.select(F.explode("_w").alias("_x")).distinct().withColumn("_g", F.substring("_x", 1, 3))
     within = asked.join(grams, "_g").where(F.contains("_v", F.col("_x"))).select("_x", "_v")
     spread = within.join(held.groupBy("_v").agg(F.count("*").alias("_n")), "_v").groupBy("_x").agg(F.sum("_n").alias("_n"))
-    ranked = rows.select("_l", "_w", F.posexplode("_w").alias("_i", "_x")).join(spread, "_x", "left")
+    ranked = rows.where("_need > 0").select("_l", "_w", "_need", F.posexplode("_w").alias("_i", "_x")).join(spread, "_x", "left")
     ranked = ranked.withColumn("_k", F.row_number().over(Window.partitionBy("_l").orderBy(F.coalesce("_n", F.lit(0)), "_i")))
-    seeds = ranked.where(F.col("_k") <= F.size("_w") - need + 1).select("_l", "_x").distinct()
+    seeds = ranked.where(F.col("_k") <= F.size("_w") - F.col("_need") + 1).select("_l", "_x").distinct()
     pairs = seeds.join(within, "_x").join(held, "_v").select("_l", "_r").distinct()
-    full = pairs.join(rows, "_l").join(texts, "_r").where(F.size(F.filter("_w", lambda w: F.contains("_t", w))) >= need)
-    first = rows.where(F.size("_w") == 0).crossJoin(texts.agg(F.min("_r").alias("_r"))).where("_r is not null")
+    full = pairs.join(rows, "_l").join(texts, "_r").where(F.size(F.filter("_w", lambda w: F.contains("_t", w))) >= F.col("_need"))
+    first = rows.where("_need <= 0").crossJoin(texts.agg(F.min("_r").alias("_r"))).where("_r is not null")
     out = full.groupBy("_l").agg(F.min("_r").alias("_r")).unionByName(first.select("_l", "_r"))
     return out.select(F.col("_l").alias(left_id), F.col("_r").alias(right_id))
 

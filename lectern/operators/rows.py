@@ -125,7 +125,7 @@ def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def by_frequency(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values of each key with count n and rank: most frequent first, then ascending."""
     n = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return n.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("n").desc(), value)))
+    return numbered(n, keys, F.col("n").desc(), F.col(value), name="rank")
 
 
 def free_names(df: DataFrame, name: str, taken: DataFrame, *order: Column) -> DataFrame:
@@ -144,7 +144,7 @@ def free_names(df: DataFrame, name: str, taken: DataFrame, *order: Column) -> Da
 
     used = taken.select(name).where(F.col(name).isNotNull())
     numbers = suffixes(used.unionByName(df.select(name))).unionByName(used.withColumn("_t", F.lit(1).cast("long"))).distinct()
-    numbers = numbers.withColumn("_j", F.row_number().over(Window.partitionBy(name).orderBy("_t")).cast("long"))
+    numbers = numbered(numbers, [name], F.col("_t"), name="_j")
     steps = numbers.groupBy(name, (F.col("_t") - F.col("_j") + 1).alias("_at")).agg(F.max("_j").alias("_j"))
     ranked = numbered(df, [name], *order, name="_at")
     found = as_of(ranked, steps, [name], "_at", "_j", "_moved").withColumn("_n", F.col("_at") + F.coalesce("_moved", F.lit(0)))
