@@ -139,17 +139,37 @@ def _fits(cost: int, words: list[str]) -> bool:
     return cost <= max(1, len(words) // 5)
 
 
-def _exact_place(words: list[str], stream: list[str]) -> tuple[int, int] | None:
-    """(start, consumed) of the first place of a stream where a line stands without any edit."""
-    starts = [i for i, w in enumerate(stream) if not words or w == words[0] or w + "".join(stream[i + 1 : i + 2]) == words[0]]
-    found = align_many([(words, stream[i : i + len(words) + SLACK]) for i in starts])
-    return next(((i, used) for i, (cost, used, _) in zip(starts, found, strict=True) if cost == 0), None)
+def _starts(stream: list[str]) -> dict[str, list[int]]:
+    """Where each word of a stream begins, be it one word or two glued together."""
+    out: dict[str, list[int]] = {}
+    for i, (word, after) in enumerate(zip(stream, [*stream[1:], ""], strict=False)):
+        out.setdefault(word, []).append(i)
+        if after:
+            out.setdefault(word + after, []).append(i)
+    return out
+
+
+def _exact_place(words: list[str], stream: list[str], starts: dict[str, list[int]]) -> tuple[int, int] | None:
+    """(start, consumed) of the first place of a stream where a line stands without any edit but glue; words aren't empty."""
+    for start in starts.get(words[0], ()):
+        at, end = start, min(len(stream), start + len(words) + SLACK)
+        for word in words:
+            if at < end and stream[at] == word:
+                at += 1
+            elif at + 1 < end and stream[at] + stream[at + 1] == word:
+                at += 2
+            else:
+                break
+        else:
+            return start, at - start
+    return None
 
 
 def _streamed(lines: pd.Series, streams: pd.Series) -> pd.DataFrame:
     ours = [[] if x is None else [(line["stream"], list(line["words"])) for line in x] for x in lines]
     theirs = [{} if x is None else {k: list(v) for k, v in sorted(dict(x).items()) if v is not None} for x in streams]
     cursor, total, failed, placed = [dict.fromkeys(t, 0) for t in theirs], [0] * len(ours), [None] * len(ours), [[] for _ in ours]
+    begun: dict[tuple[int, int], dict[str, list[int]]] = {}
     number, active = 0, [d for d, x in enumerate(ours) if x]
     while active:
         # Every stream that a line may be in is tried from its cursor; the lines of all documents together.
@@ -160,8 +180,11 @@ def _streamed(lines: pd.Series, streams: pd.Series) -> pd.DataFrame:
             if _fits(cost, words) and (d not in best or cost < best[d][0]):
                 best[d] = (cost, k, cursor[d][k], used)
         for d, k in tried:
-            if d not in best and (place := _exact_place(ours[d][number][1], theirs[d][k])):
-                best[d] = (0, k, *place)
+            if d not in best:  # then the line has words, as one without any fits at its cursor
+                if (d, k) not in begun:
+                    begun[d, k] = _starts(theirs[d][k])
+                if place := _exact_place(ours[d][number][1], theirs[d][k], begun[d, k]):
+                    best[d] = (0, k, *place)
         for d in active:
             if d in best:
                 cost, k, start, used = best[d]
