@@ -134,6 +134,12 @@ def registry_names(df: DataFrame, key: str, sources: str, registry: DataFrame, r
     return found.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["told"]), "; ").alias("sources"))
 
 
+# Phrases of attribution texts.
+HEADING = " — sources & attribution"
+REQUIRED = " (attribution required)"
+PUBLIC_DOMAIN, OWN_TERMS = "License: Public domain.", "License: own terms."
+
+
 def attributions(df: DataFrame, key: str, title: str, sources: str, public: str, registry: DataFrame, registry_key: str, name: str, url: str, required: str, labels: dict[str, str]) -> DataFrame:
     """(key, rendered, error): the attribution text of each row; where a source is unknown there is no text but an error.
 
@@ -145,15 +151,15 @@ def attributions(df: DataFrame, key: str, title: str, sources: str, public: str,
     held = df.select(key, F.explode(sources).alias("_asset", "_source")).where(F.array_contains(order, F.col("_asset")))
     known = registry.select(F.col(registry_key).alias("_source"), F.col(name).alias("_name"), F.col(url).alias("_url"), F.col(required).alias("_required"))
     found = held.join(known, "_source", "left")
-    told = F.concat(names[F.col("_asset")], F.lit(": "), "_name", F.coalesce(F.concat(F.lit(" — "), F.nullif("_url", F.lit(""))), F.lit("")), F.when(F.col("_required"), " (attribution required)").otherwise(""))
+    told = F.concat(names[F.col("_asset")], F.lit(": "), "_name", F.coalesce(F.concat(F.lit(" — "), F.nullif("_url", F.lit(""))), F.lit("")), F.when(F.col("_required"), REQUIRED).otherwise(""))
     missing = F.when(F.col("_name").isNull(), F.concat(F.lit("unknown source "), F.col("_source").cast("string"), F.lit(" for "), "_asset"))
     # A row has at most one entry a label.
     parts = F.sort_array(F.collect_list(F.struct(F.array_position(order, F.col("_asset")).alias("at"), told.alias("told"), missing.alias("missing"))))
     lines = found.groupBy(key).agg(parts.alias("_parts"))
-    licence = F.when(F.col(public), "License: Public domain.").otherwise("License: own terms.")
+    licence = F.when(F.col(public), PUBLIC_DOMAIN).otherwise(OWN_TERMS)
     out = df.join(lines, key, "left").withColumn("_errors", F.filter(F.transform("_parts", lambda x: x["missing"]), lambda m: m.isNotNull()))
     body = F.coalesce(F.array_join(F.transform("_parts", lambda x: F.concat(x["told"], F.lit("\n"))), ""), F.lit(""))
-    text = F.concat(F.col(title), F.lit(" — sources & attribution\n\n"), body, F.lit("\n"), licence, F.lit("\n"))
+    text = F.concat(F.col(title), F.lit(f"{HEADING}\n\n"), body, F.lit("\n"), licence, F.lit("\n"))
     error = F.try_element_at("_errors", F.lit(1))
     return out.select(key, F.when(error.isNull(), text).alias("rendered"), error.alias("error"))
 
