@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bytebpe, cotrain, decontaminate, htmlmain, langid, linequality, neardup, reshard, substring, tokencount
+from lectern.llm import bytebpe, cotrain, decontaminate, divergence, htmlmain, langid, linequality, neardup, phrases, reshard, substring, tokencount, vectordup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,8 +56,20 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linequality.judged(_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectordup.linked(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_language_id, op3_byte_bpe, op4_near_duplicates, op5_main_text, op6_repeated_passages, op7_quality_classifier, op8_reshard, op9_token_counts, op10_line_quality)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_language_id, op3_byte_bpe, op4_near_duplicates, op5_main_text, op6_repeated_passages, op7_quality_classifier, op8_reshard, op9_token_counts, op10_line_quality, op11_vector_duplicates, op12_collocations, op13_source_divergence)}
 
 
 #: DuckDB SQL for the same rows, where SQL can express the method's results.
@@ -123,4 +135,4 @@ SELECT *, NOT base_failed AND n_words - n_line_words >= 50 AND 2 * (n_words - n_
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | {"op12_collocations": phrases.ORACLE, "op13_source_divergence": divergence.ORACLE}

@@ -125,3 +125,25 @@ def cleaned_texts(docs, **limits):
     """{doc_id: text without frequent lines} of the documents that stay"""
     kept, frequent = line_verdicts(docs, **limits), frequent_lines(docs, **limits)
     return {d: t if t is None else "\n".join(x for x in t.split("\n") if (h, _normal(x)) not in frequent) for d, h, t in docs if kept[d]}
+
+
+def vector_links(rows):
+    """(vec_id, n_links, component_id, kept) from all pairs in double precision; rows with distinct ids and finite vectors."""
+    import numpy as np
+
+    rows = sorted(rows)
+    x = np.array([v for _, v in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        if label[i] != i:
+            continue
+        stack = [i]
+        while stack:
+            for j in np.flatnonzero(near[stack.pop()]).tolist():
+                if label[j] == j and j != i:
+                    label[j] = i
+                    stack.append(j)
+    return [(v, int(near[i].sum()), rows[label[i]][0], label[i] == i) for i, (v, _) in enumerate(rows)]

@@ -4,7 +4,7 @@ import brute
 import corpus_pipeline
 import public_tokenizers as P
 import pytest
-from lectern.llm import bytebpe, cotrain, decontaminate, htmlmain, langid, linequality, neardup, reshard, substring, tokencount
+from lectern.llm import bytebpe, cotrain, decontaminate, divergence, htmlmain, langid, linequality, neardup, phrases, reshard, substring, tokencount
 
 GOOD = " ".join(f"word{i}" for i in range(80))
 OTHER = " ".join(f"other{i}" for i in range(70))
@@ -93,3 +93,10 @@ def test_pipeline_and_reshard_run_on_them(spark, sf):
 def test_brute_versions_agree_on_base_figures(spark, frame):
     got = sorted(str(tuple(r)[1:7]) for r in linequality.judged(frame).collect())
     assert got == sorted(str(brute.base_figures(r[1])) for r in ROWS)
+
+
+def test_reports_that_are_not_by_row(spark, frame):
+    """Phrases and divergences of rows without ids, with equal ids and clashing names."""
+    assert phrases.collocations(frame, least=3).where("lang = 'en' and phrase = 'word0 word1 word2 word3'").count() == 1
+    audited = divergence.audit(frame, least_docs=1)
+    assert {(r["lang"], r["source"]) for r in audited.where("part = 'pair'").select("lang", "source").collect()} == {("en", "a"), ("en", "b"), ("", ""), ("", "b")}
