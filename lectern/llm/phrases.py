@@ -4,8 +4,9 @@ A phrase of two to four words is a candidate from ``LEAST`` occurrences in its
 language. Its parts are at least as common, so a phrase need only be counted if
 the phrases without its first and without its last word are common.
 
-1. *Sample.* All phrases of one to four words of a share of the documents are
-   counted; those that occur ``SAMPLE_LEAST`` times there are proposed.
+1. *Sample.* All phrases of one to three words of a share of the documents are
+   counted; those that occur ``SAMPLE_LEAST`` times there are proposed. (One of
+   four words is no part of a longer one, so it need not be proposed.)
 2. *Full pass.* Over all texts every occurring phrase is counted whose two
    parts are proposed: the proposed phrases themselves and their negative
    border (all single words, and every phrase that isn't proposed but whose
@@ -32,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +44,9 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Words are runs of anything but spaces, tabs and the ends of pieces.
 WORD = kit.word_class(b" \t" + BREAKS)
 _ENDS = ~kit.word_class(BREAKS)
-CHUNK = 8 << 20
+CHUNK = 6 << 20
+#: Rows that a task hands on at once.
+ROWS = 1 << 16
 LONGEST, LEAST, TOP, SHARE = 4, 30, 2000, 80
 #: One document in SAMPLE is in the sample; phrases are proposed from SAMPLE_LEAST occurrences there.
 SAMPLE, SAMPLE_LEAST = 16, 2
@@ -82,7 +86,7 @@ def _holds(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _phrases(data: bytes, lang: str, now: np.ndarray | None, before: np.ndarray | None) -> Iterator[tuple[pa.Array, int, np.ndarray]]:
+def _phrases(data: bytes, lang: str, now: np.ndarray | None, before: np.ndarray | None, longest: int = LONGEST) -> Iterator[tuple[pa.Array, int, np.ndarray]]:
     """(phrases, number of words, occurrences) of a buffer of texts in lower case.
 
     now: the table of proposals, None for all phrases; before: that of the last pass, whose phrases are left out.
@@ -110,7 +114,7 @@ def _phrases(data: bytes, lang: str, now: np.ndarray | None, before: np.ndarray
         yield spans.as_text(words), 1, np.bincount(ids, minlength=len(words))
     member = _member(now, of)
     earlier = None if before is None else _holds(before, of)
-    for n in range(2, LONGEST + 1):
+    for n in range(2, longest + 1):
         # A phrase of n words at p: both its parts are there and proposed.
         head, tail = number[:-1], number[1:]
         p = np.flatnonzero((head >= 0) & (tail >= 0) & joined[: len(head)])
@@ -120,7 +124,9 @@ def _phrases(data: bytes, lang: str, now: np.ndarray | None, before: np.ndarray
         # Heads of the phrases that were counted before.
         known = None if earlier is None else earlier[head[p]] & earlier[tail[p]]
         last = ids[p + n - 1]
-        keys, first, which, count = np.unique(head[p] * len(words) + last, return_index=True, return_inverse=True, return_counts=True)
+        which, keys = pd.factorize(head[p] * len(words) + last)
+        count, first = np.bincount(which, minlength=len(keys)), np.empty(len(keys), np.int64)
+        first[which[::-1]] = np.arange(len(p) - 1, -1, -1)
         of = _then(of[keys // len(words)], hashes[keys % len(words)])
         new = np.arange(len(keys)) if known is None else np.flatnonzero(~known[first])
         if len(new):
@@ -137,7 +143,7 @@ def _member(table: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return np.ones(len(h), bool) if table is None else _holds(table, h)
 
 
-def _counted(now, before):
+def _counted(now, before, longest: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [None if x is None else x.value for x in (now, before)]
         for batch in batches:
@@ -145,18 +151,23 @@ def _counted(now, before):
             texts = kit.column_bytes(batch, "text")
             for lang in dict.fromkeys(langs.tolist()):
                 for data, _, _ in spans.buffers([texts[i] for i in np.flatnonzero(langs == lang)], CHUNK):
-                    for found, n, count in _phrases(data, lang, *tables):
-                        columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(found), np.int64))), pa.array(np.full(len(found), n, np.int8)), found, pa.array(count, pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "f"])
+                    for found, n, count in _phrases(data, lang, *tables, longest):
+                        for lo in range(0, len(found), ROWS):
+                            some, rows = found.slice(lo, ROWS), min(ROWS, len(found) - lo)
+                            columns = [pa.repeat(pa.scalar(lang, pa.string()), rows), pa.repeat(pa.scalar(n, pa.int8()), rows), some, pa.array(count[lo : lo + ROWS], pa.int64())]
+                            yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "f"])
             kit.release()
 
     return work
 
 
-def _counts(texts: DataFrame, now=None, before=None) -> DataFrame:
-    """(lang, words, phrase, f): exact counts over texts (lang, text) of the phrases that the tables let through."""
-    rows = texts.mapInArrow(_counted(now, before), "lang string, words byte, phrase string, f long")
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+def _counts(texts: DataFrame, now=None, before=None, longest: int = LONGEST) -> DataFrame:
+    """(lang, words, phrase, f): exact counts over texts (lang, text) of the phrases that the tables let through.
+
+    Rows are counts by buffer already, mostly of different phrases, so they are dealt as they are and summed once.
+    """
+    rows = texts.mapInArrow(_counted(now, before, longest), "lang string, words byte, phrase string, f long")
+    return rows.repartition("lang", "words", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
 
 def phrase_hashes(langs: list[str], phrases: list[bytes]) -> np.ndarray:
@@ -205,7 +216,7 @@ def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", least:
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     part = texts.where(F.pmod(F.xxhash64("text", F.lit(12)), F.lit(sample)) == 0)
     # A phrase of the longest length is no part of a longer one: it need not be proposed.
-    table = bit_table(_counts(part).where(F.col("words") < LONGEST).where(F.col("f") >= sample_least))
+    table = bit_table(_counts(part, longest=LONGEST - 1).where(F.col("f") >= sample_least))
     found, sizes, passes, before = None, None, 0, None
     while True:
         passes += 1
