@@ -2,8 +2,8 @@
 
 1. *Classes.* Equal vectors form one class with one number; all further work is
    on classes, so copies cost a count. Vectors of different lengths never meet.
-2. *Shards.* Classes are dealt by a hash into shards of ``LEAST_SHARD`` to
-   ``MOST_SHARD`` rows. One task builds a shard's graph (see ``smallworld``) and
+2. *Shards.* Classes are dealt by a hash into ``SHARDS`` shards, or more where
+   these would be over ``MOST_SHARD`` rows. One task builds a shard's graph (see ``smallworld``) and
    searches it with the shard's own vectors; this gives the links inside the
    shard and its own components.
 3. *Searches.* For each pair of shards one task searches the graph of the second
@@ -39,8 +39,8 @@ from lectern.llm import kit, neardup
 from lectern.llm.smallworld import M0, Graph, M
 
 LINKED = 0.9
-#: A shard has an eighth of all vectors, between these sizes.
-LEAST_SHARD, MOST_SHARD = 8192, 65_536
+#: There are SHARDS shards, fewer where they would be under LEAST_SHARD rows, more where they would be over MOST_SHARD.
+SHARDS, LEAST_SHARD, MOST_SHARD = 4, 512, 65_536
 BEAM, RECALL, AUDITED = 32, 0.97, 128
 #: Queries side by side; rows of a scan.
 BLOCK, SCANNED = 256, 64
@@ -224,7 +224,7 @@ def _pair(kind: str):
 
 def _sharded(classes: DataFrame, kind: str, least: int, most: int) -> DataFrame:
     """One row a shard: its classes, its graph and what it found in itself."""
-    sizes = classes.groupBy("dim").agg(F.count("*").alias("size")).withColumn("shards", F.ceil(F.col("size") / F.greatest(F.lit(least), F.least(F.lit(most), F.ceil(F.col("size") / 8)))).cast("int"))
+    sizes = classes.groupBy("dim").agg(F.count("*").alias("size")).withColumn("shards", F.greatest(F.ceil(F.col("size") / most), F.least(F.lit(SHARDS), F.ceil(F.col("size") / least))).cast("int"))
     dealt = classes.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
     n = sizes.agg(F.sum("shards")).first()[0] or 1
     dealt = dealt.select("dim", "shard", "node", "copies", "raw").repartition(min(2 * n, 10_000), "dim", "shard")
