@@ -2,16 +2,24 @@
 
 A page is read as blocks of text. Each piece of text lies on a root-to-leaf
 tag path (inline elements included). Text length and punctuation marks are
-totalled by path and divided by the path's number of nodes; both ratios level
-off at a full line (``LINE`` characters, ``MARKS`` marks). A block has the
+totalled by path and divided by the path's number of nodes. Length levels off
+slowly (by ``LINE`` characters), punctuation at ``MARKS`` marks. A block has the
 ratios of its pieces' paths, weighted by length; they are smoothed along the
-page and fused by their product. Names of classes and ids, and standing outside
-the page's article, are votes that lower the product. Blocks on paths that
-reach ``LEVEL`` of the page's best are content.
+page and fused by their product. Blocks on paths that reach ``LEVEL`` of the
+best are content.
+
+Where a block stands and what its elements are called only moves that level,
+and never beyond the best ratio: a name asks for a little more inside the
+article, and outside of it, or on a page without one, a named block has to
+come up to the article's own text (``ALIKE``) and be a full line (``FULL``). Names of reader comments alone
+are final, as comments are prose like the article. Text elements themselves
+(paragraphs, headings, list items, ...) have no say by their names.
 
 What the ratios choose is kept wherever it stands. Around it stay the short
-lines that the ratios can't judge: everything without a vote against it in
-the article or main element that holds the content; on a page without one, in
+lines that the ratios can't judge: what no name speaks against in the article
+or main element that holds the content, up to the last block chosen; behind
+that only headings, lists, captions and the like that stand with the content,
+not what stands in a box of its own. On a page without an article they stay in
 the deepest element that holds nearly all of the content, and from there out
 as long as an enclosing element adds only content, headings and lines between
 its title and the content. At both ends of such an element blocks that are
@@ -47,8 +55,10 @@ from pyspark.sql import types as T
 
 from lectern.llm import kit
 
-#: A full line's characters and marks, the part of the best product that is content, and what a vote leaves of a product.
-LINE, MARKS, LEVEL, VOTE = 100, 3, 0.3, 0.15
+#: A line's characters and marks, the part of the best product that is content, what a name leaves of a product inside the article.
+LINE, MARKS, LEVEL, VOTE = 100, 3, 0.3, 0.6
+#: The part of the best product that text outside the article, or named text on a page without one, has to reach, and the product itself, that of a full line; votes of a name that is final.
+ALIKE, FULL, FINAL = 1.0, 0.6, 8
 #: Width of the smoothing over neighbouring blocks; content that the content element holds at least.
 SIGMA, COVER = 0.6, 0.9
 #: An article is the page's if it holds this part of what stands outside; a name is mute if the rest is under this part of its text.
@@ -69,6 +79,8 @@ _NEVER = frozenset("head nav footer aside form script style noscript iframe obje
 _WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header hidden masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted related reply replies respond share sharing sidebar sidebars skip social sponsor sponsored subscribe subscription tags toolbar widget widgets".split()
 )
+# Those that are final, as whole names.
+_COMMENTS = frozenset("comment comments commentlist comment-list comment-section comment-thread comments-area comments-section comments-wrapper disqus disqus_thread replies reply respond".split())
 # Those that vote at the end of a compound name too, unless one of the next opens it.
 _LAST = frozenset("adsense advertisement adverts breadcrumb breadcrumbs commentlist comments menu nav navbar navigation newsletter pagination related share sharing sidebar sidebars".split())
 _LAYOUT = frozenset("has is no not one two three with without".split())
@@ -76,6 +88,9 @@ _LAYOUT = frozenset("has is no not one two three with without".split())
 _LISTED = frozenset("ul ol dl table a".split())
 # Elements too small to be the content element; those whose links are prose.
 _SMALL = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th ul ol".split())
+# Text elements, whose own names say nothing; boxes, which stand apart behind the content.
+_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th".split())
+_BOXES = frozenset("div section span center details".split())
 _PROSE = frozenset("p pre blockquote figcaption dd dt h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>")
@@ -98,7 +113,8 @@ class Element:
     parent: Element | None
     path: int
     off: bool
-    named: bool
+    # Votes of the element's own names.
+    named: int
     first: int
     last: int = -1
     # Elements on the way from the root to here: h1, headings, those that make no line, votes.
@@ -138,18 +154,21 @@ def _is_off(tag: str, raw: str, attributes: list[tuple[str, str]], inside_articl
     return "hidden" in raw.lower() and bool(_HIDDEN.search(_QUOTED.sub("", raw)))
 
 
-def _is_named(tag: str, attributes: list[tuple[str, str]]) -> bool:
-    """Whether an element's class or id is, or opens with, a name of what is no article text; in a class a plain one may also end it."""
-    if tag in ("html", "body", "article", "main"):
-        return False
+def _is_named(tag: str, attributes: list[tuple[str, str]]) -> int:
+    """Votes of an element's class and id: FINAL for comments, 1 if one is, or opens with, a name of what is no article text; in a class a plain one may also end it."""
+    if tag in ("html", "body", "article", "main") or tag in _LEAF:
+        return 0
+    vote = 0
     for kind, value in attributes:
         if kind not in ("class", "id") or kind == "id" and tag in _HEADINGS:
             continue
         for name in value.lower().split():
+            if name in _COMMENTS:
+                return FINAL
             words = [w for w in _SPLIT.split(name) if w] or [""]
             if words[0] in _WORDS and (len(words) == 1 or words[0] != "hidden") or kind == "class" and words[-1] in _LAST and words[0] not in _LAYOUT:
-                return True
-    return False
+                vote = 1
+    return vote
 
 
 class _Reader:
@@ -158,7 +177,7 @@ class _Reader:
     def __init__(self, page: str):
         self.page = page
         self.blocks: list[Block] = []
-        self.root = Element("", 0, None, 0, False, False, 0)
+        self.root = Element("", 0, None, 0, False, 0, 0)
         self.elements = [self.root]
         self.stack = [self.root]
         self.open: dict[str, list[int]] = {}  # places in the stack by tag
@@ -230,7 +249,7 @@ class _Reader:
         off = parent.off or _is_off(tag, raw, attributes, bool(self.open.get("article") or self.open.get("main")))
         if off and not parent.off and tag in _INLINE:
             self._text(" ")
-        named = not off and bool(attributes) and not (self.open.get("pre") or self.open.get("code")) and _is_named(tag, attributes)
+        named = _is_named(tag, attributes) if not off and attributes and not (self.open.get("pre") or self.open.get("code")) else 0
         if tag in ("svg", "path", "use") and raw.rstrip().endswith("/"):
             return None
         name = next((v for n, v in attributes if n == "class" and v), "")
@@ -307,7 +326,7 @@ def fused_ratios(found: list[Block]) -> list[float]:
             t[1] += marks
             t[2] += e.path not in met
             met.add(e.path)
-    ratio = {p: (min(1.0, size / nodes / LINE), min(1.0, (marks / nodes + 1) / (MARKS + 1))) for p, (size, marks, nodes) in totals.items()}
+    ratio = {p: (1 - math.exp(-size / nodes / LINE), min(1.0, (marks / nodes + 1) / (MARKS + 1))) for p, (size, marks, nodes) in totals.items()}
     length, marks = [], []
     for b in found:
         whole = sum(size for _, size, _ in b.pieces)
@@ -316,10 +335,10 @@ def fused_ratios(found: list[Block]) -> list[float]:
     return [a * b for a, b in zip(_smoothed(length), _smoothed(marks), strict=True)]
 
 
-def passing(products: list[float]) -> list[bool]:
-    """Which products reach the threshold."""
-    level = LEVEL * max(products, default=0.0)
-    return [p >= level for p in products]
+def passing(products: list[float], needed: list[float]) -> list[bool]:
+    """Which products reach what is needed of the best (over 1: none can), and are those of a full line where ALIKE is needed."""
+    best = max((p for p, need in zip(products, needed, strict=True) if need == LEVEL), default=max(products, default=0.0))
+    return [need <= 1 and p >= need * best and (p >= FULL or need < ALIKE) for p, need in zip(products, needed, strict=True)]
 
 
 def _before(values: list[int]) -> list[int]:
@@ -352,7 +371,7 @@ def _count_votes(elements: list[Element], found: list[Block], looks: list[bool])
 
     def count(muted: set[int]) -> list[int]:
         for e in elements[1:]:
-            e.votes = e.parent.votes + (e.named and e.number not in muted)
+            e.votes = e.parent.votes + (e.named if e.number not in muted else 0)
         return [min(e.votes for e, _, _ in b.pieces) for b in found]
 
     votes = count(set())
@@ -395,6 +414,33 @@ def _mostly_links(b: Block) -> bool:
     return 2 * linked > sum(size for _, size, _ in b.pieces) and b.element.home not in _PROSE
 
 
+def _of_article(found: list[Block], yes: list[bool], against: list[int], article: Element) -> list[Block]:
+    """What the ratios chose anywhere, and the lines of the article that belong to it."""
+    last = max(i for i in range(article.first, article.last) if yes[i])
+    apart: dict[int, bool] = {}
+
+    def boxed(e: Element) -> bool:
+        """Whether a box lies between an element and what it has in common with the last block chosen."""
+        way = []
+        while e.number not in apart and not e.first <= last < e.last:
+            way.append(e)
+            e = e.parent
+        out = apart.get(e.number, False)
+        for step in reversed(way):
+            out = out or step.tag in _BOXES
+            apart[step.number] = out
+        return out
+
+    def belongs(i: int, b: Block) -> bool:
+        if yes[i]:
+            return True
+        if not article.first <= i < article.last or against[i] > 0:
+            return False
+        return i < last or not (boxed(b.element) or _mostly_links(b))
+
+    return [b for i, b in enumerate(found) if belongs(i, b)]
+
+
 def content_blocks(page: str) -> list[Block]:
     """The blocks of the article, in page order."""
     reader = _Reader(page)
@@ -402,17 +448,19 @@ def content_blocks(page: str) -> list[Block]:
     if not found:
         return []
     products = fused_ratios(found)
-    looks = passing(products)
+    looks = passing(products, [LEVEL] * len(found))
     votes = _count_votes(elements, found, looks)
     article = _own_article(elements, [len(b.text) if y and not v else 0 for b, y, v in zip(found, looks, votes, strict=True)])
     if article is None:
         against = [v + bool(_RIGHTS.match(b.text)) for v, b in zip(votes, found, strict=True)]
+        needed = [2.0 if v >= FINAL else ALIKE if v else LEVEL for v in against]
     else:
-        against = [v + (not article.first <= i < article.last) for i, v in enumerate(votes)]
-    yes = passing([p * VOTE**v for p, v in zip(products, against, strict=True)])
+        against = [v - article.votes for v in votes]
+        needed = [2.0 if v >= FINAL else LEVEL / VOTE ** max(0, v) if article.first <= i < article.last else ALIKE for i, v in enumerate(against)]
+    yes = passing(products, needed)
     text = _before([len(b.text) if y else 0 for b, y in zip(found, yes, strict=True)])
     if article is not None and text[article.last] > text[article.first]:
-        return [b for i, b in enumerate(found) if yes[i] or article.first <= i < article.last and votes[i] <= article.votes]
+        return _of_article(found, yes, against, article)
     # Numbers grow with depth along a path, so the last of the holders is the deepest.
     holders = [e for e in elements if text[e.last] - text[e.first] >= COVER * text[-1] and e.tag not in _INLINE and e.tag not in _SMALL]
     content = _climbed(found, yes, holders[-1])

@@ -48,7 +48,7 @@ def plain_products(page):
     rows = []
     for block in tree.blocks:
         size = sum(len(t) for _, t in block)
-        length = sum(min(1, chars[p] / nodes[p] / 100) * len(t) for p, t in block) / size
+        length = sum((1 - math.exp(-chars[p] / nodes[p] / 100)) * len(t) for p, t in block) / size
         mark = sum(min(1, (marks[p] / nodes[p] + 1) / 4) * len(t) for p, t in block) / size
         rows.append((length, mark))
     out = []
@@ -110,13 +110,55 @@ def test_pages_without_semantic_tags(page):
     assert htmlmain.main_text(page) == PLAIN[page]
 
 
-def test_the_ratios_decide(monkeypatch):
-    pages = [f"<body>{MENU}{STORY}<div>© 2024 Example.</div></body>", f"<body><div class=ad>Buy it.</div><article><h1>T</h1>{STORY}</article></body>"]
+PARAGRAPH = "This paragraph is about one hundred and thirty characters long, so that it counts as a full one, with commas, and it ends like so."
+BODY = "".join(f"<p>{PARAGRAPH} {i}</p>" for i in range(4))
+ARTICLE = f"<article><h1>T</h1>{BODY}%s</article>"
+WHOLE = "\n".join(["T", *(f"{PARAGRAPH} {i}" for i in range(4))])
+
+
+@pytest.mark.parametrize("product", [0.7, 1.0])
+def test_the_ratios_decide(monkeypatch, product):
+    """With ratios that are all alike, nothing else keeps menus, rights, adverts, discussions and sidebars out."""
+    pages = [f"<body>{MENU}{STORY}<div>© 2024 Example.</div></body>", f"<body><div class=ad>Buy it.</div><article><h1>T</h1>{STORY}</article></body>", f"<body><div class=sidebar>See also this.</div>{ARTICLE % ''}</body>", ARTICLE % "<div id=disc><p>Great piece!</p><p>Boo.</p></div>"]
     right = [htmlmain.main_text(p) for p in pages]
-    monkeypatch.setattr(htmlmain, "passing", lambda products: [True] * len(products))
+    monkeypatch.setattr(htmlmain, "fused_ratios", lambda found: [product] * len(found))
     assert all(htmlmain.main_text(p) != r for p, r in zip(pages, right))
 
 
+def test_the_ratios_decide_on_given_pages(spark, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    right = [htmlmain.main_text(p) for p in pages]
+    monkeypatch.setattr(htmlmain, "fused_ratios", lambda found: [1.0] * len(found))
+    assert sum(htmlmain.main_text(p) != r for p, r in zip(pages, right)) > len(pages) / 2
+
+
+NAMES = "share-of-market social-history comment-worthy related-work menu-of-options notice-period tags ad-hoc header-note reply-all skip-level footer-notes promo-code sidebar-note widget-theory newsletter comments-on-law"
+
+
+@pytest.mark.parametrize("name", NAMES.split())
+def test_no_name_drops_a_full_paragraph(name):
+    for piece in (f'<p class="{name}">{PARAGRAPH} x</p>', f'<div class="{name}"><p>{PARAGRAPH} x</p></div>', f'<section id="{name}"><p>{PARAGRAPH} x</p></section>'):
+        assert htmlmain.main_text(ARTICLE % (piece + BODY)) == f"{WHOLE}\n{PARAGRAPH} x\n" + WHOLE[2:]
+
+
+@pytest.mark.parametrize("piece", [
+    "<div id=disc><p>Great piece!</p><p>Boo.</p></div>", "<div class=paywall><p>Log in to read more.</p></div>", f"<section class=comments><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></section>",
+    f"<div class=comment-list><div><p>{PARAGRAPH}</p></div></div>", "<div class=related><a href=/a>One more story</a> <a href=/b>And another</a></div>", "<div class='share buttons'>Share it</div>", "<ul><li><a href=/t>tag</a></li></ul>",
+])
+def test_what_stands_behind_the_article_s_text_goes(piece):
+    assert htmlmain.main_text(ARTICLE % piece) == WHOLE
+    assert htmlmain.main_text(f"<body>{ARTICLE % ''}{piece}</body>") == WHOLE
+
+
+@pytest.mark.parametrize("piece, text", [
+    ("<ul><li>one</li><li>two</li></ul>", "one\ntwo"), ("<h2>Notes</h2><ol><li>a</li></ol>", "Notes\na"), ("<figure><figcaption>Cap.</figcaption></figure>", "Cap."), ("<blockquote>Q.</blockquote>", "Q."),
+    ("<p>End.</p>", "End."), ("<table><tr><td>1</td><td>2</td></tr></table>", "1\n2"), ("<dl><dt>x</dt><dd>y</dd></dl>", "x\ny"), ("<p class=tags>End.</p>", "End."),
+])
+def test_short_text_of_the_article_stays(piece, text):
+    assert htmlmain.main_text(ARTICLE % piece) == f"{WHOLE}\n{text}"
+    assert htmlmain.main_text(ARTICLE % (piece + BODY)) == f"{WHOLE}\n{text}\n{WHOLE[2:]}"
+
+
 def test_broken_markup():
     assert htmlmain.main_text("<p>one</p><p>a < b and c<d</p>") == "one\na < b and c"
     assert htmlmain.main_text('<p title="open>one</p><p>two</p>') == "one\ntwo"
