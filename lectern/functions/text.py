@@ -73,6 +73,12 @@ def composed(c: Column) -> Column:
 
 
 # The patterns of the keys, of names, topics and excerpts below.
+_NOBODY = r"(?i)trad\.?|anonymous|unknown|\d+(st|nd|rd|th) c|century|various"
+#: What a text on a person of this trade says, and what a free licence is called.
+PERSONISH = r"(?i)hymn|compos|minist|poet|writer|pastor|clerg|music|evangel|preach|priest|monk|reformer|theolog|missionar|bishop|author"
+FREE_LICENCE = r"(?i)public domain|^pd|cc0"
+#: Entities of page text, in the order in which they are decoded; soft hyphens go.
+_ENTITIES = (("\u00ad", ""), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"), ("&apos;", "'"), ("&rsquo;", "’"), ("&#8217;", "’"), ("&amp;", "&"))
 
 
 def key_ascii(c: Column) -> Column:
@@ -128,11 +134,49 @@ def visible(page: Column) -> Column:
     """Page text without comments, scripts, styles and tags; white space collapsed."""
     c = F.regexp_replace(page, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1>", " ")
     c = F.regexp_replace(c, "<[^>]*>", " ")
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for entity, plain in _ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(plain))
     return F.trim(F.regexp_replace(c, _SPACE, " "))
 
 
+def stripped(page: Column, *, quotes: bool = False, curly: bool = False) -> Column:
+    """A piece of a page without tags (nothing stands in for them) and soft hyphens; entities decoded, white space collapsed.
+
+    quotes: <q> and </q> are quotation marks; curly: right single quotes are decoded too.
+    """
+    c = F.regexp_replace(page, "</?q>", '"') if quotes else page
+    c = F.replace(F.regexp_replace(c, "<[^>]+>", ""), F.lit("\u00ad"), F.lit(""))
+    for entity, plain in (("&nbsp;", " "), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(plain))
+    c = F.replace(F.regexp_replace(c, "&#0?39;|&apos;", "'"), F.lit("&quot;"), F.lit('"'))
+    c = F.regexp_replace(c, "&#8217;|&rsquo;", "’") if curly else c
+    return F.trim(F.regexp_replace(c, _SPACE, " "))
+
+
+def without_suffix(body: Column, suffix: Column) -> Column:
+    """body without the first occurrence of an empty line and the suffix; as it is without a suffix."""
+    tail = F.concat(F.lit("\n\n"), suffix)
+    at = F.call_function("instr", body, tail)
+    cut = F.concat(F.substring(body, F.lit(1), at - 1), F.substring(body, at + F.char_length(tail), F.char_length(body)))
+    return F.when(at > 0, cut).otherwise(body)
+
+
+def first_year(*texts: Column) -> Column:
+    """The first year (1000 to 2029) of the first text that has one."""
+    found = [F.nullif(F.regexp_extract(t, r"(?<![0-9A-Za-z_])(1[0-9]{3}|20[0-2][0-9])(?![0-9A-Za-z_])", 1), F.lit("")) for t in texts]
+    return F.coalesce(*found).cast("int")
+
+
+def bare_name(credit: Column) -> Column:
+    """The first name of a credit, without what stands in brackets."""
+    return F.trim(F.regexp_replace(F.split_part(credit, F.lit("·"), F.lit(1)), r"\(.*?\)", ""))
+
+
+def is_person(name: Column) -> Column:
+    """Whether a name may be looked up: two words at least, and no tradition, century or anonymous crowd."""
+    return ~name.rlike(_NOBODY) & (F.size(F.split(name, " ")) >= 2)
+
+
 def page_title(page: Column) -> Column:
     return F.trim(F.regexp_extract(page, r"(?is)<title>(.*?)</title>", 1))
 

@@ -11,67 +11,95 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.operators.family import cut
+from lectern.operators.segments import STRETCH, dealt_phrases
+
 #: Target words beyond the line's own number that an alignment may use.
 SLACK = 4
 #: A verdict of one alignment: cost, target words consumed, edits ('g' glue, 'm' match, 'l' skip source word, 'w' skip target word).
 ALIGNED = "cost int, consumed int, edits string"
 
 
+#: Nulls where a line doesn't fit.
+Verdict = tuple[int | None, int | None, str | None]
 #: Cells of the tables that one call fills together.
 CELLS = 1 << 22
 
 
-def _same_shape(source: np.ndarray, target: np.ndarray, glued: np.ndarray) -> list[tuple[int, int, str]]:
-    """Alignments of equally long lines (one a row) of word codes; glued: codes of each target word joined with the next."""
+def most_cost(words: int) -> int:
+    """What a line of so many words may cost at most to fit: a fifth of them, or 1."""
+    return max(1, words // 5)
+
+
+def _same_shape(source: np.ndarray, target: np.ndarray, glued: np.ndarray) -> list[Verdict]:
+    """Alignments of equally long lines (one a row) of word codes; glued: codes of each target word joined with the next.
+
+    Only a band of diagonals is filled. A diagonal is the number of target words ahead of the source words;
+    falling by one costs 1, and the end lies on the last diagonal at most, so whatever costs no more
+    than a line may cost never leaves the band.
+    """
     lines, n = source.shape
     m = target.shape[1]
-    at = np.arange(m + 1, dtype=np.int32)
-    below = np.zeros((lines, m + 1), np.int32)
-    steps = np.empty((n, lines, m + 1), np.int8)
-    far = np.int32(1 << 30)
+    most, far = most_cost(n), np.int32(1 << 20)
+    low, high = -most, max(0, m - n) + most
+    diagonals = np.arange(low, high + 1)
+    at = np.arange(len(diagonals), dtype=np.int32)
+    # Target words and glued pairs by place, with room for places outside.
+    room = n + len(diagonals) + 2
+    words, pairs = np.full((lines, 2 * room), -2, np.int64), np.full((lines, 2 * room), -2, np.int64)
+    words[:, room : room + m] = target
+    pairs[:, room : room + glued.shape[1]] = glued
+    inside = lambda i: (i + diagonals >= 0) & (i + diagonals <= m)
+    below = np.broadcast_to(np.where(inside(n), np.int32(0), far), (lines, len(diagonals)))
+    steps = np.empty((n, lines, len(diagonals)), np.int8)
+    outside = np.full((lines, 1), far)
     for i in range(n - 1, -1, -1):
-        word = source[:, i : i + 1]
-        match, glue = np.full((lines, m + 1), far), np.full((lines, m + 1), far)
-        match[:, :m] = below[:, 1:] + (target != word)
-        if m > 1:
-            glue[:, : m - 1] = np.where(glued == word, below[:, 2:], far)
-        skip = below + 1
-        best = np.minimum(np.minimum(match, glue), skip)
+        word, here = source[:, i : i + 1], room + i + low
+        span = slice(here, here + len(diagonals))
+        match = below + (words[:, span] != word)
+        match[:, i + diagonals >= m] = far
+        glue = np.where(pairs[:, span] == word, np.concatenate([below[:, 1:], outside], axis=1), far)
+        skip = np.concatenate([outside, below[:, :-1]], axis=1) + 1
+        best = np.where(inside(i), np.minimum(np.minimum(match, glue), skip), far)
         # skipping target words costs one each: a running minimum from the right
         cost = np.minimum.accumulate((best + at)[:, ::-1], axis=1)[:, ::-1] - at
         steps[i] = np.select([glue == cost, match == cost, skip == cost], [0, 1, 2], 3)
         below = cost
     out = []
     for line in range(lines):
+        total = int(below[line, -low])
+        if total > most:
+            out.append((None, None, None))
+            continue
         i = j = 0
         edits = []
         while i < n:
-            step = int(steps[i, line, j])
+            step = int(steps[i, line, j - i - low])
             edits.append("gmlw"[step])
             i += step != 3
             j += (2, 1, 0, 1)[step]
-        out.append((int(below[line, 0]), j, "".join(edits)))
+        out.append((total, j, "".join(edits)))
     return out
 
 
-def align_many(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int, str]]:
-    """(cost, consumed, edits): the cheapest alignment of all source words with a prefix of the target, for each pair.
+def align_many(pairs: list[tuple[list[str], list[str]]]) -> list[Verdict]:
+    """(cost, consumed, edits): the cheapest alignment of all source words with a prefix of the target, for each pair; nulls if it costs too much to fit.
 
     A match costs 0 or, if the words differ, 1; one source word may stand for two
     target words glued together at no cost; skipping a word on either side costs 1.
     Ties prefer g, m, l, w, in this order, from the front. Lines of one shape are
-    computed together; time and memory of a line: source x target words.
+    computed together, in a band as wide as what a line may cost.
     """
-    out: list[tuple[int, int, str] | None] = [None] * len(pairs)
+    out: list[Verdict] = [(None, None, None)] * len(pairs)
     shapes: dict[tuple[int, int], list[int]] = {}
     for at, (source, target) in enumerate(pairs):
         if source == target[: len(source)]:
             out[at] = (0, len(source), "m" * len(source))
-        else:
+        elif len(source) - len(target) <= most_cost(len(source)):  # each word too few costs one
             shapes.setdefault((len(source), len(target)), []).append(at)
     codes: dict[str, int] = {}
     for (n, m), rows in shapes.items():
-        size = max(1, CELLS // ((n + 1) * (m + 1)))
+        size = max(1, CELLS // ((n + 1) * (2 * most_cost(n) + max(0, m - n) + 1)))
         for lo in range(0, len(rows), size):
             part = rows[lo : lo + size]
             source = np.array([[codes.setdefault(w, len(codes)) for w in pairs[r][0]] for r in part], np.int64).reshape(len(part), n)
@@ -82,7 +110,7 @@ def align_many(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int,
     return out
 
 
-def align_words(source: list[str], target: list[str]) -> tuple[int, int, str]:
+def align_words(source: list[str], target: list[str]) -> Verdict:
     return align_many([(source, target)])[0]
 
 
@@ -96,7 +124,7 @@ def aligned_lines(df: DataFrame, source: str, target: str) -> DataFrame:
     """df with cost, consumed, edits and fits of each line: source words against the first len + 4 target words.
 
     Lines that equal the front of their target are settled without Python.
-    fits: cost is at most a fifth of the source words, or 1.
+    fits: cost is at most a fifth of the source words, or 1; a line that doesn't fit has nulls.
     """
     n = F.size(source)
     same = F.slice(F.col(target), F.lit(1), F.greatest(n, F.lit(1))) == F.col(source)
@@ -104,7 +132,7 @@ def aligned_lines(df: DataFrame, source: str, target: str) -> DataFrame:
     easy = df.where(same).withColumn("_v", F.struct(F.lit(0).alias("cost"), n.alias("consumed"), F.repeat(F.lit("m"), n).alias("edits")))
     hard = df.where(~F.coalesce(same, F.lit(False))).withColumn("_v", verdict(F.col(source), F.slice(F.col(target), F.lit(1), n + SLACK)))
     both = easy.unionByName(hard)
-    return both.select(*df.columns, "_v.cost", "_v.consumed", "_v.edits", (F.col("_v.cost") <= F.greatest(F.lit(1), F.floor(n / 5))).alias("fits"))
+    return both.select(*df.columns, "_v.cost", "_v.consumed", "_v.edits", F.when(n >= 0, F.col("_v.cost").isNotNull()).alias("fits"))
 
 
 def _documents(lines: pd.Series, stream: pd.Series) -> pd.DataFrame:
@@ -115,8 +143,8 @@ def _documents(lines: pd.Series, stream: pd.Series) -> pd.DataFrame:
     number, active = 0, [d for d, x in enumerate(ours) if x]
     while active:
         pairs = [(ours[d][number], theirs[d][at[d] : at[d] + len(ours[d][number]) + SLACK]) for d in active]
-        for d, (source, _), (cost, consumed, _) in zip(active, pairs, align_many(pairs), strict=True):
-            if cost > max(1, len(source) // 5):
+        for d, (cost, consumed, _) in zip(active, align_many(pairs), strict=True):
+            if cost is None:
                 failed[d] = number
             else:
                 at[d], total[d] = at[d] + consumed, total[d] + cost
@@ -135,10 +163,6 @@ def aligned_documents(df: DataFrame, lines: str, stream: str) -> DataFrame:
     return df.withColumn("_v", verdict(F.col(lines), F.col(stream))).select(*df.columns, "_v.*")
 
 
-def _fits(cost: int, words: list[str]) -> bool:
-    return cost <= max(1, len(words) // 5)
-
-
 def _starts(stream: list[str]) -> dict[str, list[int]]:
     """Where each word of a stream begins, be it one word or two glued together."""
     out: dict[str, list[int]] = {}
@@ -176,8 +200,8 @@ def _streamed(lines: pd.Series, streams: pd.Series) -> pd.DataFrame:
         tried = [(d, k) for d in active for k in theirs[d] if ours[d][number][0] is None or ours[d][number][0] == k]
         pairs = [(ours[d][number][1], theirs[d][k][cursor[d][k] : cursor[d][k] + len(ours[d][number][1]) + SLACK]) for d, k in tried]
         best: dict[int, tuple[int, int, int, int]] = {}
-        for (d, k), (words, _), (cost, used, _) in zip(tried, pairs, align_many(pairs), strict=True):
-            if _fits(cost, words) and (d not in best or cost < best[d][0]):
+        for (d, k), (cost, used, _) in zip(tried, align_many(pairs), strict=True):
+            if cost is not None and (d not in best or cost < best[d][0]):
                 best[d] = (cost, k, cursor[d][k], used)
         for d, k in tried:
             if d not in best:  # then the line has words, as one without any fits at its cursor
@@ -212,17 +236,6 @@ def aligned_streams(df: DataFrame, lines: str, streams: str) -> DataFrame:
     return df.withColumn("_v", verdict(typed, F.col(streams).cast("map<int,array<string>>"))).select(*df.columns, "_v.*")
 
 
-def texts_agree(df: DataFrame, a: str, b: str, least: float = 0.8) -> DataFrame:
-    """df with agree: a occurs in b, or a's similarity with b's front of len(a) + 10 characters is above least.
-
-    Similarity is one less the edits over the characters of both texts; no matching of blocks,
-    each counted on both sides, can be above it. An empty or null a, or a null b, agrees with nothing.
-    """
-    front = F.substring(F.col(b), F.lit(1), F.char_length(a) + 10)
-    alike = 1 - F.levenshtein(F.col(a), front) / (F.char_length(a) + F.char_length(front)) > least
-    return df.withColumn("agree", F.coalesce((F.col(a) != "") & (F.col(b).contains(F.col(a)) | alike), F.lit(False)))
-
-
 class _Phrases:
     """Where phrases end, item by item; at most a phrase is held."""
 
@@ -257,15 +270,22 @@ class _Phrases:
         self.number += n > 0
 
 
-def phrases(df: DataFrame, key: str, row: str, at: str, length: str, *, long: float = 1.9, gap: float = 0.05, most: int = 12) -> DataFrame:
+def phrases(df: DataFrame, key: str, row: str, at: str, length: str, *, long: float = 1.9, gap: float = 0.05, most: int = 12, stretch: int = STRETCH) -> DataFrame:
     """(key, row, phrase): items of a key, in order of time then row, cut into phrases from 0.
 
     A phrase ends after a long item if it has three items, before a gap if it
     has two; at ``most`` items it is cut behind its longest item. Keys stream
-    through sorted partitions: a task holds one phrase, whatever a key's size.
+    through sorted partitions: a task holds one phrase. Keys of over ``stretch``
+    items are cut by many tasks instead.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     items = df.select(key, row, F.col(at).cast("double").alias("_at"), F.col(length).cast("double").alias("_len")).where(F.col(key).isNotNull())
+    hot = cut(items.groupBy(F.col(key).alias("_hot")).count().where(F.col("count") > stretch).select("_hot"))
+    if not hot.isEmpty():
+        of_hot = F.col(key) == F.col("_hot")
+        dealt = dealt_phrases(items.join(hot, of_hot, "left_semi").select(F.col(key).alias("_key"), row, "_at", "_len"), row, (long, gap, most), stretch)
+        rest = phrases(items.join(hot, of_hot, "left_anti"), key, row, "_at", "_len", long=long, gap=gap, most=most, stretch=stretch)
+        return rest.unionByName(dealt.select(F.col("_key").alias(key), row, "phrase"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state, current = None, None

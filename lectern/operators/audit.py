@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 #: rule_id, severity ('E' or 'W'), condition under which a row violates it.
@@ -141,8 +141,36 @@ def render_errors(df: DataFrame, key: str, sources: str, registry: DataFrame, re
     return lost.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["told"]), "; ").alias("error"))
 
 
-def require_none(violations: DataFrame, what: str) -> None:
-    """Raises if there is any violation, as a build does for records without id, dangling works and repeated ids."""
-    first = violations.limit(1).collect()
-    if first:
-        raise ValueError(f"{what}: {first[0]['rule_id']} at {first[0]['key']}")
+def fatal(df: DataFrame, key: str, record_id: str, references: dict[str, tuple[DataFrame, str]], *, suggestion: Column | None = None) -> DataFrame:
+    """df, whose job fails at a row without id, at one of a repeated id, or at a reference without target.
+
+    references: column to its target and the target's key. The checks are expressions of the rows that the
+    caller writes, so nothing is read twice and nothing is collected; they hold wherever df is used. Null references are none.
+    """
+    at = F.concat(F.lit(" at "), F.coalesce(F.col(key).cast("string"), F.lit("?")))
+    wish = F.lit("") if suggestion is None else F.concat(F.lit("; suggested: "), F.coalesce(suggestion, F.lit("?")))
+    out = df.withColumn("_same", F.count("*").over(Window.partitionBy(record_id)))
+    broken = F.when(F.col(record_id).isNull(), F.concat(F.lit("no id"), at, wish)).when(F.col("_same") > 1, F.concat(F.lit("repeated id "), F.col(record_id).cast("string"), at))
+    for i, (column, (target, target_key)) in enumerate(references.items()):
+        out = flagged(out, column, target, target_key, f"_there{i}")
+        broken = broken.when(~F.col(f"_there{i}"), F.concat(F.lit(f"{column} without target"), at))
+    # A filter that needs the verdict can't be dropped by column pruning.
+    return out.where(F.when(broken.isNotNull(), F.raise_error(broken).cast("boolean")).otherwise(True)).select(*df.columns)
+
+
+def observed(violations: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """violations, and what the job that writes them counts on the way: errors, warnings and failed; no second scan."""
+    seen = Observation(name)
+    errors, warnings = F.count_if(F.col("severity") == "E"), F.count_if(F.col("severity") == "W")
+    return violations.observe(seen, errors.alias("errors"), warnings.alias("warnings"), (errors > 0).alias("failed")), seen
+
+
+def verdict(violations: DataFrame) -> DataFrame:
+    """One row: errors, warnings, and whether the run failed, which warnings alone don't make it."""
+    errors = F.count_if(F.col("severity") == "E")
+    return violations.agg(errors.alias("errors"), F.count_if(F.col("severity") == "W").alias("warnings"), (errors > 0).alias("failed"))
+
+
+def suggested_ids(records: DataFrame, key: str, record_id: str, suggestion: Column) -> DataFrame:
+    """V26: (key, suggestion) of records without id."""
+    return records.where(F.col(record_id).isNull()).select(key, suggestion.alias("suggestion"))

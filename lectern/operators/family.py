@@ -96,3 +96,48 @@ def derived_parent(df: DataFrame, key: str, parent: str, group: str, canonical:
 def in_use(families: DataFrame, key: str, members: DataFrame, reference: str) -> DataFrame:
     """Families that a member refers to."""
     return families.join(members.select(F.col(reference).alias(key)).where(F.col(key).isNotNull()), key, "left_semi")
+
+
+def actions(state: DataFrame, assets: DataFrame, rooted: DataFrame, canonical: DataFrame, key: str, new_name: Column, relabel: Column) -> DataFrame:
+    """(key, action, value): what brings families of rows into families of works; nothing where that is done.
+
+    state: key, work, parent, label, asset; assets: work, asset. A family whose members all have a work is left alone. Else its
+    work is its first member's that has one, or new_name (over root and canonical). Actions:
+    'create' (the canonical member; value: the new work), 'promote' (its asset becomes the work's), 'remove' (a member's asset
+    equals the work's), 'set work', 'clear parent', 'relabel' (relabel for a root that another member replaced, null for that member).
+    """
+    of = rooted.where("root is not null").select(key, "root").join(canonical.select("root", "canonical"), "root")
+    rows = state.select(key, "work", "parent", "label", "asset").join(of, key)
+    family = rows.groupBy("root").agg(
+        F.min_by("work", F.when(F.col("work").isNotNull(), F.col(key))).alias("_known"), F.bool_or(F.col("work").isNull()).alias("_open"),
+        F.max(F.when(F.col(key) == F.col("canonical"), F.col("asset"))).alias("_canon"),
+    )
+    rows = rows.join(family.where("_open"), "root").withColumn("_new", F.coalesce("_known", new_name))
+    rows = rows.join(assets.select(F.col("work").alias("_new"), F.col("asset").alias("_held")), "_new", "left")
+    created, first = F.col("_known").isNull(), F.col(key) == F.col("canonical")
+    held = F.when(created, F.col("_canon")).otherwise(F.col("_held"))
+    moves, joins, flipped = created & first & F.col("asset").isNotNull(), F.col("work").isNull(), F.col("canonical") != F.col("root")
+    label = F.when(first, F.lit(None).cast("string")).otherwise(relabel)
+    none = F.lit(None).cast("string")
+    listed = [
+        (created & first, "create", F.col("_new")), (moves, "promote", F.col("asset")), (~moves & F.col("asset").eqNullSafe(held) & F.col("asset").isNotNull(), "remove", F.col("asset")),
+        (joins, "set work", F.col("_new")), (joins & F.col("parent").isNotNull(), "clear parent", none),
+        (joins & flipped & (first | (F.col(key) == F.col("root"))) & ~F.col("label").eqNullSafe(label), "relabel", label),
+    ]
+    found = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(a).alias("action"), v.cast("string").alias("value"))) for c, a, v in listed]))
+    return rows.select(key, F.explode(found).alias("_a")).select(key, "_a.action", "_a.value")
+
+
+def applied(state: DataFrame, assets: DataFrame, done: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """state and assets after the actions (key, action, value); each action is a no-op once it has been carried out."""
+    has = lambda a: F.bool_or(F.col("action") == a)
+    of = lambda a: F.max(F.when(F.col("action") == a, F.col("value")))
+    mine = done.groupBy(key).agg(of("set work").alias("_w"), (has("promote") | has("remove")).alias("_gone"), has("clear parent").alias("_cleared"), has("relabel").alias("_labelled"), of("relabel").alias("_l"), of("create").alias("_c"), of("promote").alias("_p"))
+    out = state.join(mine, key, "left")
+    new = mine.where("_c is not null").select(F.col("_c").alias("work"), F.col("_p").alias("asset"))
+    assets = assets.unionByName(new.join(assets.select("work"), "work", "left_anti").select(*assets.columns))
+    values = {
+        "work": F.coalesce("work", "_w"), "parent": F.when(~F.coalesce("_cleared", F.lit(False)), F.col("parent")),
+        "label": F.when(F.coalesce("_labelled", F.lit(False)), F.col("_l")).otherwise(F.col("label")), "asset": F.when(~F.coalesce("_gone", F.lit(False)), F.col("asset")),
+    }
+    return out.select(*[values[c].alias(c) if c in values else c for c in state.columns]), assets

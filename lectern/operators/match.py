@@ -34,6 +34,23 @@ def prefix_join(left: DataFrame, wanted: str, right: DataFrame, name: str, least
     return short.unionByName(alike).unionByName(within)
 
 
+def prefix_first(left: DataFrame, left_id: str, wanted: str, right: DataFrame, right_id: str, name: str, least: int = 10) -> DataFrame:
+    """(left_id, right_id): the smallest right id among names of ``least`` characters or more that start with wanted, or that wanted starts with.
+
+    Short wanted strings meet the names' first characters, of which each keeps its smallest id alone, so a
+    common beginning is one row; long ones meet names by their first ``least`` characters.
+    """
+    a, b = F.col(wanted), F.col(name)
+    names = right.where(F.char_length(name) >= least).select(F.col(right_id).alias("_r"), b)
+    heads = names.select("_r", F.explode(F.transform(F.sequence(F.lit(1), F.lit(least - 1)), lambda n: F.substring(b, F.lit(1), n))).alias("_p"))
+    heads = heads.groupBy("_p").agg(F.min("_r").alias("_r"))
+    short = left.where((F.char_length(wanted) < least) & (a != "")).join(heads, a == F.col("_p")).select(left_id, "_r")
+    # Equal names keep their smallest id too.
+    firsts = names.groupBy(name).agg(F.min("_r").alias("_r")).withColumn("_p", F.substring(name, 1, least))
+    long = left.where(F.char_length(wanted) >= least).withColumn("_p", F.substring(wanted, 1, least)).join(firsts, "_p").where(a.startswith(b) | b.startswith(a)).select(left_id, "_r")
+    return short.unionByName(long).groupBy(left_id).agg(F.min("_r").alias(right_id))
+
+
 def token_overlap(left: DataFrame, left_id: str, left_text: str, right: DataFrame, right_id: str, right_text: str, least: float = 0.5) -> DataFrame:
     """For each left row the right row with most shared distinct tokens by max(size); ties to the smallest right id.
 
@@ -115,6 +132,21 @@ def as_of(points: DataFrame, slices: DataFrame, keys: list[str], at: str, value:
     return both.where(F.col("_side") == 1 - side).drop("_side", "_v")
 
 
+def as_of_with_fallback(points: DataFrame, slices: DataFrame, bars: DataFrame, keys: list[str], at: str, value: str, name: str, passing) -> DataFrame:
+    """points with the slice at their time; where that is passing and the time is no bar's start, the slice at the bar's start.
+
+    bars: keys and at, the starts of bars. A point before all bars keeps what it has. passing: a condition on a value.
+    """
+    found = as_of(points, slices, keys, at, value, "_first")
+    found = as_of(found, bars.select(*keys, at, F.col(at).alias("_bar")), keys, at, "_bar", "_start")
+    # The second lookup is at the bar's start; points without a bar have no time and find nothing.
+    moved = found.withColumnRenamed(at, "_at").withColumn(at, F.col("_start"))
+    again = as_of(moved.where(F.col("_start").isNotNull()), slices, keys, at, value, "_second")
+    out = again.unionByName(moved.where(F.col("_start").isNull()).withColumn("_second", F.lit(None).cast(slices.schema[value].dataType)))
+    late = passing(F.col("_first")) & F.col("_start").isNotNull() & (F.col("_start") != F.col("_at"))
+    return out.select(*[F.col("_at").alias(c) if c == at else c for c in points.columns], F.when(late, F.col("_second")).otherwise(F.col("_first")).alias(name))
+
+
 def wildcard_join(left: DataFrame, right: DataFrame, keys: list[str], wanted: str, held: str) -> DataFrame:
     """Pairs with equal keys where right's held equals left's wanted or is null; two equality joins instead of an OR."""
     right = right.drop(*[c for c in right.columns if c in left.columns and c not in keys])
@@ -138,13 +170,16 @@ def registry_names(df: DataFrame, key: str, sources: str, registry: DataFrame, r
 HEADING = " — sources & attribution"
 REQUIRED = " (attribution required)"
 PUBLIC_DOMAIN, OWN_TERMS = "License: Public domain.", "License: own terms."
+STATED = "Public-domain source"
 
 
-def attributions(df: DataFrame, key: str, title: str, sources: str, public: str, registry: DataFrame, registry_key: str, name: str, url: str, required: str, labels: dict[str, str]) -> DataFrame:
+def attributions(df: DataFrame, key: str, title: str, sources: str, public: str, registry: DataFrame, registry_key: str, name: str, url: str, required: str, labels: dict[str, str], *, counted: Column | None = None, count_line: str = "", licence_source: Column | None = None) -> DataFrame:
     """(key, rendered, error): the attribution text of each row; where a source is unknown there is no text but an error.
 
     sources: map of assets to registry keys; labels: asset to label, in the order of the lines. A row without sources
     has the title, an empty line and the licence (public: whether it is in the public domain).
+    count_line stands behind the sources of rows for which counted holds. licence_source: registry key of what says that a
+    row is in the public domain; it is named behind the licence, and its lack in the registry is an error after those of assets.
     """
     order = F.array(*map(F.lit, labels))
     names = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
@@ -156,11 +191,19 @@ def attributions(df: DataFrame, key: str, title: str, sources: str, public: str,
     # A row has at most one entry a label.
     parts = F.sort_array(F.collect_list(F.struct(F.array_position(order, F.col("_asset")).alias("at"), told.alias("told"), missing.alias("missing"))))
     lines = found.groupBy(key).agg(parts.alias("_parts"))
-    licence = F.when(F.col(public), PUBLIC_DOMAIN).otherwise(OWN_TERMS)
-    out = df.join(lines, key, "left").withColumn("_errors", F.filter(F.transform("_parts", lambda x: x["missing"]), lambda m: m.isNotNull()))
+    out = df.withColumn("_ls", F.lit(None) if licence_source is None else F.when(F.col(public), licence_source))
+    out = out.withColumn("_counted", F.lit(False) if counted is None else F.coalesce(counted, F.lit(False))).join(lines, key, "left")
+    if licence_source is None:
+        out = out.withColumn("_stated", F.lit("")).withColumn("_unstated", F.lit(None).cast("string"))
+    else:
+        out = out.join(registry.select(F.col(registry_key).alias("_ls"), F.col(name).alias("_ls_name")), "_ls", "left")
+        out = out.withColumn("_stated", F.coalesce(F.concat(F.lit(f" {STATED}: "), "_ls_name", F.lit(".")), F.lit("")))
+        out = out.withColumn("_unstated", F.when(F.col("_ls").isNotNull() & F.col("_ls_name").isNull(), F.concat(F.lit("unknown licence source "), F.col("_ls").cast("string"))))
+    errors = F.filter(F.transform("_parts", lambda x: x["missing"]), lambda m: m.isNotNull())
+    error = F.coalesce(F.try_element_at(errors, F.lit(1)), "_unstated")
     body = F.coalesce(F.array_join(F.transform("_parts", lambda x: F.concat(x["told"], F.lit("\n"))), ""), F.lit(""))
-    text = F.concat(F.col(title), F.lit(f"{HEADING}\n\n"), body, F.lit("\n"), licence, F.lit("\n"))
-    error = F.try_element_at("_errors", F.lit(1))
+    licence = F.when(F.col(public), F.concat(F.lit(PUBLIC_DOMAIN), "_stated")).otherwise(OWN_TERMS)
+    text = F.concat(F.col(title), F.lit(f"{HEADING}\n\n"), body, F.when(F.col("_counted"), f"{count_line}\n").otherwise(""), F.lit("\n"), licence, F.lit("\n"))
     return out.select(key, F.when(error.isNull(), text).alias("rendered"), error.alias("error"))
 
 

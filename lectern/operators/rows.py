@@ -25,6 +25,18 @@ def top_per_key(df: DataFrame, keys: Sequence[str], n: int, *order: Column) -> D
     return _rank(df, keys, order, n)
 
 
+def top_distinct(df: DataFrame, keys: Sequence[str], value: str, n: int, *order: Column) -> DataFrame:
+    """The first n rows of each key after all but the first row of each of its values have gone."""
+    return top_per_key(first_per_key(df, [*keys, value], *order), keys, n, *order)
+
+
+def stale(sources: DataFrame, derived: DataFrame, key: str, changed: str, made: str, force: Column | None = None) -> DataFrame:
+    """Sources whose derivative (key, made) is missing or older than their change; those that force holds for in any case."""
+    out = sources.join(derived.select(key, F.col(made).alias("_made")), key, "left")
+    old = F.col("_made").isNull() | (F.col("_made") < F.col(changed))
+    return out.where(old if force is None else F.coalesce(force, F.lit(False)) | old).drop("_made")
+
+
 def numbered(df: DataFrame, keys: Sequence[str], *order: Column, name: str = "n") -> DataFrame:
     """df with the place of a row among those of its keys, from 1; null keys are keys too.
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import takewhile
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,14 +34,60 @@ def stream_stanzas(words: DataFrame, key: str, verse: str, row: str, at: str, le
     return cut.select(F.col("_unit")[key].alias(key), F.col("_unit.stanza").alias("stanza"), row, F.col("phrase").alias("line"))
 
 
-def _followed(candidates: list[dict], onsets: list[float], ticks: list[float], passes: int, unit: float) -> dict:
-    """The first candidate whose passes can all be followed."""
-    for c in candidates:
-        runs = (monotone_match([c["start"] + n * c["period"] + o for o in onsets], ticks, unit) for n in range(passes))
-        matched = list(takewhile(lambda run: run is not None, runs))
-        if len(matched) == passes:
-            return {**c, "matched": matched}
-    return {"start": None, "period": None, "matched": None}
+class _Ticks:
+    """Follows many passes over one row of ticks at once, as ``monotone_match`` follows one."""
+
+    def __init__(self, ticks: list[float], onsets: list[float], unit: float):
+        self.ticks, self.onsets, self.unit = np.array(ticks, np.float64), onsets, unit
+        self.padded = np.concatenate([self.ticks, [np.inf]])
+
+    def fits(self, begins: np.ndarray) -> np.ndarray:
+        """Which passes can be followed to their last onset; a pass that is lost is not looked at again."""
+        live, shift = np.arange(len(begins)), np.zeros(len(begins))
+        for onset in self.onsets:
+            if not len(live):
+                break
+            wanted = begins[live] + onset
+            expected = wanted + shift
+            behind = np.searchsorted(self.ticks, expected)
+            early, late = self.padded[np.maximum(behind - 1, 0)], self.padded[behind]
+            before = np.where((behind > 0) & (early >= expected - self.unit / 8), expected - early, np.inf)
+            after = np.where(late <= expected + 3 * self.unit, late - expected, np.inf)
+            near = np.minimum(before, after) <= self.unit
+            best = np.where(before <= after, early, late)
+            live, shift = live[near], (best - wanted)[near]
+        out = np.zeros(len(begins), bool)
+        out[live] = True
+        return out
+
+
+def _structure(onsets: list[float] | None, ticks: list[float] | None, starts: list[float] | None, passes: int | None, span: float | None, unit: float | None) -> dict:
+    """The first start, and then the commonest period, whose passes can all be followed.
+
+    A start is looked at only if its first pass can be followed; its periods are
+    then tried together, pass by pass. So memory is one number a period, and the
+    search ends at the first start that has one.
+    """
+    none = {"start": None, "period": None, "matched": None}
+    if not onsets or not ticks or not passes or passes < 1 or span is None or unit is None:
+        return none
+    begins = np.unique(np.array([0.0, *(starts or [])]))
+    if passes == 1:
+        periods = np.zeros(1)
+    else:
+        found, often = np.unique(np.diff(begins), return_counts=True)
+        # No list can have a shorter one.
+        found, often = found[found >= onsets[-1]], often[found >= onsets[-1]]
+        periods = found[np.lexsort((found, -often))]
+    follow, end = _Ticks(ticks, onsets, unit), span + 3 * unit
+    for start in begins[follow.fits(begins)].tolist():
+        open_ = periods[start + (passes - 1) * periods + onsets[-1] <= end]
+        for n in range(1, passes):
+            open_ = open_[follow.fits(start + n * open_)]
+        if len(open_):
+            period = float(open_[0])
+            return {"start": start, "period": period, "matched": [monotone_match([start + n * period + o for o in onsets], ticks, unit) for n in range(passes)]}
+    return none
 
 
 def pass_structure(df: DataFrame, onsets: str, ticks: str, starts: str, passes: Column, span: Column, unit: Column) -> DataFrame:
@@ -52,28 +98,19 @@ def pass_structure(df: DataFrame, onsets: str, ticks: str, starts: str, passes:
     last pass may end three units behind span at most. The first candidate, by start and
     then by period, whose passes all follow the ticks is taken; nulls if there is none, or
     if onsets or ticks are null or empty. All three arrays ascend; one pass needs no period.
+    Candidates are never listed: a row takes memory of its arrays, whatever their number.
     """
     number = "array<double>"
-    s = F.sort_array(F.array_distinct(F.concat(F.array(F.lit(0.0)), F.coalesce(F.col(starts).cast(number), F.array().cast(number)))))
-    work = df.withColumn("_n", passes.cast("int")).withColumn("_u", unit.cast("double")).withColumn("_s", s)
-    work = work.withColumn("_o", F.coalesce(F.col(onsets).cast(number), F.array().cast(number))).withColumn("_t", F.coalesce(F.col(ticks).cast(number), F.array().cast(number)))
-    steps = F.filter(F.transform("_s", lambda x, i: F.get("_s", i + 1) - x), lambda d: d.isNotNull())
-    work = work.withColumn("_d", steps)
-    ranked = F.sort_array(F.transform(F.array_distinct("_d"), lambda p: F.struct((-F.size(F.filter("_d", lambda d: d == p))).alias("n"), p.alias("p"))))
-    work = work.withColumn("_p", F.when(F.col("_n") > 1, F.transform(ranked, lambda r: r["p"])).otherwise(F.array(F.lit(0.0))))
-    last, end = F.element_at("_o", -1), span.cast("double") + 3 * F.col("_u")
-    fits = lambda c: ((F.col("_n") == 1) | (c["period"] >= last)) & (c["start"] + (F.col("_n") - 1) * c["period"] + last <= end)
-    grid = F.flatten(F.transform("_s", lambda x: F.transform("_p", lambda p: F.struct(x.alias("start"), p.alias("period")))))
-    usable = (F.size("_o") > 0) & (F.size("_t") > 0) & (F.col("_n") > 0)
-    work = work.withColumn("_c", F.when(usable, F.filter(grid, fits)).otherwise(F.array().cast("array<struct<start:double,period:double>>")))
-    work = work.select(*df.columns, "_c", "_o", "_t", F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_u", F.lit(0.0)).alias("_u"))
+    given = [F.col(onsets).cast(number), F.col(ticks).cast(number), F.col(starts).cast(number), passes.cast("int"), span.cast("double"), unit.cast("double")]
+    names = [f"_{i}" for i in range(len(given))]
+    work = df.select(*df.columns, *(c.alias(name) for c, name in zip(given, names, strict=True)))
     found = pa.struct([("start", pa.float64()), ("period", pa.float64()), ("matched", pa.list_(pa.list_(pa.float64())))])
     n = len(df.columns)
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = [batch.column(i).to_pylist() for i in range(n, n + 5)]
-            out = pa.array([_followed(*row) for row in zip(*given, strict=True)], found)
+            rows = zip(*(batch.column(i).to_pylist() for i in range(n, n + len(names))), strict=True)
+            out = pa.array([_structure(*row) for row in rows], found)
             columns = [*batch.columns[:n], *out.flatten()]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:n], "start", "period", "matched"])
 

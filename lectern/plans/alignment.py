@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.operators import align, dedupe, family, match, sequence
+from lectern.operators import align, dedupe, family, match, sequence, similar
 from lectern.plans.catalogue import _KEY
 from lectern.plans.ordered import _ROOTS, _pointers
 from lectern.plans.registry import Tables, query
@@ -17,6 +17,8 @@ def _sentences(t: Tables) -> DataFrame:
     """(doc_id, n, words, heard): the sentences of each document and, as if heard, with changes: words lost, split and misspelt."""
     d = t.documents.select("doc_id", F.posexplode(F.split("text", "[.\n]+")).alias("n", "sentence"))
     d = d.select("doc_id", "n", F.filter(F.split(X.key_folded(F.col("sentence")), " "), lambda w: w != "").alias("words")).where(F.size("words") > 0)
+    # Folding a sentence is dear and its words are used many times.
+    d = family.cut(d)
 
     def heard(w, i):
         at = (i + F.col("n")) % 11
@@ -55,14 +57,19 @@ def _streams(t: Tables) -> DataFrame:
     return d.select("doc_id", lines.alias("lines"), F.create_map(F.lit(1), of(1), F.lit(2), of(2)).alias("streams"))
 
 
-@query(f"""with s as (select doc_id, p, unnest(range(0, len(p))) as n from (select doc_id, string_split_regex(text, '[.\\n]+') as p from documents)),
+_PAIRS = f"""s as (select doc_id, p, unnest(range(0, len(p))) as n from (select doc_id, string_split_regex(text, '[.\\n]+') as p from documents)),
     w as (select doc_id, n, list_filter(string_split({_KEY.format("strip_accents(p[n + 1])")}, ' '), lambda x: x <> '') as words from s),
     h as (select *, case when n % 3 = 0 then words else list_filter(flatten(list_transform(words, lambda x, i: case (i - 1 + n) % 11 when 3 then [x, 'and'] when 6 then [x[1:2], x[3:]] when 9 then [x || 's'] else [x] end)), lambda x: x <> '') end as heard from w where len(words) > 0),
-    t as (select doc_id, n::int as n, array_to_string(words[1:10], '') as a, array_to_string(heard[1:14], '') as b from h), f as (select *, left(b, length(a) + 10) as front from t)
-    select doc_id, n, contains(b, a) or 1 - levenshtein(a, front)::double / (length(a) + length(front)) > 0.8 as agree from f""")
+    t as (select doc_id, n::int as n, array_to_string(words[1:10], '') as a, array_to_string(heard[1:14], '') as b from h)"""
+
+
+@query(f"""with recursive {_PAIRS}, f as (select *, left(b, length(a) + 10) as front, contains(b, a) as inside from t),
+    open as (select doc_id || ' ' || n as id, a, front from f where not inside and 2.0::double * least(length(a), length(front)) / (length(a) + length(front)) > 0.8),
+    {similar.ratio_sql("open", "id", "a", "front")}
+    select doc_id, n, inside or coalesce(ratio > 0.8, false) as agree from f left join likeness on id = doc_id || ' ' || n""")
 def text_identity(t: Tables) -> DataFrame:
     s = _sentences(t).select("doc_id", "n", F.array_join(F.slice("words", 1, 10), "").alias("a"), F.array_join(F.slice("heard", 1, 14), "").alias("b"))
-    return align.texts_agree(s, "a", "b").select("doc_id", "n", "agree")
+    return similar.texts_agree(s, "a", "b").select("doc_id", "n", "agree")
 
 
 _ITEMS = "select user_id as unit, event_id as id, epoch_us(ts)::double / 3600000000 as tm, value / 100 as len from events"

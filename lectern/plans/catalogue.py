@@ -99,7 +99,9 @@ def credit_label(t: Tables) -> DataFrame:
 
 
 _VISIBLE = "regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g')"
-_DECODED = f"replace(replace(replace(replace(replace(replace({_VISIBLE}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+_DECODED = _VISIBLE
+for _entity, _plain in X._ENTITIES:
+    _DECODED = f"replace({_DECODED}, '{_entity}', '{_plain.replace(chr(39), chr(39) * 2)}')"
 
 
 @query(f"select page_id, trim(regexp_replace({_DECODED}, '[\\s\\x{{00A0}}]+', ' ', 'g')) as visible from pages")

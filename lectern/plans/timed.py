@@ -62,7 +62,7 @@ def micros(x: Column) -> Column:
 
 @query(f"""with recursive e as (select user_id, event_type, (epoch_us(ts) - min(epoch_us(ts)) over (partition by user_id))::double / 1000000 as tm from events),
     u as (select user_id, list_sort(list_distinct(list(tm))) as ticks, list_sort(list_distinct(list_append(coalesce(list(tm) filter (event_type = 'signup'), []), 0::double))) as starts,
-        list_sort(list_distinct(list(tm) filter (event_type = 'click')))[1:3] as clicks, max(tm) as span from e group by 1),
+        list_filter(list_sort(list_distinct(list(tm) filter (event_type = 'click'))), lambda x: x <= max(tm) / 4) as clicks, max(tm) as span from e group by 1),
     o as (select *, list_transform(clicks, lambda x: x - clicks[1]) as onsets from u where len(clicks) > 0),
     d as (select user_id, starts[i + 1] - starts[i] as period, count(*) as often from (select user_id, starts, unnest(range(1, len(starts))) as i from o) group by 1, 2),
     s as (select user_id, ticks, onsets, span, unnest(starts) as start from o),
@@ -73,7 +73,7 @@ def micros(x: Column) -> Column:
     best as (select *, row_number() over (partition by user_id order by start, often desc, period) as r from whole)
     select u.user_id, start, period, matched from u left join (select * from best where r = 1) b using (user_id)""")
 def pass_structure(t: Tables) -> DataFrame:
-    """Where a user's first three clicks are repeated: two passes, begun at sign-ups, on the ticks of all events."""
+    """Where a user's clicks of the first quarter are repeated: two passes, begun at sign-ups, on the ticks of all events."""
     from pyspark.sql import Window
 
     at = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -82,7 +82,8 @@ def pass_structure(t: Tables) -> DataFrame:
     def times(kind: str) -> Column:
         return F.array_sort(F.collect_set(F.when(F.col("event_type") == kind, F.col("at"))))
 
-    u = e.groupBy("user_id").agg(F.array_sort(F.collect_set("at")).alias("ticks"), times("signup").alias("starts"), F.slice(times("click"), 1, 3).alias("clicks"), F.max("at").alias("span"))
+    u = e.groupBy("user_id").agg(F.array_sort(F.collect_set("at")).alias("ticks"), times("signup").alias("starts"), times("click").alias("clicks"), F.max("at").alias("span"))
+    u = u.withColumn("clicks", F.filter("clicks", lambda x: x <= F.col("span") / 4))
     u = u.withColumn("onsets", F.transform("clicks", lambda x: x - F.get("clicks", F.lit(0))))
     found = timing.pass_structure(u, "onsets", "ticks", "starts", F.lit(2), F.col("span"), F.lit(_HALF_DAY))
     return found.select("user_id", "start", "period", F.array_join(F.transform("matched", lambda run: F.array_join(F.transform(run, micros), ",")), ";").alias("matched"))

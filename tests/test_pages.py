@@ -33,7 +33,8 @@ def test_extraction_job(spark):
     stanzas = {r["page_id"]: r["body"] for r in QUERIES["page_stanzas"](spark, SF).collect()}
     keyed = spark.createDataFrame([(k, r["title"], stanzas[k]) for k, r in got.items()], "i long, t string, b string")
     keyed = keyed.select("i", X.key_unicode(F.col("t")).alias("a"), X.key_unicode(X.first_line(F.col("b"))).alias("b")).orderBy("i").collect()
-    seen = set()
+    had = Tables(spark, SF).documents.select(X.key_unicode(F.split_part("text", F.lit("\n"), F.lit(1))).alias("k"))
+    seen = {r["k"] for r in had.collect()} - {None, ""}
     for r in keyed:
         if got[r["i"]]["outcome"] in ("accepted", "duplicate"):
             keys = {r["a"], r["b"]} - {None, ""}
@@ -62,3 +63,7 @@ def test_extraction_outcomes_and_records(spark):
     assert tuple(got[3][c] for c in fields) == ("Au Thor · tr. Tr Ans", 1930, "Old song", "French translation · tr. Tr Ans, 1930", "joy", "Eb", 90, "3/4")
     assert tuple(got[5][c] for c in fields) == ("X Y", 1600, "Other", "French original · X Y", "x", "C", 60, None)
     assert (got[1]["writer"], got[1]["parent"], got[2]["writer"]) == ("Anonymous", None, None)
+    # What the catalogue has, by title or first line, counts as seen, for pages behind the year limit too.
+    seen = spark.createDataFrame([("b", "x"), ("y", "SIX"), ("c", None)], "title string, first string")
+    got = {r["page_id"]: r["outcome"] for r in extraction.extracted(pages, catalogue, index, seen).collect()}
+    assert [got[i] for i in range(10)] == ["notice", "duplicate", "duplicate", "duplicate", "duplicate", "duplicate", "no title", "no corpus", "no stanzas", "accepted"]

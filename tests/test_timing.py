@@ -1,6 +1,7 @@
 """Stanzas from streams, the structure of passes, timed documents and attempts, by small cases."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -45,6 +46,24 @@ def test_pass_structure(spark):
     assert 20 < sum(v[0] is not None for v in want.values()) < 145
 
 
+def test_pass_structure_of_thousands_of_starts(spark):
+    """Five thousand starts, all their distances, none or the last of which holds: seconds and no list of candidates."""
+    rng = random.Random(11)
+    starts = sorted(rng.sample(range(1, 4_000_000), 5000))
+    ticks = sorted(rng.sample(range(4_000_000), 3000))
+    onsets = [0.0, 40.0, 95.0, 160.0, 300.0]
+    base, period = float(starts[4990]), float(starts[4991] - starts[4990])
+    onsets = [o * period / 301 for o in onsets]
+    planted = sorted({*map(float, ticks), *(base + n * period + o for n in (0, 1) for o in onsets)})
+    df = spark.createDataFrame([(1, onsets, planted, [float(s) for s in starts]), (2, onsets, [float(t) for t in ticks], [float(s) for s in starts])], "i int, o array<double>, t array<double>, s array<double>")
+    began = time.time()
+    got = {r["i"]: r for r in timing.pass_structure(df, "o", "t", "s", F.lit(2), F.lit(5e6), F.lit(3.0)).collect()}
+    assert time.time() - began < 60 and got[1]["start"] is not None and got[1]["start"] <= base
+    for r in got.values():
+        if r["start"] is not None:
+            assert r["matched"] == [align.monotone_match([r["start"] + n * r["period"] + o for o in onsets], planted if r["i"] == 1 else [float(t) for t in ticks], 3.0) for n in (0, 1)]
+
+
 def test_timed_documents(spark):
     words = [("a", 1, "Verse 1", 1, 0, 0, "one", 0, 0, 100), ("a", 1, "Verse 1", 1, 0, 1, "two", 100, 200, 50), ("a", 2, "Chorus", None, 0, 0, "all", 300, 300, 100), ("a", 3, "Verse 2", 2, 0, 0, "next", 0, 0, 100), ("gap", 1, "Verse 2", 2, 0, 0, "x", 0, 0, 1)]
     words += [(k, 1, "Verse 1", None, 0, i, "w", i * 100, i * 100, 10) for k in ("late", "back", "lost") for i in (0, 1)]
