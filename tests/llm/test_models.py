@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 from conftest import SF
@@ -232,3 +233,51 @@ def test_reshard_keeps_clashing_columns(spark):
     placed = reshard.assign(rows, 3, old="old", position="position", size="size")
     assert placed.columns == [*rows.columns, "shard", "slot"]
     assert {tuple(r[-4:-2]) for r in placed.collect()} == {(-1, -2)}
+
+
+def cut_up(word):
+    """All segmentations of a word."""
+    if not word:
+        return [[]]
+    return [[word[:n], *rest] for n in range(1, len(word) + 1) for rest in cut_up(word[n:])]
+
+
+def fitted_by_hand(rows, path, rounds):
+    """Expectation maximisation over listed segmentations, texts one by one."""
+    pieces = langid.Pieces.shared(path)
+    langs = sorted({lang for _, lang in rows})
+    number = lambda piece: pieces.number.get(piece, int(len(piece) == 1))
+    p = np.full((pieces.size, len(langs)), 1.0 / pieces.size)
+    p[0] = 0
+    for _ in range(rounds):
+        counts = np.full(p.shape, langid.SMOOTHING)
+        for text, lang in dict.fromkeys(rows):
+            at = langs.index(lang)
+            for words in langid.words_of(text):
+                for w in words:
+                    ways = [[number(x) for x in way] for way in cut_up(langid._EDGE + w)]
+                    weights = [float(np.prod([p[i, at] for i in way])) for way in ways]
+                    for way, weight in zip(ways, weights, strict=True):
+                        for i in way:
+                            counts[i, at] += weight / sum(weights)
+        counts[0] = 0
+        p = counts / counts.sum(axis=0)
+    return langs, p
+
+
+def test_language_fit_against_listed_segmentations(spark):
+    path = PIECES
+    rows = [("the cat sat", "en"), ("the cat sat", "en"), ("le chat a été", "fr"), ("a hat, the hat", "en"), ("ça va", "fr"), ("ж", "ru"), ("", "en")]
+    df = spark.createDataFrame([*rows, (None, "en"), ("no language", None)], "text string, lang string")
+    langs, probability = langid.fit(df, path, rounds=2)
+    want_langs, want = fitted_by_hand(rows, path, 2)
+    assert langs == want_langs and np.allclose(probability, want, rtol=1e-9, atol=1e-15)
+
+
+def test_language_ties_go_to_the_first(spark):
+    """Two languages with the same texts: the first by name, at one half."""
+    path = PIECES
+    df = spark.createDataFrame([("one two", "b"), ("one two", "a")], "text string, lang string")
+    langs, probability = langid.fit(df, path, rounds=2)
+    out, (name, score) = langid.predicted(df, langs, probability, path)
+    assert {(r[name], round(r[score], 9)) for r in out.collect()} == {("a", 0.5)}
