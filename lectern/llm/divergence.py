@@ -38,7 +38,9 @@ from lectern.llm import kit, spans
 
 #: Terms are runs of ASCII letters and anything beyond ASCII.
 TERM = kit.word_class(bytes(b for b in range(0x80) if not chr(b).isalpha()))
-CHUNK = 8 << 20
+CHUNK = 6 << 20
+#: Rows that a task hands on at once.
+ROWS = 1 << 16
 LEAST_DOCS, TOP_TERMS, SCALE = 10, 10, 1_000_000_000
 COLUMNS, BAND, LEAF = 1024, 256, 32
 
@@ -60,7 +62,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wide = len(words)
             by_doc, n = spans.summed(doc * wide + ids, np.ones(len(ids)))
             key, total, docs = spans.summed(group_of[first + by_doc // wide] * wide + by_doc % wide, n, np.ones(len(n)))
-            yield _rows(listed, key // wide, spans.as_text(words.take(pa.array(key % wide))), total, docs)
+            for lo in range(0, len(key), ROWS):
+                some = slice(lo, lo + ROWS)
+                yield _rows(listed, key[some] // wide, spans.as_text(words.take(pa.array(key[some] % wide))), total[some], docs[some])
 
 
 def _rows(groups: list[tuple[str, str]], at: np.ndarray, terms: pa.Array, n: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
