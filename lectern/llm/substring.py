@@ -1,6 +1,11 @@
 """Substring deduplication by counted Rabin-Karp windows.
 
-Every run of ``width`` words of every text gets a 64-bit Rabin-Karp hash.
+Every run of ``width`` words of every text gets a Rabin-Karp key of 96 bits: a
+64-bit hash, and 32 bits of a second one over other codes of the words. Among
+10^13 windows (100 TB) less than one in a thousand such corpora holds two that
+share a key; a 64-bit hash alone would be shared by some millions. Words with
+one 64-bit code (some hundred pairs among 10^11 different words) count as equal,
+which matters only where the other words of a window are the same.
 A shard (some megabytes of text) keeps each hash once, with the smallest
 document that starts it there, and deals the hashes out to buckets as packed
 arrays. The bucket counts the shards' entries of a hash; all but the one with
@@ -8,7 +13,7 @@ the smallest document are repeats. What repeats goes back to its document as a
 list of hashes, and the document's repeated windows merge into maximal removal
 intervals.
 
-Scale: 8 bytes a word cross the network once (document numbers are byte planes
+Scale: 12 bytes a word cross the network once (document numbers are byte planes
 that compress), a window that fills a third of the corpus reaches its bucket
 once per shard, and buckets and their tasks grow in number with the corpus.
 
@@ -25,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,13 +45,42 @@ BUCKET_BYTES, LEAST_BUCKETS, TOGETHER = 16 << 20, 256, 4
 _REPEATS = "doc long, hashes binary"
 
 
-def _doc_windows(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window hashes of all texts, the text of each, and the word counts."""
+#: Turns the words' codes into others, for the second hash of a window.
+_OTHER = np.uint64(0xA0761D6478BD642F)
+
+
+def _window_keys(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of every run of width words: 64 bits, and 32 bits over other codes."""
+    check = kit.window_hashes(kit.mixed(words ^ _OTHER), width) >> np.uint64(32)
+    return kit.window_hashes(words, width), check.astype(np.uint32)
+
+
+def _doc_windows(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (hash, check) of all texts' windows, the text of each, and the word counts."""
     words, counts = kit.word_hashes(texts)
-    hashes = kit.window_hashes(words, width)
+    hashes, checks = _window_keys(words, width)
     doc = np.repeat(np.arange(len(counts)), counts)[: len(hashes)]
     inside = np.repeat(np.cumsum(counts), counts)[: len(hashes)] - np.arange(len(hashes)) >= width
-    return hashes[inside], doc[inside], counts
+    return hashes[inside], checks[inside], doc[inside], counts
+
+
+def _packed(hashes: np.ndarray, checks: np.ndarray) -> bytes:
+    return hashes.tobytes() + checks.tobytes()
+
+
+def _unpacked(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of several packed pieces, one after the other."""
+    sizes = [len(x) // 12 for x in pieces]
+    hashes = [np.frombuffer(x, np.uint64, n) for x, n in zip(pieces, sizes, strict=True)]
+    checks = [np.frombuffer(x, np.uint32, n, 8 * n) for x, n in zip(pieces, sizes, strict=True)]
+    return np.concatenate(hashes or [np.empty(0, np.uint64)]), np.concatenate(checks or [np.empty(0, np.uint32)])
+
+
+def _as_before(hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+    """Which keys equal the one before them."""
+    same = np.zeros(len(hashes), bool)
+    same[1:] = (hashes[1:] == hashes[:-1]) & (checks[1:] == checks[:-1])
+    return same
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -57,12 +92,11 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
-def _entries(hashes: np.ndarray, docs: np.ndarray, buckets: int, salt: int) -> Iterator[dict]:
-    """A shard's rows: its smallest document of each hash by bucket, and what it has already found to repeat."""
-    order = np.lexsort((docs, hashes))
-    hashes, docs = hashes[order], docs[order]
-    same = np.zeros(len(hashes), bool)
-    same[1:] = hashes[1:] == hashes[:-1]
+def _entries(hashes: np.ndarray, checks: np.ndarray, docs: np.ndarray, buckets: int, salt: int) -> Iterator[dict]:
+    """A shard's rows: its smallest document of each key by bucket, and what it has already found to repeat."""
+    order = np.lexsort((docs, checks, hashes))
+    hashes, checks, docs = hashes[order], checks[order], docs[order]
+    same = _as_before(hashes, checks)
     fresh = np.zeros(len(hashes), bool)
     fresh[1:] = same[1:] & (docs[1:] == docs[:-1])
     # Later windows of the smallest document are its own affair; later documents are repeats.
@@ -70,14 +104,14 @@ def _entries(hashes: np.ndarray, docs: np.ndarray, buckets: int, salt: int) -> I
     smallest = np.repeat(docs[start], np.diff(np.append(start, len(hashes))))
     repeat = (docs != smallest) & ~fresh
     if repeat.any():
-        yield {"bucket": salt % buckets, "decided": True, "hashes": hashes[repeat].tobytes(), "docs": _planes(docs[repeat])}
-    hashes, docs = hashes[start], docs[start]
+        yield {"bucket": salt % buckets, "decided": True, "hashes": _packed(hashes[repeat], checks[repeat]), "docs": _planes(docs[repeat])}
+    hashes, checks, docs = hashes[start], checks[start], docs[start]
     bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
     order = np.lexsort((docs, bucket))
-    hashes, docs, bucket = hashes[order], docs[order], bucket[order]
+    hashes, checks, docs, bucket = hashes[order], checks[order], docs[order], bucket[order]
     at = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + np.uint64(1)))
     for a, b in zip(at.tolist(), [*at[1:].tolist(), len(bucket)], strict=True):
-        yield {"bucket": int(bucket[a]), "decided": False, "hashes": hashes[a:b].tobytes(), "docs": _planes(docs[a:b])}
+        yield {"bucket": int(bucket[a]), "decided": False, "hashes": _packed(hashes[a:b], checks[a:b]), "docs": _planes(docs[a:b])}
 
 
 _ENTRY = pa.schema([("bucket", pa.int64()), ("decided", pa.bool_()), ("hashes", pa.binary()), ("docs", pa.binary())])
@@ -85,19 +119,21 @@ _ENTRY = pa.schema([("bucket", pa.int64()), ("decided", pa.bool_()), ("hashes",
 
 def _shard_entries(width: int, buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, docs, held = [], [], 0
+        hashes, checks, docs, held = [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if hashes and sum(map(len, hashes)):
-                h, d = np.concatenate(hashes), np.concatenate(docs)
-                yield pa.RecordBatch.from_pylist(list(_entries(h, d, buckets, int(h[0] >> np.uint64(8)))), _ENTRY)
+                h, c, d = np.concatenate(hashes), np.concatenate(checks), np.concatenate(docs)
+                yield pa.RecordBatch.from_pylist(list(_entries(h, c, d, buckets, int(h[0] >> np.uint64(8)))), _ENTRY)
             hashes.clear()
+            checks.clear()
             docs.clear()
 
         for batch in batches:
             for part, texts in kit.cut(batch, "text"):
-                h, doc, _ = _doc_windows(texts, width)
+                h, c, doc, _ = _doc_windows(texts, width)
                 hashes.append(h)
+                checks.append(c)
                 docs.append(part.column("doc").to_numpy(zero_copy_only=False)[doc])
                 held += sum(len(t or b"") for t in texts)
                 if held >= SHARD_BYTES:
@@ -108,34 +144,33 @@ def _shard_entries(width: int, buckets: int):
     return work
 
 
-def _by_doc(hashes: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+def _by_doc(hashes: np.ndarray, checks: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(docs, kind="stable")
-    hashes, docs = hashes[order], docs[order]
+    hashes, checks, docs = hashes[order], checks[order], docs[order]
     at = np.flatnonzero(np.diff(docs, prepend=docs[:1] - 1)) if len(docs) else np.empty(0, np.int64)
     ends = [*at[1:].tolist(), len(docs)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(docs[at], pa.int64()), pa.array([hashes[a:b].tobytes() for a, b in zip(at.tolist(), ends, strict=len(at) > 0)], pa.binary())], ["doc", "hashes"]
+        [pa.array(docs[at], pa.int64()), pa.array([_packed(hashes[a:b], checks[a:b]) for a, b in zip(at.tolist(), ends, strict=len(at) > 0)], pa.binary())], ["doc", "hashes"]
     )
 
 
 def _bucket_repeats(table: pa.Table) -> pa.Table:
-    """All entries of a bucket but the smallest document of each hash, by document."""
-    decided = table.column("decided").to_pylist()
-    hashes = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-    docs = [_from_planes(x) for x in table.column("docs").to_pylist()]
-    out = [(h, d) for h, d, done in zip(hashes, docs, decided, strict=True) if done]
-    rest = [(h, d) for h, d, done in zip(hashes, docs, decided, strict=True) if not done]
-    if rest:
-        h, d = np.concatenate([x for x, _ in rest]), np.concatenate([x for _, x in rest])
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        start = np.flatnonzero(np.diff(h, prepend=h[:1] - np.uint64(1)))
-        n = np.diff(np.append(start, len(h)))
-        later = d != np.repeat(np.minimum.reduceat(d, start), n)
-        out.append((h[later], d[later]))
-    if not out:
-        return pa.Table.from_batches([_by_doc(np.empty(0, np.uint64), np.empty(0, np.int64))])
-    return pa.Table.from_batches([_by_doc(np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out]))])
+    """All entries of a bucket but the smallest document of each key, by document."""
+
+    def entries(decided: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        part = table.filter(pc.equal(table.column("decided"), decided))
+        docs = [_from_planes(x) for x in part.column("docs").to_pylist()]
+        return *_unpacked(part.column("hashes").to_pylist()), np.concatenate(docs or [np.empty(0, np.int64)])
+
+    h, c, d = entries(False)
+    if len(h):
+        order = np.lexsort((c, h))
+        h, c, d = h[order], c[order], d[order]
+        start = np.flatnonzero(~_as_before(h, c))
+        later = d != np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(h))))
+        h, c, d = h[later], c[later], d[later]
+    out = [np.concatenate(x) for x in zip(entries(True), (h, c, d), strict=True)]
+    return pa.Table.from_batches([_by_doc(*out)])
 
 
 def _number(doc_id: str, text: str):
@@ -144,7 +179,7 @@ def _number(doc_id: str, text: str):
 
 
 def repeated_windows(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(doc, hashes): for each document the windows that also start in a smaller document, packed as 64-bit hashes."""
+    """(doc, hashes): for each document the windows that also start in a smaller document, as packed keys."""
     pairs = docs.select(_number(doc_id, text).alias("doc"), F.col(text).alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(LEAST_BUCKETS, size // BUCKET_BYTES))
@@ -158,19 +193,31 @@ def _intervals(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def _among(hashes: np.ndarray, checks: np.ndarray, other_hashes: np.ndarray, other_checks: np.ndarray) -> np.ndarray:
+    """Which keys are among the others."""
+    h, c = np.concatenate([hashes, other_hashes]), np.concatenate([checks, other_checks])
+    order = np.lexsort((c, h))
+    run = np.empty(len(h), np.int64)
+    run[order] = np.cumsum(~_as_before(h[order], c[order]))
+    asked = np.zeros(len(h) + 1, bool)
+    asked[run[len(hashes) :]] = True
+    return asked[run[: len(hashes)]]
+
+
 def removed_words(texts: list[bytes | None], repeats: list[list[bytes] | None], width: int) -> Iterator[tuple[int, np.ndarray | None]]:
     """For each text its number of words and which of them are covered by a repeated window (None: none are)."""
-    hashes, doc, counts = _doc_windows(texts, width)
+    hashes, checks, doc, counts = _doc_windows(texts, width)
     bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
     # The first start of each window inside its own text; the others repeat it.
-    order = np.lexsort((hashes, doc))
+    order = np.lexsort((checks, hashes, doc))
     again = np.zeros(len(hashes), bool)
     if len(hashes):
-        again[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+        again[order[1:]] = _as_before(hashes[order], checks[order])[1:] & (doc[order[1:]] == doc[order[:-1]])
     for i, n in enumerate(counts.tolist()):
-        own, gone = hashes[bounds[i] : bounds[i + 1]], again[bounds[i] : bounds[i + 1]]
-        if repeats[i] and len(own):
-            gone = gone | np.isin(own, np.frombuffer(b"".join(repeats[i]), np.uint64))
+        own = slice(bounds[i], bounds[i + 1])
+        gone = again[own]
+        if repeats[i] and len(gone):
+            gone = gone | _among(hashes[own], checks[own], *_unpacked(repeats[i]))
         if not gone.any():
             yield n, None
             continue
@@ -193,7 +240,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, width: int) -> tuple[DataFr
     found = kit.written(repeated_windows(docs, doc_id=doc_id, text=text, width=width), "repeats")
     key = kit.free_name(docs, "repeats_doc")
     found = found.select(F.col("doc").alias(key), F.col("hashes").alias(name))
-    return docs.join(found.hint("shuffle_hash"), _number(doc_id, text) == F.col(key), "left").drop(key), name
+    return docs.join(found, _number(doc_id, text) == F.col(key), "left").drop(key), name
 
 
 def removal_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:

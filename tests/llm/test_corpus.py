@@ -1,6 +1,8 @@
 """Decontamination, near duplicates, repeated passages and line quality against brute force."""
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from lectern.llm import decontaminate, linequality, neardup, queries, substring
@@ -146,6 +148,42 @@ def test_repeat_edges(spark, edges, edge_rows, empty):
     assert {r[0]: r[1] for r in substring.removal_report(nulls).select("doc_id", "n_removed").collect()} == {None: 30, 3: 29}
 
 
+def _repeats_in_process(rows, shards, buckets=8):
+    """The functions that tasks run, one after the other: shards, buckets, documents."""
+    entries = []
+    for shard in shards:
+        h, c, doc, _ = substring._doc_windows([t.encode() for _, t in shard], substring.WIDTH)
+        entries += substring._entries(h, c, np.array([d for d, _ in shard])[doc], buckets, 3)
+    found = {}
+    for b in range(buckets):
+        mine = [e for e in entries if e["bucket"] == b]
+        if mine:
+            for r in substring._bucket_repeats(pa.Table.from_pylist(mine, substring._ENTRY)).to_pylist():
+                found.setdefault(r["doc"], []).append(r["hashes"])
+    texts = [t.encode() for _, t in rows]
+    removed = substring.removed_words(texts, [found.get(d) for d, _ in rows], substring.WIDTH)
+    return {d: (n, int(gone.sum()) if gone is not None else 0, brute.sha(substring.kept_words(t, gone).decode())) for (d, _), t, (n, gone) in zip(rows, texts, removed, strict=True)}
+
+
+def test_windows_that_share_a_hash_stay_apart(monkeypatch):
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in rng.integers(0, 50, 60))
+    rows = [(d, " ".join(f"w{i}" for i in rng.integers(0, 3000, rng.integers(5, 90))) + (f" {passage} {passage}" if d % 7 == 0 else "")) for d in range(120)]
+    expected = brute.repeats(rows)
+    shards = [rows[i::4] for i in range(4)]
+    assert _repeats_in_process(rows, shards) == expected
+    whole = substring._window_keys
+
+    def narrowed(words, width):  # 16 values of the first hash for some 6,000 windows
+        hashes, checks = whole(words, width)
+        return (hashes >> np.uint64(60)) << np.uint64(40), checks
+
+    monkeypatch.setattr(substring, "_window_keys", narrowed)
+    assert _repeats_in_process(rows, shards) == expected
+    monkeypatch.setattr(substring, "_window_keys", lambda w, n: (narrowed(w, n)[0], narrowed(w, n)[1] * np.uint32(0)))
+    assert _repeats_in_process(rows, shards) != expected  # without the second hash, other windows count as repeats
+
+
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_line_quality_matches_brute_force(spark, sf):
     rows = [(r["doc_id"], r["source"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
