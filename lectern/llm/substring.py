@@ -92,9 +92,19 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
+def _ordered(hashes: np.ndarray, *then: np.ndarray) -> np.ndarray:
+    """Positions in order of hashes, equal ones by the other columns; only hashes that repeat are sorted by these."""
+    order = np.argsort(hashes)
+    h = hashes[order]
+    same = h[1:] == h[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False)) if len(h) else np.empty(0, np.int64)
+    order[tied] = order[tied][np.lexsort((*(x[order[tied]] for x in reversed(then)), h[tied]))]
+    return order
+
+
 def _entries(hashes: np.ndarray, checks: np.ndarray, docs: np.ndarray, buckets: int, salt: int) -> Iterator[dict]:
     """A shard's rows: its smallest document of each key by bucket, and what it has already found to repeat."""
-    order = np.lexsort((docs, checks, hashes))
+    order = _ordered(hashes, checks, docs)
     hashes, checks, docs = hashes[order], checks[order], docs[order]
     same = _as_before(hashes, checks)
     fresh = np.zeros(len(hashes), bool)
@@ -104,17 +114,18 @@ def _entries(hashes: np.ndarray, checks: np.ndarray, docs: np.ndarray, buckets:
     smallest = np.repeat(docs[start], np.diff(np.append(start, len(hashes))))
     repeat = (docs != smallest) & ~fresh
     if repeat.any():
-        yield {"bucket": salt % buckets, "decided": True, "hashes": _packed(hashes[repeat], checks[repeat]), "docs": _planes(docs[repeat])}
+        yield {"bucket": salt % buckets, "decided": True, "hashes": _planes(hashes[repeat]), "checks": checks[repeat].tobytes(), "docs": _planes(docs[repeat])}
     hashes, checks, docs = hashes[start], checks[start], docs[start]
-    bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
+    # By the leading bits, so that the high bytes of a bucket's hashes are alike and compress.
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     order = np.lexsort((docs, bucket))
     hashes, checks, docs, bucket = hashes[order], checks[order], docs[order], bucket[order]
     at = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + np.uint64(1)))
     for a, b in zip(at.tolist(), [*at[1:].tolist(), len(bucket)], strict=True):
-        yield {"bucket": int(bucket[a]), "decided": False, "hashes": _packed(hashes[a:b], checks[a:b]), "docs": _planes(docs[a:b])}
+        yield {"bucket": int(bucket[a]), "decided": False, "hashes": _planes(hashes[a:b]), "checks": checks[a:b].tobytes(), "docs": _planes(docs[a:b])}
 
 
-_ENTRY = pa.schema([("bucket", pa.int64()), ("decided", pa.bool_()), ("hashes", pa.binary()), ("docs", pa.binary())])
+_ENTRY = pa.schema([("bucket", pa.int64()), ("decided", pa.bool_()), ("hashes", pa.binary()), ("checks", pa.binary()), ("docs", pa.binary())])
 
 
 def _shard_entries(width: int, buckets: int):
@@ -159,12 +170,13 @@ def _bucket_repeats(table: pa.Table) -> pa.Table:
 
     def entries(decided: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         part = table.filter(pc.equal(table.column("decided"), decided))
-        docs = [_from_planes(x) for x in part.column("docs").to_pylist()]
-        return *_unpacked(part.column("hashes").to_pylist()), np.concatenate(docs or [np.empty(0, np.int64)])
+        hashes, docs = ([_from_planes(x) for x in part.column(c).to_pylist()] or [np.empty(0, np.int64)] for c in ("hashes", "docs"))
+        checks = np.frombuffer(b"".join(part.column("checks").to_pylist()), np.uint32)
+        return np.concatenate(hashes).view(np.uint64), checks, np.concatenate(docs)
 
     h, c, d = entries(False)
     if len(h):
-        order = np.lexsort((c, h))
+        order = _ordered(h, c)
         h, c, d = h[order], c[order], d[order]
         start = np.flatnonzero(~_as_before(h, c))
         later = d != np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(h))))
@@ -183,7 +195,7 @@ def repeated_windows(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     pairs = docs.select(_number(doc_id, text).alias("doc"), F.col(text).alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(LEAST_BUCKETS, size // BUCKET_BYTES))
-    entries = pairs.mapInArrow(_shard_entries(width, buckets), "bucket long, decided boolean, hashes binary, docs binary")
+    entries = pairs.mapInArrow(_shard_entries(width, buckets), "bucket long, decided boolean, hashes binary, checks binary, docs binary")
     found = entries.repartition(buckets // TOGETHER, "bucket").groupBy("bucket").applyInArrow(_bucket_repeats, _REPEATS)
     return found.groupBy("doc").agg(F.collect_list("hashes").alias("hashes"))
 
@@ -196,7 +208,7 @@ def _intervals(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _among(hashes: np.ndarray, checks: np.ndarray, other_hashes: np.ndarray, other_checks: np.ndarray) -> np.ndarray:
     """Which keys are among the others."""
     h, c = np.concatenate([hashes, other_hashes]), np.concatenate([checks, other_checks])
-    order = np.lexsort((c, h))
+    order = _ordered(h, c)
     run = np.empty(len(h), np.int64)
     run[order] = np.cumsum(~_as_before(h[order], c[order]))
     asked = np.zeros(len(h) + 1, bool)
@@ -209,7 +221,7 @@ def removed_words(texts: list[bytes | None], repeats: list[list[bytes] | None],
     hashes, checks, doc, counts = _doc_windows(texts, width)
     bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
     # The first start of each window inside its own text; the others repeat it.
-    order = np.lexsort((checks, hashes, doc))
+    order = _ordered(hashes, checks, doc, np.arange(len(hashes)))
     again = np.zeros(len(hashes), bool)
     if len(hashes):
         again[order[1:]] = _as_before(hashes[order], checks[order])[1:] & (doc[order[1:]] == doc[order[:-1]])

@@ -176,7 +176,7 @@ def test_windows_that_share_a_hash_stay_apart(monkeypatch):
 
     def narrowed(words, width):  # 16 values of the first hash for some 6,000 windows
         hashes, checks = whole(words, width)
-        return (hashes >> np.uint64(60)) << np.uint64(40), checks
+        return (hashes >> np.uint64(60)) << np.uint64(60), checks
 
     monkeypatch.setattr(substring, "_window_keys", narrowed)
     assert _repeats_in_process(rows, shards) == expected
