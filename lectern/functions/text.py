@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 import unicodedata
 
@@ -14,21 +13,17 @@ _MARKS = "[\u0300-\u036f]"
 _is_mark = re.compile(_MARKS).fullmatch
 
 
-def _letters() -> tuple[dict[str, str], dict[str, str]]:
-    """By Unicode's canonical decompositions: letters to their bases without combining accents, and decomposed sequences to letters."""
-    bases, composed = {}, {}
+def _letters() -> dict[str, str]:
+    """Letters to their bases without combining accents, by Unicode's canonical decompositions."""
+    bases = {}
     for c in map(chr, range(0xC0, 0xFFFF)):
-        whole = unicodedata.normalize("NFD", c)
-        base = "".join(x for x in whole if not _is_mark(x))
-        if whole != c and len(base) == 1 and base != c:
+        base = "".join(x for x in unicodedata.normalize("NFD", c) if not _is_mark(x))
+        if len(base) == 1 and base != c:
             bases[c] = base
-            if len(whole) > 1 and unicodedata.normalize("NFC", whole) == c:
-                composed[whole] = c
-                composed["".join(chr(int(x, 16)) for x in unicodedata.decomposition(c).split())] = c
-    return bases, composed
+    return bases
 
 
-_BASES, _COMPOSED = _letters()
+_BASES = _letters()
 #: White space as scripts mean it, the no-break space included.
 _SPACE = r"[\s\x{00A0}]+"
 
@@ -62,14 +57,12 @@ def fold(c: Column) -> Column:
 
 
 def composed(c: Column) -> Column:
-    """Letters with combining accents behind them as one character each; other text as it is.
+    """Unicode's composed form (NFC), Hangul and Indic vowels included.
 
-    Only texts with such accents are taken apart. Scripts that compose otherwise (Hangul, Indic vowels) stay as they are.
+    By the Unicode library that Spark brings along, inside the JVM; texts below the first combining mark are composed already and are not passed to it.
     """
-    table = F.from_json(F.lit(json.dumps(_COMPOSED)), "map<string,string>")
-    parts = F.regexp_extract_all(c, F.lit(f"(?s)[^{_MARKS[1:]}{_MARKS}*|{_MARKS}+"), F.lit(0))
-    joined = F.array_join(F.transform(parts, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    return F.when(c.rlike(_MARKS), joined).otherwise(c)
+    nfc = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
+    return F.when(c.rlike(r"[^\x{0000}-\x{02FF}]"), nfc).otherwise(c)
 
 
 # The patterns of the keys, of names, topics and excerpts below.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
@@ -49,6 +49,30 @@ def vanishing_slugs(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.ascii_slug(F.translate(_title(), "vk", "'’"), False).alias("slug"))
 
 
+#: Letters and what stands for them: marks out of order and behind one another, Hangul by its parts, a vowel sign in two halves.
+_APART = (("o", "o\u0301\u0323"), ("e", "e\u0308\u0304"), ("th", "\u1112\u1161\u11ab"), ("b", "\u0995\u09c7\u09be"), ("u", "u\u0334\u030b"))
+
+
+def _apart_sql(c: str) -> str:
+    for old, new in _APART:
+        c = f"replace({c}, '{old}', '{new}')"
+    return c
+
+
+def _apart(c: Column) -> Column:
+    for old, new in _APART:
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+@query(f"""select doc_id, md5(nfc_normalize({_apart_sql("text")})) as composed_md5, length(nfc_normalize({_apart_sql("text")}))::bigint as n_chars,
+    nfc_normalize({_apart_sql(_FIRST)}) as title from documents""")
+def composed_texts(t: Tables) -> DataFrame:
+    """Whole texts and titles composed, after some of their letters were taken apart."""
+    text = X.composed(_apart(F.col("text")))
+    return t.documents.select("doc_id", F.md5(text.cast("binary")).alias("composed_md5"), F.char_length(text).cast("long").alias("n_chars"), X.composed(_apart(_title())).alias("title"))
+
+
 _OPENING = "lower(array_to_string(list_slice(string_split(text, ' '), 1, 1 + (length(text) % 3)::int), ' '))"
 
 

@@ -403,3 +403,18 @@ def test_audit_of_fields_names_and_family_assets(spark):
     works, writers, sources = spark.createDataFrame([("w", ["tune", "timing"])], "slug string, assets array<string>"), spark.createDataFrame([("p", True)], "slug string, portrait boolean"), spark.createDataFrame([("s",)], "key string")
     found = sorted((r["rule_id"], r["key"]) for r in audit.record_violations(frame, works, writers, sources, ["en"]).collect())
     assert found == sorted([("V2", "a/x")] * 7 + [("V10", "a/x"), ("V16", "a/x"), ("V16", "a/x"), ("V16", "a/x"), ("V19", "a/x"), ("V19", "a/y"), ("V2", "a/z")])
+
+
+def test_composed_is_nfc_for_random_sequences(spark):
+    import unicodedata
+
+    from lectern.functions import text as X
+
+    rng = random.Random(11)
+    known = [c for c in map(chr, range(0x20, 0x20000)) if unicodedata.category(c) not in ("Cn", "Cs", "Co")]
+    marks = [c for c in known if unicodedata.combining(c)]
+    texts = [rng.choice(known) + "".join(rng.choice(marks + known) for _ in range(rng.randint(1, 3))) for _ in range(4000)]
+    texts += [unicodedata.normalize("NFD", c) + "x" for c in rng.sample(known, 4000)]
+    texts += ["".join(chr(rng.randint(*r)) for r in ((0x1100, 0x1112), (0x1161, 0x1175), (0x11A7, 0x11C2))) for _ in range(500)]
+    out = spark.createDataFrame([(x,) for x in texts], "x string").select("x", X.composed(F.col("x")).alias("c")).collect()
+    assert [r["x"] for r in out if r["c"] != unicodedata.normalize("NFC", r["x"])] == []
