@@ -100,7 +100,7 @@ def figures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", host
     pairs = docs.select(F.col(doc_id).alias("doc"), F.col(host).cast("string").alias("host"), kit.text_digest(text).alias("same"), F.col(text).alias("text"))
     lines = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("words", T.LongType())]))
     schema = T.StructType([T.StructField("doc", docs.schema[doc_id].dataType), T.StructField("host", T.StringType()), *(T.StructField(c, T.LongType()) for c in _STATS), T.StructField("same", T.BinaryType()), T.StructField("lines", lines)])
-    return kit.written(pairs.mapInArrow(_figures, schema).withColumn("row", F.monotonically_increasing_id()), "figures")
+    return kit.written(pairs.mapInArrow(kit.giving_back(_figures), schema).withColumn("row", F.monotonically_increasing_id()), "figures")
 
 
 def frequent_lines(table: DataFrame, *, least_docs: int = LEAST_DOCS, share: float = SHARE) -> DataFrame:

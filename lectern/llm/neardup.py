@@ -103,7 +103,7 @@ def _sketches(k: int, width: int):
 def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = SKETCH, width: int = SHINGLE) -> DataFrame:
     """(doc, digest, n, same, sketch): digest of the text, set size, fingerprint of the set, its k smallest hashes packed."""
     pairs = docs.select(F.col(doc_id).cast("long").alias("doc"), kit.text_digest(text).alias("digest"), F.col(text).alias("text"))
-    return pairs.mapInArrow(_sketches(k, width), "doc long, digest binary, n long, same binary, sketch binary")
+    return pairs.mapInArrow(kit.giving_back(_sketches(k, width)), "doc long, digest binary, n long, same binary, sketch binary")
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
@@ -251,9 +251,9 @@ def _alike(x: bytes, y: bytes) -> bool:
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        keep = [_alike(a, b) for a, b in zip(x, y, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for part, x in kit.cut(batch, "set_a"):
+            keep = [_alike(a, b) for a, b in zip(x, part.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _full_sets(width: int):
@@ -275,12 +275,12 @@ def _with(pairs: DataFrame, table: DataFrame, what: str) -> DataFrame:
 
 def _likely(pairs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     """The pairs (a, b) that the estimate of their union leaves."""
-    return kit.written(_with(pairs, reps, "sketch").mapInArrow(_estimated(k), "a long, b long"), "candidates")
+    return kit.written(_with(pairs, reps, "sketch").mapInArrow(kit.giving_back(_estimated(k)), "a long, b long"), "candidates")
 
 
 def _similar(candidates: DataFrame, sets: DataFrame) -> DataFrame:
     """The candidates (a, b) whose full sets are similar."""
-    return kit.written(_with(candidates, sets, "set").mapInArrow(_confirmed, "a long, b long"), "links")
+    return kit.written(_with(candidates, sets, "set").mapInArrow(kit.giving_back(_confirmed), "a long, b long"), "links")
 
 
 def _star(members: DataFrame) -> DataFrame:
@@ -432,7 +432,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, k: int, width: int) -> Data
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     # A shuffle join at every size: the number of candidates grows with the corpus.
     found = texts.join(needed.hint("merge"), F.col("id").eqNullSafe(F.col("rep")) & (kit.text_digest("text") == F.col("of"))).select(F.col("node").alias("doc"), "text")
-    sets = kit.written(found.dropDuplicates(["doc"]).mapInArrow(_full_sets(width), "doc long, set binary"), "sets")
+    sets = kit.written(found.dropDuplicates(["doc"]).mapInArrow(kit.giving_back(_full_sets(width)), "doc long, set binary"), "sets")
     edges = _similar(candidates, sets)
     labels = components(edges)
     apart = kit.written(_placed(members, labels), "apart")

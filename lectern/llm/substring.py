@@ -40,6 +40,8 @@ from lectern.llm import kit
 WIDTH = 20
 #: Bytes of text whose windows are reduced together before the shuffle.
 SHARD_BYTES = 6 << 20
+#: Bytes of entries that a shard hands on together.
+HANDED_ON = 1 << 20
 #: Bytes of text for each bucket, the fewest buckets, and buckets in a task. The number of buckets follows the input.
 BUCKET_BYTES, LEAST_BUCKETS, TOGETHER = 16 << 20, 256, 4
 _REPEATS = "doc long, hashes binary"
@@ -103,42 +105,66 @@ def _ordered(hashes: np.ndarray, *then: np.ndarray) -> np.ndarray:
 
 
 def _entries(hashes: np.ndarray, checks: np.ndarray, docs: np.ndarray, buckets: int, salt: int) -> Iterator[dict]:
-    """A shard's rows: its smallest document of each key by bucket, and what it has already found to repeat."""
+    """A shard's rows: its smallest document of each key by bucket, and what it has already found to repeat.
+
+    Arrays are replaced one by one, so that a shard is held little more than once.
+    """
     order = _ordered(hashes, checks, docs)
-    hashes, checks, docs = hashes[order], checks[order], docs[order]
+    hashes = hashes[order]
+    checks = checks[order]
+    docs = docs[order]
+    del order
     same = _as_before(hashes, checks)
-    fresh = np.zeros(len(hashes), bool)
-    fresh[1:] = same[1:] & (docs[1:] == docs[:-1])
+    start, again = np.flatnonzero(~same), np.flatnonzero(same)
     # Later windows of the smallest document are its own affair; later documents are repeats.
-    start = np.flatnonzero(~same)
-    smallest = np.repeat(docs[start], np.diff(np.append(start, len(hashes))))
-    repeat = (docs != smallest) & ~fresh
-    if repeat.any():
-        yield {"bucket": salt % buckets, "decided": True, "hashes": _planes(hashes[repeat]), "checks": checks[repeat].tobytes(), "docs": _planes(docs[repeat])}
-    hashes, checks, docs = hashes[start], checks[start], docs[start]
-    # By the leading bits, so that the high bytes of a bucket's hashes are alike and compress.
-    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    order = np.lexsort((docs, bucket))
-    hashes, checks, docs, bucket = hashes[order], checks[order], docs[order], bucket[order]
-    at = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + np.uint64(1)))
-    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(bucket)], strict=True):
-        yield {"bucket": int(bucket[a]), "decided": False, "hashes": _planes(hashes[a:b]), "checks": checks[a:b].tobytes(), "docs": _planes(docs[a:b])}
+    again = again[docs[again] != docs[again - 1]]
+    again = again[docs[again] != docs[start[np.searchsorted(start, again, "right") - 1]]]
+    if len(again):
+        yield {"bucket": salt % buckets, "decided": True, "hashes": _planes(hashes[again]), "checks": checks[again].tobytes(), "docs": _planes(docs[again])}
+    hashes = hashes[start]
+    checks = checks[start]
+    docs = docs[start]
+    del same, start, again
+    # By the leading bits, so that the high bytes of a bucket's hashes are alike and compress; a bucket's keys lie together.
+    first = ((np.arange(buckets, dtype=np.uint64) << np.uint64(32)) + np.uint64(buckets - 1)) // np.uint64(buckets) << np.uint64(32)
+    bounds = np.append(np.searchsorted(hashes, first), len(hashes))
+    for bucket in np.flatnonzero(np.diff(bounds)).tolist():
+        own = slice(bounds[bucket], bounds[bucket + 1])
+        order = np.argsort(docs[own], kind="stable")
+        yield {"bucket": bucket, "decided": False, "hashes": _planes(hashes[own][order]), "checks": checks[own][order].tobytes(), "docs": _planes(docs[own][order])}
 
 
 _ENTRY = pa.schema([("bucket", pa.int64()), ("decided", pa.bool_()), ("hashes", pa.binary()), ("checks", pa.binary()), ("docs", pa.binary())])
 
 
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows of _entries in batches of about HANDED_ON bytes."""
+    some, held = [], 0
+    for row in rows:
+        some.append(row)
+        held += sum(len(row[c]) for c in ("hashes", "checks", "docs"))
+        if held >= HANDED_ON:
+            yield pa.RecordBatch.from_pylist(some, _ENTRY)
+            some, held = [], 0
+    if some:
+        yield pa.RecordBatch.from_pylist(some, _ENTRY)
+
+
+def _taken(pieces: list[np.ndarray]) -> np.ndarray:
+    """The pieces in one array; the list is empty then."""
+    out = np.concatenate(pieces)
+    pieces.clear()
+    return out
+
+
 def _shard_entries(width: int, buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, checks, docs, held = [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if hashes and sum(map(len, hashes)):
-                h, c, d = np.concatenate(hashes), np.concatenate(checks), np.concatenate(docs)
-                yield pa.RecordBatch.from_pylist(list(_entries(h, c, d, buckets, int(h[0] >> np.uint64(8)))), _ENTRY)
-            hashes.clear()
-            checks.clear()
-            docs.clear()
+            salt = next((int(x[0] >> np.uint64(8)) for x in hashes if len(x)), 0)
+            if hashes:
+                yield from _batches(_entries(_taken(hashes), _taken(checks), _taken(docs), buckets, salt))
 
         for batch in batches:
             for part, texts in kit.cut(batch, "text"):
@@ -146,13 +172,14 @@ def _shard_entries(width: int, buckets: int):
                 hashes.append(h)
                 checks.append(c)
                 docs.append(part.column("doc").to_numpy(zero_copy_only=False)[doc])
+                del h, c, doc
                 held += sum(len(t or b"") for t in texts)
                 if held >= SHARD_BYTES:
                     yield from flush()
                     held = 0
         yield from flush()
 
-    return work
+    return kit.giving_back(work)
 
 
 def _by_doc(hashes: np.ndarray, checks: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
@@ -169,15 +196,22 @@ def _bucket_repeats(table: pa.Table) -> pa.Table:
     """All entries of a bucket but the smallest document of each key, by document."""
 
     def entries(decided: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        part = table.filter(pc.equal(table.column("decided"), decided))
-        hashes, docs = ([_from_planes(x) for x in part.column(c).to_pylist()] or [np.empty(0, np.int64)] for c in ("hashes", "docs"))
-        checks = np.frombuffer(b"".join(part.column("checks").to_pylist()), np.uint32)
-        return np.concatenate(hashes).view(np.uint64), checks, np.concatenate(docs)
+        part = table.filter(pc.equal(table.column("decided"), decided)).select(["hashes", "checks", "docs"])
+        n = (pc.sum(pc.binary_length(part.column("checks"))).as_py() or 0) // 4
+        hashes, checks, docs, at = np.empty(n, np.int64), np.empty(n, np.uint32), np.empty(n, np.int64), 0
+        for row in range(part.num_rows):  # piece by piece into their places
+            h, c, d = (column[row].as_buffer() for column in part.columns)
+            to = slice(at, at := at + len(c) // 4)
+            hashes[to], checks[to], docs[to] = _from_planes(h), np.frombuffer(c, np.uint32), _from_planes(d)
+        return hashes.view(np.uint64), checks, docs
 
     h, c, d = entries(False)
     if len(h):
         order = _ordered(h, c)
-        h, c, d = h[order], c[order], d[order]
+        h = h[order]
+        c = c[order]
+        d = d[order]
+        del order
         start = np.flatnonzero(~_as_before(h, c))
         later = d != np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(h))))
         h, c, d = h[later], c[later], d[later]
@@ -272,7 +306,7 @@ def removal_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([docs.schema[doc_id], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", spans), T.StructField("kept_sha256", T.StringType())])
-    return joined.mapInArrow(work, schema)
+    return joined.mapInArrow(kit.giving_back(work), schema)
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -292,4 +326,4 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 cols[at] = pa.array(new, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(cols, columns).filter(pa.array(alive))
 
-    return joined.mapInArrow(work, docs.schema)
+    return joined.mapInArrow(kit.giving_back(work), docs.schema)

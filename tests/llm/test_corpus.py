@@ -184,6 +184,28 @@ def test_windows_that_share_a_hash_stay_apart(monkeypatch):
     assert _repeats_in_process(rows, shards) != expected  # without the second hash, other windows count as repeats
 
 
+def test_a_shard_is_held_little_more_than_once():
+    """Entries leave in batches of some megabytes at most, and the shard's arrays are not copied many times over."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{i:04}" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 600)]) for _ in range(2200)]
+    batch = pa.RecordBatch.from_pydict({"doc": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    del texts
+    list(substring._shard_entries(substring.WIDTH, 64)(iter([batch.slice(0, 400)])))  # tables of powers
+    windows, largest = 0, 0
+    tracemalloc.start()
+    for out in substring._shard_entries(substring.WIDTH, 64)(iter([batch])):
+        windows += sum(len(x) // 4 for x in out.column("checks").to_pylist())
+        largest = max(largest, out.nbytes)
+        del out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows > 1_200_000
+    assert largest < 3 << 20 and peak < 70 << 20, (largest, peak)
+
+
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_line_quality_matches_brute_force(spark, sf):
     rows = [(r["doc_id"], r["source"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
