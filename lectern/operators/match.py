@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,20 +20,54 @@ def variant_join(left: DataFrame, variants: list[Column], right: DataFrame, key:
     return out.select(*left.columns, *(F.col(f"_hit.{c}").alias(f"hit_{c}") for c in right.columns))
 
 
+#: Rows of one string that are held together; two such blocks make a task's smallest piece of work, up to the square of this.
+BLOCK = 256
+
+
+def _blocks(df: DataFrame, name: str) -> DataFrame:
+    """(_s, _block, _rows): the rows of each string that isn't empty, in blocks of about BLOCK rows, dealt by a hash of the row."""
+    rows = df.where(F.col(name) != "").select(F.col(name).alias("_s"), F.struct(*df.columns).alias("_row"))
+    hot = rows.groupBy("_s").count().where(F.col("count") > BLOCK).select("_s", F.ceil(F.col("count") / BLOCK).alias("_n"))
+    dealt = rows.join(hot, "_s", "left").withColumn("_block", F.pmod(F.xxhash64("_row"), F.coalesce("_n", F.lit(1))))
+    return dealt.groupBy("_s", "_block").agg(F.collect_list("_row").alias("_rows"))
+
+
+def _prefix_pairs(a: DataFrame, b: DataFrame, least: int) -> DataFrame:
+    """(_w, _v): distinct strings _w of a and _v of b of which one starts with the other; _w shorter than least only if equal.
+
+    Long strings meet by the widest head that the shorter one has; strings of b shorter than least can
+    only be prefixes, and meet _w's own.
+    """
+    w, v = F.col("_w"), F.col("_v")
+    widths = F.array(F.lit(least), F.lit(8 * least))
+    short = a.where(F.length(w) < least).join(b, w == v)
+    long, names = a.where(F.length(w) >= least), b.where(F.length(v) >= least)
+    widest = lambda s: F.substring(s, F.lit(1), F.array_max(F.filter(widths, lambda n: n <= F.length(s))))
+    heads = lambda s: F.explode(F.transform(F.filter(widths, lambda n: n <= F.length(s)), lambda n: F.substring(s, F.lit(1), n)))
+    down = long.withColumn("_p", heads(w)).join(names.withColumn("_p", widest(v)), "_p").where(w.startswith(v))
+    up = long.withColumn("_p", widest(w)).join(names.withColumn("_p", heads(v)), "_p").where(v.startswith(w) & (v != w))
+    starts = long.withColumn("_q", F.explode(F.transform(F.sequence(F.lit(1), F.lit(least - 1)), lambda n: F.substring(w, F.lit(1), n))))
+    within = starts.join(b.where(F.length(v) < least), F.col("_q") == v)
+    return short.select("_w", "_v").unionByName(down.select("_w", "_v")).unionByName(up.select("_w", "_v")).unionByName(within.select("_w", "_v"))
+
+
 def prefix_join(left: DataFrame, wanted: str, right: DataFrame, name: str, least: int = 8) -> DataFrame:
     """Pairs where one string starts with the other; wanted shorter than ``least`` only if equal.
 
-    Long strings meet by their first ``least`` characters; right strings that
-    are shorter than that can only be prefixes, and meet wanted's own prefixes.
-    Empty strings match nothing.
+    Empty strings match nothing. Strings are compared once however many rows have them. The result has
+    a row for each pair of rows, so it grows with the square of a string's rows: blocks of rows meet, and the
+    pairs of blocks are dealt to as many tasks as there are shuffle partitions, so a frequent string is spread over all of them.
     """
-    a, b = F.col(wanted), F.col(name)
-    short = left.where((F.length(wanted) < least) & (a != "")).join(right, a == b)
-    long = left.where(F.length(wanted) >= least).withColumn("_p", F.substring(wanted, 1, least))
-    alike = long.join(right.where(F.length(name) >= least).withColumn("_p", F.substring(name, 1, least)), "_p").where(a.startswith(b) | b.startswith(a)).drop("_p")
-    starts = long.drop("_p").withColumn("_q", F.explode(F.transform(F.sequence(F.lit(1), F.lit(least - 1)), lambda n: F.substring(F.col(wanted), F.lit(1), n))))
-    within = starts.join(right.where((F.length(name) < least) & (b != "")), F.col("_q") == b).drop("_q")
-    return short.unionByName(alike).unionByName(within)
+    from lectern.operators.family import scratch, stored
+
+    spark = left.sparkSession
+    folder = f"{scratch(spark)}/prefixes-{uuid.uuid4().hex}"
+    ours, theirs = stored(_blocks(left, wanted), f"{folder}/left"), stored(_blocks(right, name), f"{folder}/right")
+    pairs = _prefix_pairs(ours.select(F.col("_s").alias("_w")).distinct(), theirs.select(F.col("_s").alias("_v")).distinct(), least)
+    met = pairs.join(ours.select(F.col("_s").alias("_w"), F.col("_rows").alias("_l")), "_w").join(theirs.select(F.col("_s").alias("_v"), F.col("_rows").alias("_r")), "_v").select("_l", "_r")
+    met = met.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("_l")[0], F.col("_r")[0])
+    out = met.select(F.explode("_l").alias("_a"), "_r").select("_a", F.explode("_r").alias("_b"))
+    return out.select(*(F.col("_a")[c].alias(c) for c in left.columns), *(F.col("_b")[c].alias(c) for c in right.columns))
 
 
 def prefix_first(left: DataFrame, left_id: str, wanted: str, right: DataFrame, right_id: str, name: str, least: int = 10) -> DataFrame:

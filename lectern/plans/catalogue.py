@@ -211,8 +211,10 @@ def segment_index(t: Tables) -> DataFrame:
 @query(f"""select l.doc_id as item_id, d.doc_id from (select doc_id, lower({_FIRST}) as w from documents join labels using (doc_id)) l join (select doc_id, lower({_FIRST}) as n from documents) d
     on (case when length(l.w) >= 8 then d.n <> '' and (starts_with(l.w, d.n) or starts_with(d.n, l.w)) else l.w <> '' and l.w = d.n end)""")
 def prefix_match(t: Tables) -> DataFrame:
-    wanted = t.documents.join(t.labels.select("doc_id"), "doc_id").select(F.col("doc_id").alias("item_id"), F.lower(_title()).alias("w"))
-    return match.prefix_join(wanted, "w", t.documents.select("doc_id", F.lower(_title()).alias("n")), "n").select("item_id", "doc_id")
+    # Titles come first, so that no text goes through the joins.
+    titled = t.documents.select("doc_id", F.lower(_title()).alias("n"))
+    wanted = titled.join(t.labels.select("doc_id"), "doc_id").select(F.col("doc_id").alias("item_id"), F.col("n").alias("w"))
+    return match.prefix_join(wanted, "w", titled, "n").select("item_id", "doc_id")
 
 
 @query(f"""with b as (select item_id, list_distinct(string_split({_KEY.format("split_part(text, '.', 1)")}, ' ')) as t from benchmark), d as (select doc_id, list_distinct(string_split({_KEY.format("split_part(text, '.', 1)")}, ' ')) as t from documents),
